@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reports are batch jobs: they read a window of history, fold it and
+stop.  Nothing in them keeps state between runs, has a watermark or a late
+data rule, so no streaming operator is needed to reproduce them.
+"""
