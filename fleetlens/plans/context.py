@@ -34,7 +34,14 @@ class ReportRun:
     def dim_small(self) -> bool:
         """One bounded count over the whole target dimension; every subset
         of it (hosts, databases, instances, inventory) inherits the bound."""
-        return proven_small(self.t.targets.select("target_name"), self.p.broadcast_max_rows)
+        cache = getattr(self.t, "bound_cache", None)
+        key = ("targets", self.p.broadcast_max_rows)
+        if cache is not None and key in cache:
+            return cache[key]
+        small = proven_small(self.t.targets.select("target_name"), self.p.broadcast_max_rows)
+        if cache is not None:
+            cache[key] = small
+        return small
 
     def b(self, df: DataFrame) -> DataFrame:
         return bounded(df, self.dim_small)

@@ -10,6 +10,7 @@ tables, so its size grows with the scale factor.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -166,7 +167,45 @@ def tablespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(out, TABLESPACE_SCHEMA)
 
 
-def load(spark: SparkSession, sf_dir: str) -> MonitoringTables:
-    """All five relations for one scale-factor folder (lazy)."""
-    return MonitoringTables(targets(spark, sf_dir), hourly(spark, sf_dir), daily(spark, sf_dir),
-                            current(spark, sf_dir), tablespaces(spark, sf_dir))
+class TestTables:
+    """The five relations for one scale-factor folder, each built on first
+    use (a report that needs two relations never plans the other three)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.bound_cache: dict = {}
+
+    @cached_property
+    def targets(self) -> DataFrame:
+        return targets(self.spark, self.sf_dir)
+
+    @cached_property
+    def hourly(self) -> DataFrame:
+        return hourly(self.spark, self.sf_dir)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return daily(self.spark, self.sf_dir)
+
+    @cached_property
+    def current(self) -> DataFrame:
+        return current(self.spark, self.sf_dir)
+
+    @cached_property
+    def tablespaces(self) -> DataFrame:
+        return tablespaces(self.spark, self.sf_dir)
+
+    def materialize(self) -> MonitoringTables:
+        return MonitoringTables(self.targets, self.hourly, self.daily, self.current, self.tablespaces)
+
+
+_LOADED: dict[tuple, TestTables] = {}
+
+
+def load(spark: SparkSession, sf_dir: str) -> TestTables:
+    """The relations of ``sf_dir`` (lazy), shared by every query of the
+    same session: DataFrames are immutable plans, so reuse is safe."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _LOADED:
+        _LOADED[key] = TestTables(spark, sf_dir)
+    return _LOADED[key]
