@@ -81,12 +81,6 @@ def action(incidents, avg, elevated=50) -> Column:
             .when(a >= elevated, ACTION_OPTIMIZE).otherwise(ACTION_TRACK))
 
 
-def action_badge(incidents, avg, elevated=50) -> Column:
-    n, a = _c(incidents), _c(avg)
-    return (F.when(n >= RCA_INCIDENTS, "badge-critical").when(n >= REVIEW_INCIDENTS, "badge-warning")
-            .when(a >= elevated, "badge-warning").otherwise("badge-secondary"))
-
-
 def asm_status(pct_int, crit=90, warn=80) -> Column:
     v = _c(pct_int)
     return F.when(v >= crit, CLASS_CRITICAL).when(v >= warn, CLASS_WARNING).otherwise(CLASS_NORMAL)

@@ -436,4 +436,6 @@ def oracle_sql() -> dict[str, str]:
     out = reports()
     from fleetlens.oracle_ops import operator_sql  # finer operators
     out.update(operator_sql())
+    from fleetlens.oracle_html import html_sql
+    out.update(html_sql())
     return out

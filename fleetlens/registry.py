@@ -61,4 +61,26 @@ def queries() -> dict[str, Query]:
     out = dict(REPORTS)
     from fleetlens.registry_ops import OPERATORS
     out.update(OPERATORS)
+    out.update(html_queries())
+    return out
+
+
+def _html(key: str) -> Query:
+    from fleetlens.plans.render import render_html_row
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        params = growth_params() if key == "db_growth_monthly" else cpu_params()
+        return render_html_row(REPORTS[key](spark, sf_dir), key, params).select("html_row")
+    return q
+
+
+HTML_KEYS = ("cpu_dashboard_kpis", "cpu_current_snapshot", "cpu_spike_days", "cpu_weekly_trend",
+             "cpu_top_spike_events", "cpu_top_consumers_linux", "cpu_top_consumers_aix",
+             "asm_diskgroup_usage", "asm_not_applicable", "tablespace_attention",
+             "host_cpu_current", "db_growth_monthly")
+
+
+def html_queries() -> dict[str, Query]:
+    out = {f"html_{k}": _html(k) for k in HTML_KEYS}
+    out["render_html_row"] = _html("cpu_current_snapshot")
     return out
