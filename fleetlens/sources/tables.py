@@ -126,3 +126,15 @@ def write_partitioned_hourly(df: DataFrame, path: str, mode: str = "overwrite")
     (df.withColumn(PARTITION_COLUMN, F.to_date("rollup_timestamp"))
        .sortWithinPartitions(PARTITION_COLUMN)
        .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
+
+
+def tables_from_rows(spark: SparkSession, targets=(), hourly=(), daily=(), current=(),
+                     tablespaces=()) -> MonitoringTables:
+    """Small in-memory relations (unit tests, examples).  Rows are tuples in
+    schema order."""
+    def mk(rows, schema):
+        ddl = ", ".join(f"{n} {t}" for n, t in schema)
+        return spark.createDataFrame(list(rows), ddl)
+    return MonitoringTables(mk(targets, TARGET_SCHEMA), mk(hourly, HOURLY_SCHEMA),
+                            mk(daily, DAILY_SCHEMA), mk(current, CURRENT_SCHEMA),
+                            mk(tablespaces, TABLESPACE_SCHEMA))

@@ -1,0 +1,32 @@
+"""Cross-report invariants over the mapped driver tables (sf0.001)."""
+
+from fleetlens.registry import queries
+from tests.conftest import SF_SMALL
+
+
+def test_spike_totals_agree(spark):
+    qs = queries()
+    k = qs["cpu_dashboard_kpis"](spark, SF_SMALL).collect()[0]
+    days = qs["cpu_spike_days"](spark, SF_SMALL).collect()
+    weeks = qs["cpu_weekly_trend"](spark, SF_SMALL).collect()
+    assert k["spike_count"] == sum(r["incident_count"] for r in days) == sum(r["spike_count"] for r in weeks)
+    assert k["max_cpu"] == max(r["max_cpu"] for r in weeks)
+    events = qs["cpu_top_spike_events"](spark, SF_SMALL).count()
+    assert events == min(50, k["spike_count"])
+
+
+def test_snapshot_covers_fleet(spark):
+    qs = queries()
+    n_hosts = qs["distinct_hosts"](spark, SF_SMALL).count()
+    assert qs["cpu_current_snapshot"](spark, SF_SMALL).count() == n_hosts
+    assert qs["cpu_dashboard_kpis"](spark, SF_SMALL).collect()[0]["total_hosts"] <= n_hosts
+
+
+def test_branch_counts_sf0001(spark):
+    """Branch coverage of the fixture (FIXTURES.md C2)."""
+    qs = queries()
+    snap = qs["cpu_current_snapshot"](spark, SF_SMALL).collect()
+    assert len(snap) == 13
+    assert len(qs["cpu_spike_days"](spark, SF_SMALL).collect()) == 28
+    assert len(qs["db_host_inventory"](spark, SF_SMALL).collect()) == 25
+    assert len(qs["db_growth_monthly"](spark, SF_SMALL).collect()) == 90
