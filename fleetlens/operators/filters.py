@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.dates import days_before, months_back_start
-from fleetlens.sources.tables import PARTITION_COLUMN
+from fleetlens.sources.tables import MONTH_PARTITION_COLUMN, PARTITION_COLUMN
 
 
 def _c(c) -> Column:
@@ -35,6 +35,8 @@ def lookback_filter(df: DataFrame, as_of, days: int, ts: str = "rollup_timestamp
     out = df.where(F.col(ts) >= start)
     if PARTITION_COLUMN in df.columns:
         out = out.where(F.col(PARTITION_COLUMN) >= F.to_date(start))
+    if MONTH_PARTITION_COLUMN in df.columns:
+        out = out.where(F.col(MONTH_PARTITION_COLUMN) >= F.trunc(F.to_date(start), "month"))
     return out
 
 
@@ -43,8 +45,9 @@ def month_window_filter(df: DataFrame, as_of, months_back: int, ts: str = "rollu
     ``as_of``'s month; no upper bound."""
     start = months_back_start(as_of, months_back)
     out = df.where(F.col(ts) >= start.cast("timestamp_ntz"))
-    if PARTITION_COLUMN in df.columns:
-        out = out.where(F.col(PARTITION_COLUMN) >= start)
+    for c in (PARTITION_COLUMN, MONTH_PARTITION_COLUMN):
+        if c in df.columns:
+            out = out.where(F.col(c) >= start)
     return out
 
 

@@ -37,25 +37,28 @@ def _growth(fn) -> Query:
     return lambda spark, sf_dir: fn(run_for(spark, sf_dir, growth_params()))
 
 
-REPORTS: dict[str, Query] = {
-    "cpu_dashboard_kpis": _cpu(cpu.cpu_dashboard_kpis),
-    "cpu_current_snapshot": _cpu(cpu.cpu_current_snapshot),
-    "cpu_spike_days": _cpu(cpu.cpu_spike_days),
-    "cpu_weekly_trend": _cpu(cpu.cpu_weekly_trend),
-    "cpu_top_spike_events": _cpu(cpu.cpu_top_spike_events),
-    "cpu_top_consumers_linux": _cpu(cpu.cpu_top_consumers_linux),
-    "cpu_top_consumers_aix": _cpu(cpu.cpu_top_consumers_aix),
-    "db_host_inventory": _cpu(lambda r: health.db_host_inventory(r).orderBy("database_name")),
-    "asm_diskgroup_usage": _cpu(health.asm_diskgroup_usage),
-    "asm_not_applicable": _cpu(health.asm_not_applicable),
-    "tablespace_attention": _cpu(health.tablespace_attention),
-    "host_cpu_current": _cpu(health.host_cpu_current),
-    "db_growth_monthly": _growth(growth.db_growth_monthly),
-    "cpu_recurring_pattern": _cpu(patterns.cpu_recurring_pattern),
-    "cpu_rolling_7d": _cpu(patterns.cpu_rolling_7d),
-    "cpu_elevated_hosts": _cpu(patterns.cpu_elevated_hosts),
+# report name -> (plan function of a ReportRun, uses the growth parameters)
+REPORT_PLANS = {
+    "cpu_dashboard_kpis": (cpu.cpu_dashboard_kpis, False),
+    "cpu_current_snapshot": (cpu.cpu_current_snapshot, False),
+    "cpu_spike_days": (cpu.cpu_spike_days, False),
+    "cpu_weekly_trend": (cpu.cpu_weekly_trend, False),
+    "cpu_top_spike_events": (cpu.cpu_top_spike_events, False),
+    "cpu_top_consumers_linux": (cpu.cpu_top_consumers_linux, False),
+    "cpu_top_consumers_aix": (cpu.cpu_top_consumers_aix, False),
+    "db_host_inventory": (lambda r: health.db_host_inventory(r).orderBy("database_name"), False),
+    "asm_diskgroup_usage": (health.asm_diskgroup_usage, False),
+    "asm_not_applicable": (health.asm_not_applicable, False),
+    "tablespace_attention": (health.tablespace_attention, False),
+    "host_cpu_current": (health.host_cpu_current, False),
+    "db_growth_monthly": (growth.db_growth_monthly, True),
+    "cpu_recurring_pattern": (patterns.cpu_recurring_pattern, False),
+    "cpu_rolling_7d": (patterns.cpu_rolling_7d, False),
+    "cpu_elevated_hosts": (patterns.cpu_elevated_hosts, False),
 }
 
+REPORTS: dict[str, Query] = {k: (_growth(f) if g else _cpu(f)) for k, (f, g) in REPORT_PLANS.items()}
+
 
 def queries() -> dict[str, Query]:
     out = dict(REPORTS)

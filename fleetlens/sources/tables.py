@@ -61,17 +61,19 @@ SCHEMAS = {
     "mon_db_tablespaces": TABLESPACE_SCHEMA,
 }
 
-# Optional date partition column of the time-series tables.  When present,
-# window filters also prune partitions (see operators.filters.lookback_filter).
+# Optional partition columns of the time-series tables: the hourly series by
+# day, the daily series by month.  When present, window filters also prune
+# partitions (see operators.filters).
 PARTITION_COLUMN = "rollup_date"
+MONTH_PARTITION_COLUMN = "rollup_month"
+PARTITION_COLUMNS = (PARTITION_COLUMN, MONTH_PARTITION_COLUMN)
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """Project and cast ``df`` to a fixed schema (extra columns dropped, a
     partition column kept).  Casting is a no-op when types already match."""
     cols = [F.col(n).cast(t).alias(n) for n, t in schema]
-    if PARTITION_COLUMN in df.columns:
-        cols.append(F.col(PARTITION_COLUMN))
+    cols += [F.col(c) for c in PARTITION_COLUMNS if c in df.columns]
     return df.select(*cols)
 
 
@@ -119,13 +121,22 @@ def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, str],
                             rd("mon_db_tablespaces"))
 
 
-def write_partitioned_hourly(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Lay the hourly fact out by day so window filters prune whole folders.
-    Rows are sorted by day inside each task (no shuffle), so a task writes
-    one file per day it holds and no day funnels into a single task."""
-    (df.withColumn(PARTITION_COLUMN, F.to_date("rollup_timestamp"))
-       .sortWithinPartitions(PARTITION_COLUMN)
-       .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
+def write_partitioned_hourly(df: DataFrame, path: str, mode: str = "overwrite",
+                             grain: str = "day") -> None:
+    """Lay a metric time series out by day (or month) so window filters
+    prune whole folders.  Inside each task rows are sorted by the period,
+    then metric and target (no shuffle): a task writes one file per period
+    it holds, no period funnels into a single task, and the row groups of a
+    file are clustered by metric, so the pushed ``metric_name`` /
+    ``metric_column`` filters skip the row groups of other metrics by their
+    min/max statistics."""
+    if grain == "day":
+        col, period = PARTITION_COLUMN, F.to_date("rollup_timestamp")
+    else:
+        col, period = MONTH_PARTITION_COLUMN, F.trunc(F.to_date("rollup_timestamp"), "month")
+    (df.withColumn(col, period)
+       .sortWithinPartitions(col, "metric_name", "metric_column", "target_name")
+       .write.mode(mode).partitionBy(col).parquet(path))
 
 
 def tables_from_rows(spark: SparkSession, targets=(), hourly=(), daily=(), current=(),
@@ -138,3 +149,18 @@ def tables_from_rows(spark: SparkSession, targets=(), hourly=(), daily=(), curre
     return MonitoringTables(mk(targets, TARGET_SCHEMA), mk(hourly, HOURLY_SCHEMA),
                             mk(daily, DAILY_SCHEMA), mk(current, CURRENT_SCHEMA),
                             mk(tablespaces, TABLESPACE_SCHEMA))
+
+
+def materialize_tables(tables, root: str, mode: str = "overwrite") -> MonitoringTables:
+    """Write the five relations under ``root`` (hourly series by day, daily
+    series by month) and return readers over the written copy.  Use a shared folder
+    (e.g. under ``spark.checkpoint.dir``) on a cluster: the written tables
+    cut the lineage of whatever produced them and survive executor loss."""
+    root = root.rstrip("/")
+    tables.targets.write.mode(mode).parquet(f"{root}/mon_target")
+    write_partitioned_hourly(tables.hourly, f"{root}/mon_metric_hourly", mode)
+    write_partitioned_hourly(tables.daily, f"{root}/mon_metric_daily", mode, grain="month")
+    tables.current.write.mode(mode).parquet(f"{root}/mon_metric_current")
+    tables.tablespaces.write.mode(mode).parquet(f"{root}/mon_db_tablespaces")
+    spark = tables.targets.sparkSession
+    return read_parquet_tables(spark, root)
