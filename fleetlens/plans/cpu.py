@@ -1,4 +1,4 @@
-"""The CPU forensics reports: dashboard, snapshot, spike days, weekly
+"""The CPU reports: dashboard, snapshot, spike days, weekly
 trend, top spike events and top consumers per OS."""
 
 from __future__ import annotations
