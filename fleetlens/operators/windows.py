@@ -34,3 +34,10 @@ def lag_prev(df: DataFrame, partition: str, order: str, cols: dict[str, str]) ->
     for src, alias in cols.items():
         df = df.withColumn(alias, F.lag(src).over(w))
     return df
+
+
+def sort_bounded(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Order a result whose size has a proven small bound (one row per day or
+    week of the window): one task sorts it, with no range-partition sampling
+    job.  Unbounded results (per host, per database) use ``orderBy``."""
+    return df.coalesce(1).sortWithinPartitions(*order)

@@ -11,7 +11,7 @@ from fleetlens.functions.dates import day_bucket, day_label, iso_week_end, minut
 from fleetlens.functions.numbers import as_double, stddev_one_is_zero
 from fleetlens.functions.text import short_hostname
 from fleetlens.operators.aggregates import conditional_count, exact_avg2
-from fleetlens.operators.windows import latest_per_host, rank_global, top_k
+from fleetlens.operators.windows import latest_per_host, rank_global, sort_bounded, top_k
 from fleetlens.plans.context import ReportRun
 
 
@@ -65,7 +65,7 @@ def cpu_spike_days(run: ReportRun) -> DataFrame:
                  F.count(F.lit(1)).alias("incident_count"),
                  as_double(F.round(F.max(v), 2)).alias("peak_cpu"))
             .select(day_label("d").alias("spike_day"), "hosts_affected", "incident_count", "peak_cpu")
-            .orderBy(F.col("spike_day").desc()))
+            .transform(lambda d: sort_bounded(d, [F.col("spike_day").desc()])))
 
 
 def cpu_weekly_trend(run: ReportRun) -> DataFrame:
@@ -80,7 +80,7 @@ def cpu_weekly_trend(run: ReportRun) -> DataFrame:
     return (wk.select(day_label("w").alias("week_end"), as_double("avg2").alias("avg_cpu"),
                       as_double("max2").alias("max_cpu"), "spike_count",
                       C.peak_colour("max2", p.high_cutoff, p.warn_cutoff).alias("colour"))
-            .orderBy(F.col("week_end").desc()))
+            .transform(lambda d: sort_bounded(d, [F.col("week_end").desc()])))
 
 
 def cpu_top_spike_events(run: ReportRun) -> DataFrame:

@@ -11,6 +11,7 @@ from fleetlens.functions.dates import day_bucket, day_label, minute_label
 from fleetlens.functions.numbers import as_double
 from fleetlens.functions.text import short_hostname
 from fleetlens.operators.aggregates import exact_avg2
+from fleetlens.operators.windows import sort_bounded
 from fleetlens.plans.context import ReportRun
 from fleetlens.plans.cpu import cpu_current_snapshot
 
@@ -60,7 +61,7 @@ def cpu_rolling_7d(run: ReportRun) -> DataFrame:
     return out.select(day_label("d").alias("day"),
                       as_double("day_avg").alias("daily_avg_cpu"),
                       as_double(exact_avg2("ws", "wn")).alias("rolling_avg_cpu"),
-                      "days_in_window").orderBy("day")
+                      "days_in_window").transform(lambda d: sort_bounded(d, [F.col("day")]))
 
 
 def cpu_elevated_hosts(run: ReportRun) -> DataFrame:
