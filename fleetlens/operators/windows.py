@@ -14,6 +14,14 @@ def latest_per_host(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_
     return cpu.groupBy(key).agg(F.max(ts).alias(ts), F.max_by(value, ts).alias(value))
 
 
+def latest_by_rank(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_timestamp") -> DataFrame:
+    """The same as :func:`latest_per_host`, written as ``row_number() = 1``
+    per host.  Spark plans the filter as a partial ``WindowGroupLimit``
+    before the shuffle, so each task also ships one row per host."""
+    w = Window.partitionBy(key).orderBy(F.col(ts).desc())
+    return cpu.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     """First ``k`` rows in ``order``: each task keeps its own k best and one
     task merges k rows per task (``TakeOrderedAndProject``)."""

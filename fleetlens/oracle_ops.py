@@ -138,6 +138,10 @@ FROM tss""", TSU + ",\n" + _TS_SUMMARY),
   SELECT target_name, rollup_timestamp, cpu_val FROM (
     SELECT *, row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC) AS rn
     FROM {semi(2)} y) z WHERE rn = 1)""")),
+        "latest_per_host_rank": q(_cpu_out(f"""(
+  SELECT target_name, max(rollup_timestamp) AS rollup_timestamp,
+         arg_max(cpu_val, rollup_timestamp) AS cpu_val
+  FROM {semi(2)} y GROUP BY target_name)""")),
         "rank_global": q(_cpu_out(f"""(
   SELECT *, row_number() OVER (ORDER BY cpu_val DESC, rollup_timestamp DESC, target_name) AS rn
   FROM {semi(30)} y WHERE cpu_val >= 98)""", ", rn") + " WHERE rn <= 50"),

@@ -205,6 +205,10 @@ def latest_per_host(r):
     return _cpu_out(W.latest_per_host(r.fleet_cpu_semi(r.p.snapshot_days)))
 
 
+def latest_per_host_rank(r):
+    return _cpu_out(W.latest_by_rank(r.fleet_cpu_semi(r.p.snapshot_days)))
+
+
 def rank_global(r):
     v = F.col("cpu_val")
     spikes = r.fleet_cpu_semi(r.p.events_days).where(v >= r.spike())
@@ -342,7 +346,8 @@ _FUNCS = {
     "agg_conditional_distinct": agg_conditional_distinct,
     "agg_distinct_values": agg_distinct_values, "pivot_max": pivot_max, "pivot_sum": pivot_sum,
     "agg_monthly_avg": agg_monthly_avg, "listagg_ordered": listagg_ordered,
-    "latest_per_host": latest_per_host, "rank_global": rank_global, "lag_month": lag_month,
+    "latest_per_host": latest_per_host, "latest_per_host_rank": latest_per_host_rank,
+    "rank_global": rank_global, "lag_month": lag_month,
     "top_k": top_k, "short_hostname": short_hostname_q, "number_fixed2": number_fixed2_q,
     "number_plain": number_plain_q, "text_to_number": text_to_number_q,
     "date_labels": date_labels, "date_buckets": date_buckets, "unit_conversion": unit_conversion,

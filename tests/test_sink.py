@@ -53,3 +53,13 @@ def test_reports_equal_over_partitioned_parquet(spark):
     plan = buf.getvalue()
     assert "PartitionFilters: [isnotnull(rollup_date" in plan
     assert "EqualTo(metric_name,Load)" in plan
+
+
+def test_append_keeps_earlier_runs(spark):
+    out = tempfile.mkdtemp(prefix="fleetlens-append-")
+    run = run_for(spark, SF_SMALL)
+    sec = {"cpu_weekly_trend": cpu_report(run)["cpu_weekly_trend"]}
+    write_sections(sec, out)
+    write_sections(sec, out, mode="append")
+    n = sec["cpu_weekly_trend"].count()
+    assert spark.read.parquet(out + "/cpu_weekly_trend").count() == 2 * n
