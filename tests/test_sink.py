@@ -63,3 +63,22 @@ def test_append_keeps_earlier_runs(spark):
     write_sections(sec, out, mode="append")
     n = sec["cpu_weekly_trend"].count()
     assert spark.read.parquet(out + "/cpu_weekly_trend").count() == 2 * n
+
+
+def test_cli_runs_both_reports(spark):
+    from fleetlens.cli import main
+    from fleetlens.sources import testmap
+    from fleetlens.sources.tables import materialize_tables
+
+    root = tempfile.mkdtemp(prefix="fleetlens-cli-")
+    materialize_tables(testmap.load(spark, SF_SMALL), root + "/tables")
+    cpu_paths = main(["cpu", "--tables", root + "/tables", "--out", root + "/cpu",
+                      "--as-of", "2024-01-31T00:00", "--html"], spark=spark)
+    assert len(cpu_paths) == 7
+    days = spark.read.parquet(cpu_paths["cpu_spike_days"]).count()
+    assert days == 28
+    html = spark.read.text(root + "/cpu/html/cpu_top_consumers_linux").collect()
+    assert html and all(r.value.startswith("<tr><td><strong>") for r in html)
+    hc = main(["health", "--tables", root + "/tables", "--out", root + "/health",
+               "--as-of", "2001-07-15T00:00"], spark=spark)
+    assert spark.read.parquet(hc["db_growth_monthly"]).count() == 90
