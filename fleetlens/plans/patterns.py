@@ -24,16 +24,18 @@ def cpu_recurring_pattern(run: ReportRun) -> DataFrame:
     HH:00`` when its host spiked at that hour of day on at least
     ``recurring_min_days`` distinct days, else ``Isolated``.
 
-    The day count is an aggregate per (host, hour of day), combined
-    map-side, then joined back on the same two keys."""
+    One scan: the distinct days are counted by a window over (host, hour of
+    day).  A host has one reading per hour, so such a group holds at most
+    one row per day of the window (``events_days + 1`` rows), however many
+    rows the host itself has."""
     p = run.p
     v = F.col("cpu_val")
     spikes = (run.fleet_cpu_semi(p.events_days).where(v >= run.spike())
               .withColumn("spike_hour", F.hour("rollup_timestamp")))
-    per_hour = (spikes.groupBy("target_name", "spike_hour")
-                .agg(F.count_distinct(day_bucket("rollup_timestamp")).alias("days_at_hour")))
+    w = Window.partitionBy("target_name", "spike_hour")
+    days = F.size(F.collect_set(day_bucket("rollup_timestamp")).over(w)).cast("bigint")
     hh = F.lpad(F.col("spike_hour").cast("string"), 2, "0")
-    return spikes.join(per_hour, ["target_name", "spike_hour"]).select(
+    return spikes.withColumn("days_at_hour", days).select(
         "target_name", short_hostname("target_name").alias("hostname"),
         minute_label("rollup_timestamp").alias("event_ts"),
         as_double(F.round(v, 2)).alias("cpu_pct"),
