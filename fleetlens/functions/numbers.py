@@ -20,11 +20,6 @@ def metric_value(c, scale: int = 6) -> Column:
     return _c(c).cast(f"decimal(18,{scale})")
 
 
-def dec(x, scale: int = 6) -> Column:
-    """A threshold as an exact literal of the metric type."""
-    return F.lit(Decimal(str(x))).cast(f"decimal(18,{scale})")
-
-
 def text_to_number(c, strict: bool = True) -> Column:
     """A text metric value as an exact number.  Strict mode fails the job on
     text that is not a number (ANSI cast); tolerant mode gives NULL."""

@@ -27,8 +27,3 @@ def number_plain(c) -> Column:
     s = _c(c).cast("decimal(38,2)").cast("string")
     s = F.regexp_replace(s, r"\.?0+$", "")
     return F.regexp_replace(s, r"^(-?)0\.", "$1.")
-
-
-def concat_text(*parts) -> Column:
-    """Concatenate with NULL read as empty text (the repository's ``||``)."""
-    return F.concat_ws("", *parts)

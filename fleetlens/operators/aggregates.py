@@ -4,8 +4,6 @@ third of all rows still sends one partial row per task, not its rows."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +23,11 @@ def conditional_distinct(cond: Column, col) -> Column:
     return F.count_distinct(F.when(cond, _c(col)))
 
 
-def exact_avg2(sum_col, n_col) -> Column:
-    """round(sum / n, 2) for a DECIMAL(38,6) sum.  The sum is narrowed to 30
-    digits so the quotient keeps 14 decimals before the final rounding."""
-    return F.round(_c(sum_col).cast("decimal(30,6)") / _c(n_col), 2)
+def exact_avg2(sum_col, n_col, scale: int = 6) -> Column:
+    """round(sum / n, 2) for a DECIMAL(38, scale) sum.  The sum is narrowed
+    to 30 digits so the quotient keeps 8 + scale decimals before the final
+    rounding."""
+    return F.round(_c(sum_col).cast(f"decimal(30,{scale})") / _c(n_col), 2)
 
 
 def agg_global(cpu: DataFrame, spike) -> DataFrame:
@@ -95,7 +94,3 @@ def ordered_list(item_sql: str, order_sql: str, sep: str = ", ") -> Column:
     """``LISTAGG(item, sep) WITHIN GROUP (ORDER BY ...)``; NULL items are
     skipped and an all-NULL group gives NULL."""
     return F.expr(f"listagg({item_sql}, '{sep}') WITHIN GROUP (ORDER BY {order_sql})")
-
-
-def threshold_dec(x, scale: int = 6) -> Column:
-    return F.lit(Decimal(str(x))).cast(f"decimal(18,{scale})")

@@ -62,6 +62,3 @@ class Params:
     # most this many rows; beyond it the join shuffles (AQE may still
     # convert it at runtime from measured sizes)
     broadcast_max_rows: int = 500_000
-
-    def with_(self, **kw) -> "Params":
-        return replace(self, **kw)

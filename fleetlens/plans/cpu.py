@@ -26,7 +26,7 @@ def cpu_dashboard_kpis(run: ReportRun) -> DataFrame:
                      conditional_count(v >= spike).alias("spikes")))
     return per_host.agg(
         F.count(F.lit(1)).alias("total_hosts"),
-        as_double(exact_avg2(F.sum("s"), F.sum("n"))).alias("avg_cpu"),
+        as_double(exact_avg2(F.sum("s"), F.sum("n"), run.p.value_scale)).alias("avg_cpu"),
         as_double(F.round(F.max("mx"), 2)).alias("max_cpu"),
         F.coalesce(F.sum("spikes"), F.lit(0)).cast("bigint").alias("spike_count"),
         F.count(F.when(F.col("spikes") > 0, F.lit(1))).alias("hosts_with_spikes"))

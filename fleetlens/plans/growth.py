@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.dates import day_label, month_label
 from fleetlens.functions.numbers import as_double, growth_pct
 from fleetlens.operators.aggregates import agg_monthly_avg, pivot_sum
 from fleetlens.operators.filters import month_window_filter, positive_filter
+from fleetlens.operators.windows import lag_prev
 from fleetlens.params import DB_TARGET_TYPES, GROWTH_COLUMNS
 from fleetlens.plans.context import ReportRun
 from fleetlens.plans.health import db_host_inventory
@@ -30,9 +31,8 @@ def db_size_monthly(run: ReportRun) -> DataFrame:
 def with_previous_month(monthly: DataFrame) -> DataFrame:
     """Previous row's sizes per database.  One database has a handful of
     months, so the window partitions are tiny whatever the fleet size."""
-    w = Window.partitionBy("target_name").orderBy("month_dt")
-    return (monthly.withColumn("prev_allocated_gb", F.lag("allocated_gb").over(w))
-            .withColumn("prev_used_gb", F.lag("used_gb").over(w)))
+    return lag_prev(monthly, "target_name", "month_dt",
+                    {"allocated_gb": "prev_allocated_gb", "used_gb": "prev_used_gb"})
 
 
 def db_growth_monthly(run: ReportRun, os_list=None) -> DataFrame:

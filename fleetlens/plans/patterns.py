@@ -59,10 +59,10 @@ def cpu_rolling_7d(run: ReportRun) -> DataFrame:
     out = daily.select(
         "d", F.sum("s").over(w).alias("ws"), F.sum("n").over(w).alias("wn"),
         F.count(F.lit(1)).over(w).alias("days_in_window"),
-        exact_avg2("s", "n").alias("day_avg"))
+        exact_avg2("s", "n", p.value_scale).alias("day_avg"))
     return out.select(day_label("d").alias("day"),
                       as_double("day_avg").alias("daily_avg_cpu"),
-                      as_double(exact_avg2("ws", "wn")).alias("rolling_avg_cpu"),
+                      as_double(exact_avg2("ws", "wn", p.value_scale)).alias("rolling_avg_cpu"),
                       "days_in_window").transform(lambda d: sort_bounded(d, [F.col("day")]))
 
 

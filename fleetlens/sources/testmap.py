@@ -195,9 +195,6 @@ class TestTables:
     def tablespaces(self) -> DataFrame:
         return tablespaces(self.spark, self.sf_dir)
 
-    def materialize(self) -> MonitoringTables:
-        return MonitoringTables(self.targets, self.hourly, self.daily, self.current, self.tablespaces)
-
 
 _LOADED: dict[tuple, TestTables] = {}
 
