@@ -46,7 +46,7 @@ REPORT_PLANS = {
     "cpu_top_spike_events": (cpu.cpu_top_spike_events, False),
     "cpu_top_consumers_linux": (cpu.cpu_top_consumers_linux, False),
     "cpu_top_consumers_aix": (cpu.cpu_top_consumers_aix, False),
-    "db_host_inventory": (lambda r: health.db_host_inventory(r).orderBy("database_name"), False),
+    "db_host_inventory": (health.db_host_inventory_sorted, False),
     "asm_diskgroup_usage": (health.asm_diskgroup_usage, False),
     "asm_not_applicable": (health.asm_not_applicable, False),
     "tablespace_attention": (health.tablespace_attention, False),

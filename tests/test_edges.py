@@ -154,3 +154,11 @@ def test_rolling_7d(spark):
     assert got["2026-02-16"]["rolling_avg_cpu"] == 13.0  # days 10..16
     assert got["2026-02-19"]["rolling_avg_cpu"] == 16.0  # days 13..19
     assert got["2026-02-10"]["days_in_window"] == 1
+
+
+def test_snapshot_order_raw_value_then_name(spark):
+    hosts = ["b-D-1.x", "a-D-2.x", "c-D-3.x", "d-D-4.x"]
+    hourly = [hr("b-D-1.x", T, 89.996), hr("a-D-2.x", T, 90.004), hr("d-D-4.x", T, 0.0)]
+    run = run_of(spark, targets=[host(h) for h in hosts], hourly=hourly)
+    got = [r["hostname"] for r in rows(cpu.cpu_current_snapshot(run))]
+    assert got == ["a-d-2", "b-d-1", "c-d-3", "d-d-4"]
