@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each report query is run once to warm up, then ``BENCH_REPS`` times; the
+Each report query is run once to warm up, then ``BENCH_REPS`` (5) times; the
 median wall time (plan + execute + collect of the small result) is
 reported.  Two whole-report runs are timed too: the seven CPU sections on
 one run with the fleet's CPU rows persisted, and the six health sections.
@@ -42,7 +42,7 @@ def timed(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     spark = local_session(cpus, shuffle_partitions=cpus, app="fleetlens-bench")
     per_query = {}
     for k in HEADLINE:

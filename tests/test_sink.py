@@ -82,3 +82,15 @@ def test_cli_runs_both_reports(spark):
     hc = main(["health", "--tables", root + "/tables", "--out", root + "/health",
                "--as-of", "2001-07-15T00:00"], spark=spark)
     assert spark.read.parquet(hc["db_growth_monthly"]).count() == 90
+
+
+def test_sections_partitioned_by_os(spark):
+    out = tempfile.mkdtemp(prefix="fleetlens-os-")
+    run = run_for(spark, SF_SMALL)
+    sections = health_report(run)
+    write_sections({"host_cpu_current": sections["host_cpu_current"]}, out, partition_by=("os",))
+    import os
+    assert sorted(d for d in os.listdir(out + "/host_cpu_current") if d.startswith("os=")) == \
+        ["os=AIX", "os=Linux"]
+    back = spark.read.parquet(out + "/host_cpu_current")
+    assert back.count() == sections["host_cpu_current"].count()
