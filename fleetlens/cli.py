@@ -35,7 +35,9 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--os", nargs="+", default=list(Params.os_list))
     ap.add_argument("--html", action="store_true", help="also write html_row text per section")
     ap.add_argument("--mode", default="overwrite", choices=("overwrite", "append"))
-    ap.add_argument("--no-persist", action="store_true")
+    ap.add_argument("--persist", action="store_true",
+                    help="cache the fleet's CPU rows for the seven CPU sections; pays off "
+                         "when the source is expensive to scan (JDBC), not over pruned parquet")
     return ap.parse_args(argv)
 
 
@@ -47,7 +49,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
     params = Params(as_of=as_of, lookback_days=a.lookback, spike_threshold=a.threshold,
                     os_list=tuple(a.os))
     run = ReportRun(read_parquet_tables(spark, a.tables), params,
-                    persist=(a.report == "cpu" and not a.no_persist))
+                    persist=(a.report == "cpu" and a.persist))
     build = cpu_report if a.report == "cpu" else health_report
     sections = build(run, html=a.html)
     paths = write_sections({k: (v.drop("html_row") if "html_row" in v.columns else v)

@@ -223,7 +223,10 @@ mon_db_tablespaces AS (
            AS tablespace_used_size,
          TIMESTAMP '2024-01-31 00:00:00' AS collection_timestamp
   FROM ts_base
-),
+)"""
+
+# Relations derived from the five (shared by the mapped and the stored form).
+_DERIVED = f"""
 hosts AS (
   SELECT target_name, type_qualifier1 AS os_type FROM mon_target
   WHERE target_type = 'host' AND upper(target_name) LIKE '%-D-%'
@@ -258,10 +261,19 @@ def inner(days: int) -> str:
 
 
 def q(body: str, extra: str = "") -> str:
-    ctes = _BASE + ("," + extra if extra else "")
+    """A statement over the driver's tables (mapping + derived relations)."""
+    ctes = _BASE + "," + _DERIVED + ("," + extra if extra else "")
     return f"WITH {ctes}\n{body}"
 
 
+def over_stored(sql: str) -> str:
+    """The same statement over stored ``mon_*`` relations (views of that
+    name must exist): the mapping CTEs are dropped, the derived kept."""
+    head = "WITH " + _BASE + ","
+    assert head in sql
+    return sql.replace(head, "WITH ", 1)
+
+
 # ---- reports ---------------------------------------------------------------
 def _consumers(os_upper: str) -> str:
     return q(f"""

@@ -202,7 +202,11 @@ _LOADED: dict[tuple, TestTables] = {}
 def load(spark: SparkSession, sf_dir: str) -> TestTables:
     """The relations of ``sf_dir`` (lazy), shared by every query of the
     same session: DataFrames are immutable plans, so reuse is safe."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        app = spark.conf.get("spark.app.id", "")
+    key = (app, id(spark), sf_dir.rstrip("/"))
     if key not in _LOADED:
         _LOADED[key] = TestTables(spark, sf_dir)
     return _LOADED[key]
