@@ -162,3 +162,28 @@ def test_snapshot_order_raw_value_then_name(spark):
     run = run_of(spark, targets=[host(h) for h in hosts], hourly=hourly)
     got = [r["hostname"] for r in rows(cpu.cpu_current_snapshot(run))]
     assert got == ["a-d-2", "b-d-1", "c-d-3", "d-d-4"]
+
+
+def test_desc_sort_puts_null_average_first(spark):
+    """A host whose readings are all NULL has a NULL peak; a descending sort
+    in the repository puts it first (M5)."""
+    hourly = [hr("a-D-1.x", T, None), hr("b-D-2.x", T, 99.0), hr("c-D-3.x", T, 50.0)]
+    run = run_of(spark, targets=[host(h) for h in ("a-D-1.x", "b-D-2.x", "c-D-3.x")], hourly=hourly)
+    got = [r["hostname"] for r in rows(cpu.cpu_top_consumers_linux(run))]
+    assert got == ["a-d-1", "b-d-2", "c-d-3"]
+
+
+def test_weekly_colour_uses_rounded_peak(spark):
+    """89.996 rounds to 90.00, so the weekly peak is red (M11), while the
+    snapshot tests the raw value and stays orange (M10)."""
+    run = run_of(spark, targets=[host(H)], hourly=[hr(H, T, 89.996)])
+    assert rows(cpu.cpu_weekly_trend(run))[0]["colour"] == "#dc3545"
+    assert rows(cpu.cpu_current_snapshot(run))[0]["colour"] == "#fd7e14"
+
+
+def test_total_hosts_counts_hosts_with_samples(spark):
+    """Hosts of the fleet without samples in the window are not counted
+    (M17); the snapshot still lists them."""
+    run = run_of(spark, targets=[host(H), host("idle-D-9.x")], hourly=[hr(H, T, 10.0)])
+    assert rows(cpu.cpu_dashboard_kpis(run))[0]["total_hosts"] == 1
+    assert len(rows(cpu.cpu_current_snapshot(run))) == 2
