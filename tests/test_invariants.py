@@ -30,3 +30,18 @@ def test_branch_counts_sf0001(spark):
     assert len(qs["cpu_spike_days"](spark, SF_SMALL).collect()) == 28
     assert len(qs["db_host_inventory"](spark, SF_SMALL).collect()) == 25
     assert len(qs["db_growth_monthly"](spark, SF_SMALL).collect()) == 90
+
+
+def test_key_contracts_hold_in_fixture(spark):
+    """The reports rely on one target row per (name, type) and one hourly
+    reading per (target, metric, column, hour); the recurring-hour window
+    bound and latest-per-host ties follow from them."""
+    from pyspark.sql import functions as F
+
+    from fleetlens.sources import testmap
+    t = testmap.load(spark, SF_SMALL)
+    dup_t = t.targets.groupBy("target_name", "target_type").count().where("count > 1")
+    assert dup_t.count() == 0
+    keys = ["target_name", "target_type", "metric_name", "metric_column", "rollup_timestamp"]
+    dup_h = t.hourly.groupBy(*keys).count().where(F.col("count") > 1)
+    assert dup_h.count() == 0
