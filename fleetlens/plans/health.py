@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions import classify as C
 from fleetlens.functions.numbers import as_double, text_to_number
 from fleetlens.functions.text import number_plain
-from fleetlens.operators.aggregates import conditional_count, ordered_list, pivot_max
+from fleetlens.operators.aggregates import conditional_count, ordered_list
 from fleetlens.operators.joins import instance_join, inventory_join, self_join_hosts
 from fleetlens.operators.windows import sort_bounded
 from fleetlens.params import DB_TARGET_TYPES, DISKGROUP_COLUMNS

@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.sources.tables import (CURRENT_SCHEMA, DAILY_SCHEMA, HOURLY_SCHEMA,
-                                      TABLESPACE_SCHEMA, TARGET_SCHEMA,
-                                      MonitoringTables, conform)
+                                      TABLESPACE_SCHEMA, TARGET_SCHEMA, conform)
 
 # Fixture constants (our own test mapping, not reference values).
 CPU_AS_OF = datetime(2024, 1, 31)

@@ -3,13 +3,12 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from fleetlens.params import Params
 from fleetlens.plans import cpu, growth, health
 from fleetlens.plans.patterns import cpu_recurring_pattern, cpu_rolling_7d
 from fleetlens.plans.render import render_html_row
-from tests.helpers import AS_OF, host, hr, rows, run_of
+from tests.helpers import host, hr, rows, run_of
 
 T = datetime(2026, 2, 28, 12)
 H = "app-D-01.example.com"

@@ -4,14 +4,13 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from fleetlens.functions.numbers import growth_pct
 from fleetlens.functions.text import number_fixed2, number_plain
 from fleetlens.params import Params
 from fleetlens.plans import cpu, growth, health
 from fleetlens.plans.render import render_html_row
-from tests.helpers import AS_OF, host, hr, rows, run_of
+from tests.helpers import host, hr, rows, run_of
 
 GROWTH = [  # previous, current, expected text
     ("677.46", "684.99", "1.11"), ("356.09", "365.24", "2.57"), ("1522.48", "1549.53", "1.78"),

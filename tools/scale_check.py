@@ -25,7 +25,6 @@ import duckdb  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from fleetlens.oracle import over_stored, reports  # noqa: E402
-from fleetlens.oracle_html import html_sql  # noqa: E402
 from fleetlens.plans.context import ReportRun  # noqa: E402
 from fleetlens.registry import REPORT_PLANS, cpu_params  # noqa: E402
 from fleetlens.session import ensure_checkpoint_dir, local_session  # noqa: E402
