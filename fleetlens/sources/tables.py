@@ -122,21 +122,30 @@ def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, str],
 
 
 def write_partitioned_hourly(df: DataFrame, path: str, mode: str = "overwrite",
-                             grain: str = "day") -> None:
+                             grain: str = "day", files_per_period: int | None = None) -> None:
     """Lay a metric time series out by day (or month) so window filters
-    prune whole folders.  Inside each task rows are sorted by the period,
-    then metric and target (no shuffle): a task writes one file per period
-    it holds, no period funnels into a single task, and the row groups of a
-    file are clustered by metric, so the pushed ``metric_name`` /
-    ``metric_column`` filters skip the row groups of other metrics by their
-    min/max statistics."""
+    prune whole folders.
+
+    Rows are sorted by period, then metric and target, so the row groups of
+    a file are clustered by metric and the pushed ``metric_name`` /
+    ``metric_column`` filters skip other metrics' row groups by their
+    min/max statistics.
+
+    * ``files_per_period=None``: no shuffle; each task writes one file per
+      period it holds (right for data already arriving in time order).
+    * ``files_per_period=k``: rows are shuffled on (period, hash of target
+      mod k), so each period is written as about ``k`` files of similar
+      size; no period funnels into one task unless ``k`` is 1.
+    """
     if grain == "day":
         col, period = PARTITION_COLUMN, F.to_date("rollup_timestamp")
     else:
         col, period = MONTH_PARTITION_COLUMN, F.trunc(F.to_date("rollup_timestamp"), "month")
-    (df.withColumn(col, period)
-       .sortWithinPartitions(col, "metric_name", "metric_column", "target_name")
-       .write.mode(mode).partitionBy(col).parquet(path))
+    out = df.withColumn(col, period)
+    if files_per_period:
+        out = out.repartition(col, F.pmod(F.xxhash64("target_name"), F.lit(files_per_period)))
+    (out.sortWithinPartitions(col, "metric_name", "metric_column", "target_name")
+        .write.mode(mode).partitionBy(col).parquet(path))
 
 
 def tables_from_rows(spark: SparkSession, targets=(), hourly=(), daily=(), current=(),
@@ -151,15 +160,19 @@ def tables_from_rows(spark: SparkSession, targets=(), hourly=(), daily=(), curre
                             mk(tablespaces, TABLESPACE_SCHEMA))
 
 
-def materialize_tables(tables, root: str, mode: str = "overwrite") -> MonitoringTables:
+def materialize_tables(tables, root: str, mode: str = "overwrite",
+                       files_per_period: int | None = None) -> MonitoringTables:
     """Write the five relations under ``root`` (hourly series by day, daily
-    series by month) and return readers over the written copy.  Use a shared folder
-    (e.g. under ``spark.checkpoint.dir``) on a cluster: the written tables
-    cut the lineage of whatever produced them and survive executor loss."""
+    series by month) and return readers over the written copy.  Use a
+    shared folder (e.g. under ``spark.checkpoint.dir``) on a cluster: the
+    written tables cut the lineage of whatever produced them and survive
+    executor loss."""
     root = root.rstrip("/")
     tables.targets.write.mode(mode).parquet(f"{root}/mon_target")
-    write_partitioned_hourly(tables.hourly, f"{root}/mon_metric_hourly", mode)
-    write_partitioned_hourly(tables.daily, f"{root}/mon_metric_daily", mode, grain="month")
+    write_partitioned_hourly(tables.hourly, f"{root}/mon_metric_hourly", mode,
+                             files_per_period=files_per_period)
+    write_partitioned_hourly(tables.daily, f"{root}/mon_metric_daily", mode, grain="month",
+                             files_per_period=files_per_period)
     tables.current.write.mode(mode).parquet(f"{root}/mon_metric_current")
     tables.tablespaces.write.mode(mode).parquet(f"{root}/mon_db_tablespaces")
     spark = tables.targets.sparkSession
