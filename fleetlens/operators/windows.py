@@ -44,11 +44,9 @@ def lag_prev(df: DataFrame, partition: str, order: str, cols: dict[str, str]) ->
     return df
 
 
-def sort_bounded(df: DataFrame, order: list[Column], bounded: bool = True) -> DataFrame:
-    """Order a result.  When its size has a proven small bound (one row per
-    day or week of the window, or per target of a dimension proven small)
-    one task sorts it, with no range-partition sampling job; otherwise a
-    distributed ``orderBy``."""
-    if bounded:
-        return df.coalesce(1).sortWithinPartitions(*order)
-    return df.orderBy(*order)
+def sort_bounded(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Order a result that holds at most one row per day (or week) of the
+    report window, a few dozen rows: one task sorts it, with no
+    range-partition sampling job.  Per-host or per-database results, whose
+    size follows the fleet, use a distributed ``orderBy``."""
+    return df.coalesce(1).sortWithinPartitions(*order)

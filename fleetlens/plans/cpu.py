@@ -42,9 +42,8 @@ def cpu_current_snapshot(run: ReportRun) -> DataFrame:
     joined = run.hosts.join(latest, "target_name", "left")
     # raw value first, then the short name (ascending puts NULL names last
     # in the repository's order), then the full name for repeatable ties
-    joined = sort_bounded(joined, [F.coalesce(v, F.lit(0)).desc(),
-                                   short_hostname("target_name").asc_nulls_last(),
-                                   F.col("target_name")], run.dim_small)
+    joined = joined.orderBy(F.coalesce(v, F.lit(0)).desc(),
+                            short_hostname("target_name").asc_nulls_last(), F.col("target_name"))
     return joined.select(
         "target_name",
         short_hostname("target_name").alias("hostname"),

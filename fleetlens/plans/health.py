@@ -16,7 +16,6 @@ from fleetlens.functions.numbers import as_double, text_to_number
 from fleetlens.functions.text import number_plain
 from fleetlens.operators.aggregates import conditional_count, ordered_list
 from fleetlens.operators.joins import instance_join, inventory_join, self_join_hosts
-from fleetlens.operators.windows import sort_bounded
 from fleetlens.params import DB_TARGET_TYPES, DISKGROUP_COLUMNS
 from fleetlens.plans.context import ReportRun
 
@@ -29,9 +28,8 @@ def db_host_inventory(run: ReportRun, os_list=None) -> DataFrame:
 
 
 def db_host_inventory_sorted(run: ReportRun, os_list=None) -> DataFrame:
-    """The inventory ordered by database name (one row per database, so
-    bounded by the dimension)."""
-    return sort_bounded(db_host_inventory(run, os_list), [F.col("database_name")], run.dim_small)
+    """The inventory ordered by database name."""
+    return db_host_inventory(run, os_list).orderBy("database_name")
 
 
 def asm_diskgroup_usage(run: ReportRun, os_list=("Linux",), strict: bool = True) -> DataFrame:
