@@ -44,3 +44,24 @@ def health_report(run: ReportRun, html: bool = False) -> dict[str, DataFrame]:
         sections = {k: (render_html_row(v, k, run.p) if k != "db_host_inventory" else v)
                     for k, v in sections.items()}
     return sections
+
+
+def register_views(run: ReportRun, prefix: str = "") -> list[str]:
+    """Register the five relations and every report of ``run`` as temporary
+    views, so they can be queried with ``spark.sql``.  Views are lazy: a
+    report runs only when a statement reads it."""
+    from fleetlens.plans import patterns
+
+    t = run.t
+    views = {"mon_target": t.targets, "mon_metric_hourly": t.hourly, "mon_metric_daily": t.daily,
+             "mon_metric_current": t.current, "mon_db_tablespaces": t.tablespaces}
+    views.update(cpu_report(run))
+    views.update(health_report(run))
+    views.update({"cpu_recurring_pattern": patterns.cpu_recurring_pattern(run),
+                  "cpu_rolling_7d": patterns.cpu_rolling_7d(run),
+                  "cpu_elevated_hosts": patterns.cpu_elevated_hosts(run)})
+    names = []
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -94,3 +94,13 @@ def test_sections_partitioned_by_os(spark):
         ["os=AIX", "os=Linux"]
     back = spark.read.parquet(out + "/host_cpu_current")
     assert back.count() == sections["host_cpu_current"].count()
+
+
+def test_register_views_sql(spark):
+    from fleetlens.plans.report import register_views
+    run = run_for(spark, SF_SMALL)
+    names = register_views(run, prefix="fl_")
+    assert "fl_cpu_spike_days" in names and "fl_mon_metric_hourly" in names
+    n = spark.sql("SELECT sum(incident_count) AS n FROM fl_cpu_spike_days").collect()[0]["n"]
+    k = spark.sql("SELECT spike_count FROM fl_cpu_dashboard_kpis").collect()[0]["spike_count"]
+    assert n == k
