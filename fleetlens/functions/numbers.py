@@ -1,4 +1,5 @@
-"""Exact-number helpers: metric values, text to number, growth ratio."""
+"""Exact-number helpers: readings in integer units, text to number,
+growth ratio."""
 
 from __future__ import annotations
 
@@ -14,10 +15,38 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def metric_value(c, scale: int = 6) -> Column:
-    """A metric reading as DECIMAL(18, scale).  Sums and averages of it are
-    exact, and ``round`` rounds half away from zero on the exact value."""
-    return _c(c).cast(f"decimal(18,{scale})")
+# Readings on the hot path (the hourly series) are held as whole numbers of
+# 10^-scale units in a BIGINT: the conversion is one multiply and a rint
+# per row (a DECIMAL cast goes through text), sums of them are exact long
+# additions, and only aggregated values are turned back into DECIMAL.
+def to_units(c, scale: int = 6) -> Column:
+    """A reading as an exact count of 10^-scale units (BIGINT)."""
+    return F.rint(_c(c) * F.lit(float(10 ** scale))).cast("bigint")
+
+
+def units_lit(x, scale: int = 6) -> Column:
+    """A threshold in the same units, exact."""
+    return F.lit(int(Decimal(str(x)).scaleb(scale).to_integral_value())).cast("bigint")
+
+
+def from_units(c, scale: int = 6) -> Column:
+    """Units back to the exact DECIMAL reading."""
+    return _c(c).cast("decimal(24,0)") * F.lit(Decimal(1).scaleb(-scale))
+
+
+def units_avg2(sum_units, n, scale: int = 6) -> Column:
+    """round(sum / n, 2) in reading terms, exact: the quotient keeps 14
+    decimals before rounding half away from zero."""
+    den = _c(n).cast("decimal(24,0)") * F.lit(10 ** scale)
+    return F.round(_c(sum_units).cast("decimal(24,0)") / den.cast("decimal(24,0)"), 2)
+
+
+def units_stddev2(u, scale: int = 6) -> Column:
+    """Sample standard deviation of unit readings, in reading terms, 2
+    places; 0 (not NULL) for a single reading."""
+    u = _c(u)
+    sd = F.stddev_samp(u.cast("double")) / F.lit(float(10 ** scale))
+    return F.round(F.coalesce(sd, F.when(F.count(u) == 1, F.lit(0.0))), 2)
 
 
 def text_to_number(c, strict: bool = True) -> Column:
@@ -31,12 +60,6 @@ def as_double(c) -> Column:
     return _c(c).cast("double")
 
 
-def stddev_one_is_zero(c) -> Column:
-    """Sample standard deviation that is 0 (not NULL) for a single value."""
-    c = _c(c)
-    return F.coalesce(F.stddev_samp(c), F.when(F.count(c) == 1, F.lit(0.0)))
-
-
 def growth_pct(cur, prev, floor: str = "0.01") -> Column:
     """Month-over-month growth in percent, 2 decimals.  0 when there is no
     previous value, it is not positive, or the change is not above the

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.dates import day_bucket, iso_week_end, month_start
-from fleetlens.functions.numbers import stddev_one_is_zero
+from fleetlens.functions.numbers import from_units, units_avg2
 
 
 def _c(c) -> Column:
@@ -23,51 +23,37 @@ def conditional_distinct(cond: Column, col) -> Column:
     return F.count_distinct(F.when(cond, _c(col)))
 
 
-def exact_avg2(sum_col, n_col, scale: int = 6) -> Column:
-    """round(sum / n, 2) for a DECIMAL(38, scale) sum.  The sum is narrowed
-    to 30 digits so the quotient keeps 8 + scale decimals before the final
-    rounding."""
-    return F.round(_c(sum_col).cast(f"decimal(30,{scale})") / _c(n_col), 2)
-
-
-def agg_global(cpu: DataFrame, spike) -> DataFrame:
-    """Whole window to one row (one row, count 0, on empty input)."""
-    v = F.col("cpu_val")
+def agg_global(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
+    """Whole window to one row (one row, count 0, on empty input).  Works on
+    exact ``cpu_units``; the average is divided once, at the end."""
+    u = F.col("cpu_units")
     return cpu.agg(F.count(F.lit(1)).alias("samples"),
-                   F.round(F.avg(v), 2).alias("avg_cpu"),
-                   F.round(F.min(v), 2).alias("min_cpu"),
-                   F.round(F.max(v), 2).alias("max_cpu"),
-                   conditional_count(v >= spike).alias("spike_count"))
+                   units_avg2(F.sum(u), F.count(u), scale).alias("avg_cpu"),
+                   F.round(from_units(F.min(u), scale), 2).alias("min_cpu"),
+                   F.round(from_units(F.max(u), scale), 2).alias("max_cpu"),
+                   conditional_count(u >= spike).alias("spike_count"))
 
 
-def agg_by_day(cpu: DataFrame, spike) -> DataFrame:
-    v = F.col("cpu_val")
+def agg_by_day(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
+    u = F.col("cpu_units")
     return (cpu.groupBy(day_bucket("rollup_timestamp").alias("day"))
             .agg(F.count(F.lit(1)).alias("samples"),
                  F.count_distinct("target_name").alias("hosts"),
-                 F.round(F.avg(v), 2).alias("avg_cpu"),
-                 F.round(F.max(v), 2).alias("max_cpu"),
-                 conditional_count(v >= spike).alias("spike_count"),
-                 conditional_distinct(v >= spike, "target_name").alias("hosts_with_spikes")))
+                 F.sum(u).alias("s"), F.count(u).alias("n"), F.max(u).alias("mx"),
+                 conditional_count(u >= spike).alias("spike_count"),
+                 conditional_distinct(u >= spike, "target_name").alias("hosts_with_spikes"))
+            .select("day", "samples", "hosts", units_avg2("s", "n", scale).alias("avg_cpu"),
+                    F.round(from_units("mx", scale), 2).alias("max_cpu"),
+                    "spike_count", "hosts_with_spikes"))
 
 
-def agg_by_iso_week(cpu: DataFrame, spike) -> DataFrame:
-    v = F.col("cpu_val")
+def agg_by_iso_week(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
+    u = F.col("cpu_units")
     return (cpu.groupBy(iso_week_end("rollup_timestamp").alias("week_end"))
-            .agg(F.round(F.avg(v), 2).alias("avg_cpu"),
-                 F.round(F.max(v), 2).alias("max_cpu"),
-                 conditional_count(v >= spike).alias("spike_count")))
-
-
-def agg_host_stats(cpu: DataFrame, spike, keys=("target_name", "os_type")) -> DataFrame:
-    """Per-host statistics, rounded to 2 places like the report prints them."""
-    v = F.col("cpu_val")
-    return (cpu.groupBy(*keys)
-            .agg(F.round(F.avg(v), 2).alias("avg_cpu"),
-                 F.round(F.min(v), 2).alias("min_cpu"),
-                 F.round(F.max(v), 2).alias("max_cpu"),
-                 F.round(stddev_one_is_zero(v), 2).alias("stddev_cpu"),
-                 conditional_count(v >= spike).alias("incidents")))
+            .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.max(u).alias("mx"),
+                 conditional_count(u >= spike).alias("spike_count"))
+            .select("week_end", units_avg2("s", "n", scale).alias("avg_cpu"),
+                    F.round(from_units("mx", scale), 2).alias("max_cpu"), "spike_count"))
 
 
 def pivot_max(df: DataFrame, keys, pivot_col: str, value: Column, values) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def latest_per_host(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_timestamp",
-                    value: str = "cpu_val") -> DataFrame:
+                    value: str = "cpu_units") -> DataFrame:
     """Newest reading per host.  Written as an aggregate (``max_by``) rather
     than ``row_number() = 1``: it is combined map-side, so a host with a
     third of all rows still ships one partial row per task."""

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.numbers import metric_value
+from fleetlens.functions.numbers import from_units, to_units, units_lit
 from fleetlens.operators.filters import fleet_filter, lookback_filter, metric_filter
 from fleetlens.operators.joins import bounded, proven_small
 from fleetlens.params import Params
@@ -57,11 +57,12 @@ class ReportRun:
 
     # ---- CPU facts -----------------------------------------------------
     def cpu_rows(self, days: int) -> DataFrame:
-        """CPU readings of any host in the last ``days`` days."""
+        """CPU readings of any host in the last ``days`` days, as exact
+        ``cpu_units`` (BIGINT, 10^-value_scale per unit)."""
         h = metric_filter(self.t.hourly, "Load", "cpuUtil", "host")
         h = lookback_filter(h, self.p.as_of, days)
         return h.select("target_name", "rollup_timestamp",
-                        metric_value("average", self.p.value_scale).alias("cpu_val"))
+                        to_units("average", self.p.value_scale).alias("cpu_units"))
 
     @cached_property
     def _fleet_cpu_wide(self) -> DataFrame:
@@ -72,7 +73,7 @@ class ReportRun:
         return df
 
     def fleet_cpu(self, days: int) -> DataFrame:
-        """Fleet CPU rows (target_name, rollup_timestamp, cpu_val, os_type)
+        """Fleet CPU rows (target_name, rollup_timestamp, cpu_units, os_type)
         in the last ``days`` days, joined once to the host list."""
         if self.persist:
             return lookback_filter(self._fleet_cpu_wide, self.p.as_of, days)
@@ -86,7 +87,12 @@ class ReportRun:
                                         "target_name", "left_semi")
 
     def spike(self):
-        return F.lit(str(self.p.spike_threshold)).cast(f"decimal(18,{self.p.value_scale})")
+        """The spike threshold in ``cpu_units``."""
+        return units_lit(self.p.spike_threshold, self.p.value_scale)
+
+    def value(self, units="cpu_units"):
+        """Units back to the exact reading (DECIMAL)."""
+        return from_units(F.col(units) if isinstance(units, str) else units, self.p.value_scale)
 
     def unpersist(self) -> None:
         if self.persist and "_fleet_cpu_wide" in self.__dict__:

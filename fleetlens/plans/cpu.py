@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import classify as C
 from fleetlens.functions.dates import day_bucket, day_label, iso_week_end, minute_label
-from fleetlens.functions.numbers import as_double, stddev_one_is_zero
+from fleetlens.functions.numbers import as_double, units_avg2, units_stddev2
 from fleetlens.functions.text import short_hostname
-from fleetlens.operators.aggregates import conditional_count, exact_avg2
+from fleetlens.operators.aggregates import conditional_count
 from fleetlens.operators.windows import latest_per_host, rank_global, sort_bounded, top_k
 from fleetlens.plans.context import ReportRun
 
@@ -19,15 +19,15 @@ def cpu_dashboard_kpis(run: ReportRun) -> DataFrame:
     """One row: hosts with samples in the window, average, peak, spike
     samples, hosts with a spike.  Folded in two steps: per host (combined
     map-side, one shuffle on the host key), then the hosts to one row."""
-    spike = run.spike()
-    v = F.col("cpu_val")
+    sc = run.p.value_scale
+    u = F.col("cpu_units")
     per_host = (run.fleet_cpu_semi(run.p.lookback_days).groupBy("target_name")
-                .agg(F.count(v).alias("n"), F.sum(v).alias("s"), F.max(v).alias("mx"),
-                     conditional_count(v >= spike).alias("spikes")))
+                .agg(F.count(u).alias("n"), F.sum(u).alias("s"), F.max(u).alias("mx"),
+                     conditional_count(u >= run.spike()).alias("spikes")))
     return per_host.agg(
         F.count(F.lit(1)).alias("total_hosts"),
-        as_double(exact_avg2(F.sum("s"), F.sum("n"), run.p.value_scale)).alias("avg_cpu"),
-        as_double(F.round(F.max("mx"), 2)).alias("max_cpu"),
+        as_double(units_avg2(F.sum(F.col("s").cast("decimal(24,0)")), F.sum("n"), sc)).alias("avg_cpu"),
+        as_double(F.round(run.value(F.max("mx")), 2)).alias("max_cpu"),
         F.coalesce(F.sum("spikes"), F.lit(0)).cast("bigint").alias("spike_count"),
         F.count(F.when(F.col("spikes") > 0, F.lit(1))).alias("hosts_with_spikes"))
 
@@ -38,11 +38,11 @@ def cpu_current_snapshot(run: ReportRun) -> DataFrame:
     badge test the raw value, the printed value is rounded."""
     p = run.p
     latest = latest_per_host(run.fleet_cpu_semi(p.snapshot_days))
-    v = F.col("cpu_val")
+    v = run.value()
     joined = run.hosts.join(latest, "target_name", "left")
     # raw value first, then the short name (ascending puts NULL names last
     # in the repository's order), then the full name for repeatable ties
-    joined = joined.orderBy(F.coalesce(v, F.lit(0)).desc(),
+    joined = joined.orderBy(F.coalesce(F.col("cpu_units"), F.lit(0)).desc(),
                             short_hostname("target_name").asc_nulls_last(), F.col("target_name"))
     return joined.select(
         "target_name",
@@ -58,13 +58,14 @@ def cpu_current_snapshot(run: ReportRun) -> DataFrame:
 def cpu_spike_days(run: ReportRun) -> DataFrame:
     """Calendar days with at least one spike sample: hosts affected,
     incidents, peak."""
-    v = F.col("cpu_val")
-    spikes = run.fleet_cpu_semi(run.p.lookback_days).where(v >= run.spike())
+    u = F.col("cpu_units")
+    spikes = run.fleet_cpu_semi(run.p.lookback_days).where(u >= run.spike())
     return (spikes.groupBy(day_bucket("rollup_timestamp").alias("d"))
             .agg(F.count_distinct("target_name").alias("hosts_affected"),
                  F.count(F.lit(1)).alias("incident_count"),
-                 as_double(F.round(F.max(v), 2)).alias("peak_cpu"))
-            .select(day_label("d").alias("spike_day"), "hosts_affected", "incident_count", "peak_cpu")
+                 F.max(u).alias("mx"))
+            .select(day_label("d").alias("spike_day"), "hosts_affected", "incident_count",
+                    as_double(F.round(run.value("mx"), 2)).alias("peak_cpu"))
             .transform(lambda d: sort_bounded(d, [F.col("spike_day").desc()])))
 
 
@@ -72,11 +73,13 @@ def cpu_weekly_trend(run: ReportRun) -> DataFrame:
     """ISO weeks labelled by their Sunday: average, peak and spike samples;
     the peak colour tests the rounded peak."""
     p = run.p
-    v = F.col("cpu_val")
+    u = F.col("cpu_units")
     wk = (run.fleet_cpu_semi(p.lookback_days)
           .groupBy(iso_week_end("rollup_timestamp").alias("w"))
-          .agg(F.round(F.avg(v), 2).alias("avg2"), F.round(F.max(v), 2).alias("max2"),
-               conditional_count(v >= run.spike()).alias("spike_count")))
+          .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.max(u).alias("mx"),
+               conditional_count(u >= run.spike()).alias("spike_count"))
+          .select("w", "spike_count", units_avg2("s", "n", p.value_scale).alias("avg2"),
+                  F.round(run.value("mx"), 2).alias("max2")))
     return (wk.select(day_label("w").alias("week_end"), as_double("avg2").alias("avg_cpu"),
                       as_double("max2").alias("max_cpu"), "spike_count",
                       C.peak_colour("max2", p.high_cutoff, p.warn_cutoff).alias("colour"))
@@ -87,14 +90,14 @@ def cpu_top_spike_events(run: ReportRun) -> DataFrame:
     """The ``events_k`` highest spike samples of the fixed ``events_days``
     window, newest first among equal values."""
     p = run.p
-    v = F.col("cpu_val")
-    spikes = run.fleet_cpu(p.events_days).where(v >= run.spike())
-    order = [v.desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
+    u = F.col("cpu_units")
+    spikes = run.fleet_cpu(p.events_days).where(u >= run.spike())
+    order = [u.desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
     ranked = rank_global(spikes, order, p.events_k)
     return ranked.select(
         "target_name", short_hostname("target_name").alias("hostname"), "os_type",
         minute_label("rollup_timestamp").alias("event_ts"),
-        as_double(F.round(v, 2)).alias("cpu_pct"), "rn",
+        as_double(F.round(run.value(), 2)).alias("cpu_pct"), "rn",
         F.lit(C.PATTERN_HINT_TEXT).alias("pattern_hint")).orderBy("rn")
 
 
@@ -102,15 +105,18 @@ def host_stats(run: ReportRun, os_name: str | None = None) -> DataFrame:
     """Per-host average, min, max, standard deviation and incidents over the
     lookback window; ``os_name`` matches the OS case-insensitively."""
     p = run.p
-    v = F.col("cpu_val")
+    u = F.col("cpu_units")
     cpu = run.fleet_cpu(p.lookback_days)
     if os_name is not None:
         cpu = cpu.where(F.upper("os_type") == os_name.upper())
     st = (cpu.groupBy("target_name", "os_type")
-          .agg(F.round(F.avg(v), 2).alias("avg2"), F.round(F.min(v), 2).alias("min2"),
-               F.round(F.max(v), 2).alias("max2"),
-               F.round(stddev_one_is_zero(v), 2).alias("stddev_cpu"),
-               conditional_count(v >= run.spike()).alias("incidents")))
+          .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.min(u).alias("mn"),
+               F.max(u).alias("mx"), units_stddev2(u, p.value_scale).alias("stddev_cpu"),
+               conditional_count(u >= run.spike()).alias("incidents"))
+          .select("target_name", "os_type", "stddev_cpu", "incidents",
+                  units_avg2("s", "n", p.value_scale).alias("avg2"),
+                  F.round(run.value("mn"), 2).alias("min2"),
+                  F.round(run.value("mx"), 2).alias("max2")))
     return st.select(
         "target_name", short_hostname("target_name").alias("hostname"), "os_type",
         as_double("avg2").alias("avg_cpu"), as_double("min2").alias("min_cpu"),

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.dates import day_bucket, day_label, minute_label
-from fleetlens.functions.numbers import as_double
+from fleetlens.functions.numbers import as_double, units_avg2
 from fleetlens.functions.text import short_hostname
-from fleetlens.operators.aggregates import exact_avg2
 from fleetlens.operators.windows import sort_bounded
 from fleetlens.plans.context import ReportRun
 from fleetlens.plans.cpu import cpu_current_snapshot
@@ -29,8 +28,8 @@ def cpu_recurring_pattern(run: ReportRun) -> DataFrame:
     one row per day of the window (``events_days + 1`` rows), however many
     rows the host itself has."""
     p = run.p
-    v = F.col("cpu_val")
-    spikes = (run.fleet_cpu_semi(p.events_days).where(v >= run.spike())
+    u = F.col("cpu_units")
+    spikes = (run.fleet_cpu_semi(p.events_days).where(u >= run.spike())
               .withColumn("spike_hour", F.hour("rollup_timestamp")))
     w = Window.partitionBy("target_name", "spike_hour")
     days = F.size(F.collect_set(day_bucket("rollup_timestamp")).over(w)).cast("bigint")
@@ -38,7 +37,7 @@ def cpu_recurring_pattern(run: ReportRun) -> DataFrame:
     return spikes.withColumn("days_at_hour", days).select(
         "target_name", short_hostname("target_name").alias("hostname"),
         minute_label("rollup_timestamp").alias("event_ts"),
-        as_double(F.round(v, 2)).alias("cpu_pct"),
+        as_double(F.round(run.value(), 2)).alias("cpu_pct"),
         F.col("spike_hour").cast("bigint").alias("spike_hour"), "days_at_hour",
         F.when(F.col("days_at_hour") >= p.recurring_min_days,
                F.concat(F.lit("Recurring batch @ "), hh, F.lit(":00")))
@@ -51,18 +50,18 @@ def cpu_rolling_7d(run: ReportRun) -> DataFrame:
     first; the window then runs over one row per day, so the single
     partition it needs holds at most ``lookback_days + 1`` rows."""
     p = run.p
-    v = F.col("cpu_val")
+    u = F.col("cpu_units")
     daily = (run.fleet_cpu_semi(p.lookback_days)
              .groupBy(day_bucket("rollup_timestamp").alias("d"))
-             .agg(F.sum(v).alias("s"), F.count(v).alias("n")))
+             .agg(F.sum(u).alias("s"), F.count(u).alias("n")))
     w = Window.orderBy(F.unix_date("d")).rangeBetween(-(p.rolling_days - 1), 0)
     out = daily.select(
         "d", F.sum("s").over(w).alias("ws"), F.sum("n").over(w).alias("wn"),
         F.count(F.lit(1)).over(w).alias("days_in_window"),
-        exact_avg2("s", "n", p.value_scale).alias("day_avg"))
+        units_avg2("s", "n", p.value_scale).alias("day_avg"))
     return out.select(day_label("d").alias("day"),
                       as_double("day_avg").alias("daily_avg_cpu"),
-                      as_double(exact_avg2("ws", "wn", p.value_scale)).alias("rolling_avg_cpu"),
+                      as_double(units_avg2("ws", "wn", p.value_scale)).alias("rolling_avg_cpu"),
                       "days_in_window").transform(lambda d: sort_bounded(d, [F.col("day")]))
 
 

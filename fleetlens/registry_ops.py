@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import classify as C
 from fleetlens.functions.dates import day_label, iso_week_end, minute_label, month_label, month_start
-from fleetlens.functions.numbers import as_double, growth_pct, text_to_number
+from fleetlens.functions.numbers import (as_double, from_units, growth_pct, text_to_number,
+                                         to_units, units_avg2)
 from fleetlens.functions.text import number_fixed2, number_plain, short_hostname
 from fleetlens.operators import aggregates as A
 from fleetlens.operators import filters as FL
@@ -24,8 +25,9 @@ from fleetlens.sources.testmap import SUBSET_LOOKBACK_DAYS
 
 
 def _cpu_out(df: DataFrame, *extra) -> DataFrame:
+    """Readings as printed: the exact value of ``cpu_units`` as DOUBLE."""
     return df.select("target_name", minute_label("rollup_timestamp").alias("ts_label"),
-                     as_double("cpu_val").alias("cpu_val"), *extra)
+                     as_double(from_units("cpu_units")).alias("cpu_val"), *extra)
 
 
 def _latest(run: ReportRun) -> DataFrame:
@@ -59,7 +61,7 @@ def fleet_filter(r):
 
 def metric_filter(r):
     h = FL.metric_filter(r.t.hourly, "Load", "cpuUtil", "host")
-    return _cpu_out(h.withColumn("cpu_val", F.col("average").cast("decimal(18,6)")))
+    return _cpu_out(h.withColumn("cpu_units", to_units("average")))
 
 
 def lookback_filter(r):
@@ -73,7 +75,7 @@ def month_window_filter(r):
 
 
 def threshold_filter(r):
-    return _cpu_out(FL.threshold_filter(r.cpu_rows(r.p.lookback_days), "cpu_val", r.spike()))
+    return _cpu_out(FL.threshold_filter(r.cpu_rows(r.p.lookback_days), "cpu_units", r.spike()))
 
 
 def type_in_filter(r):
@@ -106,13 +108,13 @@ def fleet_inner_join(r):
 def two_key_join(r):
     h = FL.metric_filter(r.t.hourly, "Load", "cpuUtil").select(
         "target_name", "target_type", "rollup_timestamp",
-        F.col("average").cast("decimal(18,6)").alias("cpu_val"))
+        to_units("average").alias("cpu_units"))
     t = r.t.targets.select("target_name", "target_type", F.col("type_qualifier1").alias("os_type"))
     return _cpu_out(J.two_key_join(h, t, r.dim_small), "os_type")
 
 
 def latest_left_join(r):
-    return _latest(r).select("target_name", as_double("cpu_val").alias("cpu_val"),
+    return _latest(r).select("target_name", as_double(r.value()).alias("cpu_val"),
                              minute_label("rollup_timestamp").alias("ts_label"))
 
 
@@ -132,21 +134,21 @@ def inventory_join(r):
 
 
 def agg_global(r):
-    g = A.agg_global(r.fleet_cpu_semi(r.p.lookback_days), r.spike())
+    g = A.agg_global(r.fleet_cpu_semi(r.p.lookback_days), r.spike(), r.p.value_scale)
     return g.select("samples", as_double("avg_cpu").alias("avg_cpu"),
                     as_double("min_cpu").alias("min_cpu"), as_double("max_cpu").alias("max_cpu"),
                     "spike_count")
 
 
 def agg_by_day(r):
-    g = A.agg_by_day(r.fleet_cpu_semi(r.p.lookback_days), r.spike())
+    g = A.agg_by_day(r.fleet_cpu_semi(r.p.lookback_days), r.spike(), r.p.value_scale)
     return g.select(day_label("day").alias("day"), "samples", "hosts",
                     as_double("avg_cpu").alias("avg_cpu"), as_double("max_cpu").alias("max_cpu"),
                     "spike_count", "hosts_with_spikes")
 
 
 def agg_by_iso_week(r):
-    g = A.agg_by_iso_week(r.fleet_cpu_semi(r.p.lookback_days), r.spike())
+    g = A.agg_by_iso_week(r.fleet_cpu_semi(r.p.lookback_days), r.spike(), r.p.value_scale)
     return g.select(day_label("week_end").alias("week_end"), as_double("avg_cpu").alias("avg_cpu"),
                     as_double("max_cpu").alias("max_cpu"), "spike_count")
 
@@ -157,13 +159,13 @@ def agg_host_stats(r):
 
 
 def agg_conditional_count(r):
-    v = F.col("cpu_val")
+    v = F.col("cpu_units")
     return (r.fleet_cpu_semi(r.p.lookback_days).groupBy("target_name")
             .agg(A.conditional_count(v >= r.spike()).alias("incidents")))
 
 
 def agg_conditional_distinct(r):
-    v = F.col("cpu_val")
+    v = F.col("cpu_units")
     return (r.fleet_cpu_semi(r.p.lookback_days)
             .groupBy(day_label(F.to_date("rollup_timestamp")).alias("day"))
             .agg(A.conditional_distinct(v >= r.spike(), "target_name").alias("hosts_with_spikes")))
@@ -210,7 +212,7 @@ def latest_per_host_rank(r):
 
 
 def rank_global(r):
-    v = F.col("cpu_val")
+    v = F.col("cpu_units")
     spikes = r.fleet_cpu_semi(r.p.events_days).where(v >= r.spike())
     order = [v.desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
     return _cpu_out(W.rank_global(spikes, order, r.p.events_k), "rn")
@@ -236,10 +238,11 @@ def short_hostname_q(r):
 
 
 def number_fixed2_q(r):
+    u = F.col("cpu_units")
     st = r.fleet_cpu_semi(r.p.lookback_days).groupBy("target_name").agg(
-        F.avg("cpu_val").alias("a"), F.min("cpu_val").alias("m"))
-    return st.select("target_name", number_fixed2("a").alias("avg_text"),
-                     number_fixed2("m").alias("min_text"))
+        F.sum(u).alias("s"), F.count(u).alias("n"), F.min(u).alias("m"))
+    return st.select("target_name", number_fixed2(units_avg2("s", "n")).alias("avg_text"),
+                     number_fixed2(from_units("m")).alias("min_text"))
 
 
 def number_plain_q(r):
@@ -278,16 +281,16 @@ def unit_conversion(r):
 
 def null_default(r):
     return _latest(r).select(
-        "target_name", as_double(F.coalesce("cpu_val", F.lit(0))).alias("cpu_or_zero"),
+        "target_name", as_double(F.coalesce(r.value(), F.lit(0))).alias("cpu_or_zero"),
         F.coalesce(minute_label("rollup_timestamp"), F.lit("N/A")).alias("last_measured"))
 
 
 def classify_snapshot_colour(r):
-    return _latest(r).select("target_name", C.snapshot_colour("cpu_val").alias("colour"))
+    return _latest(r).select("target_name", C.snapshot_colour(r.value()).alias("colour"))
 
 
 def classify_snapshot_badge(r):
-    return _latest(r).select("target_name", C.snapshot_badge("cpu_val").alias("status"))
+    return _latest(r).select("target_name", C.snapshot_badge(r.value()).alias("status"))
 
 
 def classify_peak_colour(r):
