@@ -20,8 +20,10 @@ def _c(c) -> Column:
 # per row (a DECIMAL cast goes through text), sums of them are exact long
 # additions, and only aggregated values are turned back into DECIMAL.
 def to_units(c, scale: int = 6) -> Column:
-    """A reading as an exact count of 10^-scale units (BIGINT)."""
-    return F.rint(_c(c) * F.lit(float(10 ** scale))).cast("bigint")
+    """A reading as an exact count of 10^-scale units (BIGINT).  A reading
+    that is not a finite number (NaN, infinity in a binary export) becomes
+    NULL, i.e. missing, like a NULL reading: it does not stop the job."""
+    return F.rint(_c(c) * F.lit(float(10 ** scale))).try_cast("bigint")
 
 
 def units_lit(x, scale: int = 6) -> Column:

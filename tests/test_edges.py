@@ -186,3 +186,11 @@ def test_total_hosts_counts_hosts_with_samples(spark):
     run = run_of(spark, targets=[host(H), host("idle-D-9.x")], hourly=[hr(H, T, 10.0)])
     assert rows(cpu.cpu_dashboard_kpis(run))[0]["total_hosts"] == 1
     assert len(rows(cpu.cpu_current_snapshot(run))) == 2
+
+
+def test_non_finite_reading_is_missing(spark):
+    hourly = [hr(H, T, float("nan")), hr(H, T.replace(hour=13), 40.0),
+              hr(H, T.replace(hour=14), float("inf"))]
+    run = run_of(spark, targets=[host(H)], hourly=hourly)
+    k = rows(cpu.cpu_dashboard_kpis(run))[0]
+    assert (k["total_hosts"], k["avg_cpu"], k["max_cpu"]) == (1, 40.0, 40.0)
