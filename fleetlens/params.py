@@ -62,3 +62,15 @@ class Params:
     # most this many rows; beyond it the join shuffles (AQE may still
     # convert it at runtime from measured sizes)
     broadcast_max_rows: int = 500_000
+
+    def __post_init__(self):
+        for name in ("lookback_days", "snapshot_days", "events_days", "events_k",
+                     "consumers_k", "recurring_min_days", "rolling_days", "broadcast_max_rows"):
+            if int(getattr(self, name)) < 1:
+                raise ValueError(f"{name} must be at least 1")
+        if self.growth_months_back < 0:
+            raise ValueError("growth_months_back must not be negative")
+        if not 0 <= self.value_scale <= 9:
+            raise ValueError("value_scale must be between 0 and 9")
+        if not self.os_list:
+            raise ValueError("os_list must name at least one OS")

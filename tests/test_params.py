@@ -1,0 +1,41 @@
+"""Run parameters steer the reports (threshold override, windows, k)."""
+
+from datetime import datetime
+
+import pytest
+
+from fleetlens.params import Params
+from fleetlens.plans import cpu
+from fleetlens.registry import run_for
+from tests.conftest import SF_SMALL
+
+AS_OF = datetime(2024, 1, 31)
+
+
+def test_threshold_override_counts_more_spikes(spark):
+    k98 = cpu.cpu_dashboard_kpis(run_for(spark, SF_SMALL, Params(as_of=AS_OF))).collect()[0]
+    k90 = cpu.cpu_dashboard_kpis(run_for(spark, SF_SMALL, Params(as_of=AS_OF, spike_threshold=90))).collect()[0]
+    assert k90["spike_count"] > k98["spike_count"]
+    assert k90["total_hosts"] == k98["total_hosts"]
+
+
+def test_shorter_lookback_fewer_days_and_weeks(spark):
+    p7 = Params(as_of=AS_OF, lookback_days=7)
+    days = cpu.cpu_spike_days(run_for(spark, SF_SMALL, p7)).collect()
+    assert 0 < len(days) <= 8
+    assert all(r["spike_day"] >= "2024-01-24" for r in days)
+    weeks = cpu.cpu_weekly_trend(run_for(spark, SF_SMALL, p7)).collect()
+    assert len(weeks) <= 2
+
+
+def test_k_parameters(spark):
+    p = Params(as_of=AS_OF, events_k=5, consumers_k=3)
+    assert cpu.cpu_top_spike_events(run_for(spark, SF_SMALL, p)).count() == 5
+    assert cpu.cpu_top_consumers_linux(run_for(spark, SF_SMALL, p)).count() == 3
+
+
+@pytest.mark.parametrize("kw", [dict(lookback_days=0), dict(events_k=0), dict(value_scale=12),
+                                dict(os_list=()), dict(growth_months_back=-1)])
+def test_invalid_params(kw):
+    with pytest.raises(ValueError):
+        Params(**kw)
