@@ -36,11 +36,18 @@ def month_label(c) -> Column:
     return F.upper(F.date_format(_c(c), "MMM-yyyy"))
 
 
+def as_of_literal(as_of) -> Column:
+    """``as_of`` as a TIMESTAMP_NTZ literal, built from its text so that no
+    time zone (of the Python process or the session) shifts it."""
+    text = as_of.isoformat(sep=" ") if hasattr(as_of, "hour") else f"{as_of.isoformat()} 00:00:00"
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def days_before(as_of, days: int) -> Column:
     """The instant ``days`` days before ``as_of`` (not a day boundary)."""
-    return F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+    return as_of_literal(as_of) - F.make_dt_interval(F.lit(days))
 
 
 def months_back_start(as_of, months: int) -> Column:
     """First day of the month ``months`` months before ``as_of``'s month."""
-    return F.add_months(F.trunc(F.lit(as_of).cast("date"), "month"), -months)
+    return F.add_months(F.trunc(F.to_date(as_of_literal(as_of)), "month"), -months)

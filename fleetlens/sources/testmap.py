@@ -16,6 +16,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.functions.dates import as_of_literal
 from fleetlens.sources.tables import (CURRENT_SCHEMA, DAILY_SCHEMA, HOURLY_SCHEMA,
                                       TABLESPACE_SCHEMA, TARGET_SCHEMA, conform)
 
@@ -162,7 +163,7 @@ def tablespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat(F.lit("TS"), _lp(k, 6)).alias("tablespace_name"),
                       F.lit("ONLINE").alias("status"), F.lit("PERMANENT").alias("contents"),
                       size.alias("tablespace_size"), used.alias("tablespace_used_size"),
-                      F.lit(TABLESPACE_TS).cast("timestamp_ntz").alias("collection_timestamp"))
+                      as_of_literal(TABLESPACE_TS).alias("collection_timestamp"))
     return conform(out, TABLESPACE_SCHEMA)
 
 

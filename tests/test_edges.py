@@ -194,3 +194,17 @@ def test_non_finite_reading_is_missing(spark):
     run = run_of(spark, targets=[host(H)], hourly=hourly)
     k = rows(cpu.cpu_dashboard_kpis(run))[0]
     assert (k["total_hosts"], k["avg_cpu"], k["max_cpu"]) == (1, 40.0, 40.0)
+
+
+def test_window_ignores_session_time_zone(spark):
+    """The window edge is as_of minus N days in wall-clock terms, whatever
+    the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        edge = datetime(2026, 2, 27, 0, 0)  # AS_OF (2026-03-01) minus 2 days
+        run = run_of(spark, targets=[host(H)], hourly=[hr(H, edge, 55.0)])
+        r = rows(cpu.cpu_current_snapshot(run))[0]
+        assert (r["cpu_pct"], r["last_measured"]) == (55.0, "2026-02-27 00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
