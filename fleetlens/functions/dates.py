@@ -28,7 +28,10 @@ def day_label(c) -> Column:
 
 
 def minute_label(c) -> Column:
-    return F.date_format(_c(c), "yyyy-MM-dd HH:mm")
+    """``2026-02-28 23:00``, from the timestamp's own text: a wall-clock
+    (NTZ) reading prints as stored whatever the session time zone, also
+    inside a daylight-saving gap."""
+    return F.substring(_c(c).cast("string"), 1, 16)
 
 
 def month_label(c) -> Column:

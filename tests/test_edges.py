@@ -208,3 +208,14 @@ def test_window_ignores_session_time_zone(spark):
         assert (r["cpu_pct"], r["last_measured"]) == (55.0, "2026-02-27 00:00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_minute_label_inside_dst_gap(spark):
+    from fleetlens.functions.dates import minute_label
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(datetime(2026, 3, 8, 2, 30),)], "t timestamp_ntz")
+        assert df.select(minute_label("t")).collect()[0][0] == "2026-03-08 02:30"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
