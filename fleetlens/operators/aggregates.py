@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.dates import day_bucket, iso_week_end, month_start
-from fleetlens.functions.numbers import from_units, units_avg2
+from fleetlens.functions.numbers import from_units, to_units, units_avg2
 
 
 def _c(c) -> Column:
@@ -69,11 +69,13 @@ def pivot_sum(df: DataFrame, keys, pivot_col: str, value: Column, mapping: dict[
 
 
 def agg_monthly_avg(daily: DataFrame, keys=("target_name",), scale: int = 6) -> DataFrame:
-    """Average of the daily maximum per month and metric column, 2 places,
-    computed on exact decimals."""
+    """Average of the daily maximum per month and metric column, 2 places:
+    exact long sums of unit readings, one exact division per group."""
+    u = to_units("maximum", scale)
     return (daily.groupBy(*keys, month_start("rollup_timestamp").alias("month_dt"), "metric_column")
-            .agg(F.round(F.avg(F.col("maximum").cast(f"decimal(18,{scale})")), 2)
-                 .cast("decimal(18,2)").alias("avg_value")))
+            .agg(F.sum(u).alias("s"), F.count(u).alias("n"))
+            .select(*keys, "month_dt", "metric_column",
+                    units_avg2("s", "n", scale).cast("decimal(18,2)").alias("avg_value")))
 
 
 def ordered_list(item_sql: str, order_sql: str, sep: str = ", ") -> Column:
