@@ -144,3 +144,41 @@ def test_host_cpu_rounding(spark, value, status):
     run = run_of(spark, targets=targets, current=[("h1", "Load", "cpuUtil", " ", value)])
     got = rows(health.host_cpu_current(run))
     assert got[0]["status"] == status
+
+
+def _render(spark, key, ddl, row):
+    return render_html_row(spark.createDataFrame([row], ddl), key).collect()[0]["html_row"]
+
+
+def test_spike_day_row_golden(spark):
+    html = _render(spark, "cpu_spike_days",
+                   "spike_day string, hosts_affected bigint, incident_count bigint, peak_cpu double",
+                   ("2026-02-11", 1, 8, 100.0))
+    assert html == ('<tr><td>2026-02-11</td><td style="text-align:center;">1</td><td style="text-align:'
+                    'center;font-weight:bold;color:#dc3545;">8</td><td style="text-align:center;'
+                    'font-weight:bold;color:#dc3545;">100.00%</td></tr>')
+
+
+def test_weekly_row_golden(spark):
+    html = _render(spark, "cpu_weekly_trend",
+                   "week_end string, avg_cpu double, max_cpu double, spike_count bigint, colour string",
+                   ("2026-02-15", 4.99, 100.0, 9, "#dc3545"))
+    assert html == ('<tr><td>2026-02-15</td><td style="text-align:center;">4.99%</td><td style="text-'
+                    'align:center;font-weight:bold;color:#dc3545;">100.00%</td><td style="text-align:'
+                    'center;">9</td></tr>')
+
+
+def test_spike_event_row_golden(spark):
+    html = _render(spark, "cpu_top_spike_events",
+                   "hostname string, os_type string, event_ts string, cpu_pct double",
+                   ("oem-host-12", "Linux", "2026-02-11 19:00", 100.0))
+    assert html == ('<tr><td><strong>oem-host-12</strong></td><td>Linux</td><td>2026-02-11 19:00</td>'
+                    '<td style="text-align:center;font-weight:bold;color:#dc3545;">100.00%</td>'
+                    '<td><em>Check for recurring HH:MI pattern</em></td></tr>')
+
+
+@pytest.mark.parametrize("pct,text", [(1.7, "1.7%"), (14.1, "14.1%"), (1.58, "1.58%")])
+def test_host_cpu_row_golden(spark, pct, text):
+    html = _render(spark, "host_cpu_current", "server string, cpu_pct double, status string",
+                   ("aix-host-07.example.com", pct, "low"))
+    assert html == f'<tr class="low"><td>aix-host-07.example.com</td><td>{text}</td></tr>'
