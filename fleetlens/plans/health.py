@@ -23,7 +23,7 @@ from fleetlens.plans.context import ReportRun
 def db_host_inventory(run: ReportRun, os_list=None) -> DataFrame:
     """Databases and the host each runs on, for hosts of the given OS
     values (exact, case-sensitive match)."""
-    os_list = tuple(os_list or run.p.os_list)
+    os_list = tuple(run.p.os_list if os_list is None else os_list)
     return self_join_hosts(run.t.targets, DB_TARGET_TYPES, os_list, run.dim_small)
 
 
@@ -58,10 +58,11 @@ def asm_diskgroup_usage(run: ReportRun, os_list=("Linux",), strict: bool = True)
         C.asm_status("pct_int", p.health_critical, p.health_warn).alias("status"))
 
 
-def asm_not_applicable(run: ReportRun, os_name: str = "AIX") -> DataFrame:
+def asm_not_applicable(run: ReportRun, os_list=("AIX",)) -> DataFrame:
     """The disk-group section of an AIX report is one fixed row; it is
-    emitted once per OS value that has databases in the inventory."""
-    inv = db_host_inventory(run, (os_name,))
+    emitted once per OS value of ``os_list`` that has databases in the
+    inventory."""
+    inv = db_host_inventory(run, tuple(os_list))
     return (inv.select("os").distinct()
             .select("os", F.lit(C.ASM_NOT_APPLICABLE_TEXT).alias("status")))
 

@@ -31,11 +31,13 @@ def health_report(run: ReportRun, html: bool = False) -> dict[str, DataFrame]:
     """The health sections for every OS of ``run.p.os_list`` at once (one
     job per section, rows carry ``os``); disk groups for Linux, the fixed
     row for AIX."""
-    os_list = run.p.os_list
+    os_list = tuple(run.p.os_list)
+    no_asm = tuple(o for o in os_list if o == "AIX")
+    with_asm = tuple(o for o in os_list if o != "AIX")
     sections = {
         "db_host_inventory": health.db_host_inventory(run, os_list),
-        "asm_diskgroup_usage": health.asm_diskgroup_usage(run, tuple(o for o in os_list if o != "AIX")),
-        "asm_not_applicable": health.asm_not_applicable(run, "AIX"),
+        "asm_diskgroup_usage": health.asm_diskgroup_usage(run, with_asm),
+        "asm_not_applicable": health.asm_not_applicable(run, no_asm),
         "tablespace_attention": health.tablespace_attention(run, os_list),
         "host_cpu_current": health.host_cpu_current(run, os_list),
         "db_growth_monthly": growth.db_growth_monthly(run, os_list),

@@ -104,3 +104,18 @@ def test_register_views_sql(spark):
     n = spark.sql("SELECT sum(incident_count) AS n FROM fl_cpu_spike_days").collect()[0]["n"]
     k = spark.sql("SELECT spike_count FROM fl_cpu_dashboard_kpis").collect()[0]["spike_count"]
     assert n == k
+
+
+def test_health_report_single_os(spark):
+    from fleetlens.params import Params
+    from fleetlens.registry import cpu_params
+    p = cpu_params()
+    run = run_for(spark, SF_SMALL, Params(as_of=p.as_of, os_list=("AIX",)))
+    sections = health_report(run)
+    assert sections["asm_diskgroup_usage"].count() == 0
+    assert sections["asm_not_applicable"].count() == 1
+    assert {r.os for r in sections["host_cpu_current"].collect()} == {"AIX"}
+    run = run_for(spark, SF_SMALL, Params(as_of=p.as_of, os_list=("Linux",)))
+    sections = health_report(run)
+    assert sections["asm_not_applicable"].count() == 0
+    assert sections["asm_diskgroup_usage"].count() > 0
