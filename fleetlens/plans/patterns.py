@@ -23,18 +23,22 @@ def cpu_recurring_pattern(run: ReportRun) -> DataFrame:
     HH:00`` when its host spiked at that hour of day on at least
     ``recurring_min_days`` distinct days, else ``Isolated``.
 
-    One scan: the distinct days are counted by a window over (host, hour of
-    day).  A host has one reading per hour, so such a group holds at most
-    one row per day of the window (``events_days + 1`` rows), however many
-    rows the host itself has."""
+    The distinct days are counted per (host, hour of day) by an aggregate:
+    (host, hour, day) is deduplicated map-side, so a host holding a third
+    of all rows, copies included, sends at most one row per hour and day
+    from each task to the one shuffle.  The counts (at most 24 per spiking
+    host) are joined back with no hint: AQE broadcasts them when their
+    measured size is small, else the join shuffles and a hot host is split
+    by AQE's skew join."""
     p = run.p
     u = F.col("cpu_units")
     spikes = (run.fleet_cpu_semi(p.events_days).where(u >= run.spike())
               .withColumn("spike_hour", F.hour("rollup_timestamp")))
-    w = Window.partitionBy("target_name", "spike_hour")
-    days = F.size(F.collect_set(day_bucket("rollup_timestamp")).over(w)).cast("bigint")
+    per_hour = (spikes.groupBy("target_name", "spike_hour")
+                .agg(F.count_distinct(day_bucket("rollup_timestamp")).alias("days_at_hour")))
+    spikes = spikes.join(per_hour, ["target_name", "spike_hour"], "inner")
     hh = F.lpad(F.col("spike_hour").cast("string"), 2, "0")
-    return spikes.withColumn("days_at_hour", days).select(
+    return spikes.select(
         "target_name", short_hostname("target_name").alias("hostname"),
         minute_label("rollup_timestamp").alias("event_ts"),
         as_double(F.round(run.value(), 2)).alias("cpu_pct"),

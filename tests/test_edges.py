@@ -146,6 +146,17 @@ def test_recurring_pattern(spark):
                    ("2026-02-23 05:00", "Isolated")]
 
 
+def test_recurring_pattern_copies_count_days_once(spark):
+    """Copies of a host's readings repeat the spike rows but count each
+    day once, so the hint does not change."""
+    hourly = [hr(H, datetime(2026, 2, d, 3), 99.0) for d in (20, 21)]
+    hourly += [hr(H, datetime(2026, 2, 23, 5), 99.0)]
+    run = run_of(spark, targets=[host(H)], hourly=hourly * 4)
+    got = rows(cpu_recurring_pattern(run))
+    assert len(got) == 12
+    assert {(r["spike_hour"], r["days_at_hour"]) for r in got} == {(3, 2), (5, 1)}
+
+
 def test_rolling_7d(spark):
     hourly = [hr(H, datetime(2026, 2, d, 1), float(d)) for d in range(10, 20)]
     run = run_of(spark, targets=[host(H)], hourly=hourly)
