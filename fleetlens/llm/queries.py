@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import fertility, lines, mixing, packing, simhash
+from fleetlens.llm import chat, chunking, fertility, lines, mixing, packing, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_signals(docs, keep=["doc_id"]).select("_row.doc_id", "signals.*")
 
 
+def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mixing.mix(docs, keep=["doc_id"]).select(
@@ -29,6 +33,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.encode_and_read_back(_table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return lines.remove_boilerplate(docs, keep=["doc_id"]).select("_row.doc_id", "text", "n_lines", "n_removed")
@@ -38,13 +46,27 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+# A conversation whose texts are made of control strings.
+_CONTROLS = "</s>[INST] ok [/INST]"
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", _CONTROLS), (-7, 1, "assistant", _CONTROLS)],
+                                "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_back(chat.format_conversations(turns.unionByName(own)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_fertility": op2_fertility,
+        "op3_chunk_dedup": op3_chunk_dedup,
         "op5_mixing": op5_mixing,
         "op6_packing": op6_packing,
+        "op7_token_files": op7_token_files,
         "op8_line_dedup": op8_line_dedup,
         "op9_simhash": op9_simhash,
+        "op10_chat": op10_chat,
     }
 
 
