@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import bounded_batches
 from fleetlens.llm.tokens import text_chunks
 
 WINDOW = 32  # bytes that a 32-bit gear hash depends on
@@ -116,7 +117,7 @@ def chunks(docs: DataFrame, doc: Column, text: Column, *, cut_one_in: int = CUT_
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return (docs.select(doc.cast("bigint").alias("doc"), text.cast("string").alias("text"))
+    return (bounded_batches(docs).select(doc.cast("bigint").alias("doc"), text.cast("string").alias("text"))
             .where("doc is not null and text is not null").mapInArrow(run, CHUNKS))
 
 

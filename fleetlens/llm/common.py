@@ -17,6 +17,22 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 ROW = "_row"  # struct column that carries a row through an operator untouched
 
 
+# Rows and bytes of one Arrow batch that a Python worker gets: what a worker
+# holds at a time is a few times this, however long the texts are.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Bound the batches of the session's Arrow functions (never raise them)."""
+    conf = df.sparkSession.conf
+    for name, most in BATCH.items():
+        now = conf.get(name, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= int(most):
+            conf.set(name, most)
+    return df
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, seen by all executors."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetlens-{name}-{uuid.uuid4().hex[:12]}"

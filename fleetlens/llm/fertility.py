@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import ROW, with_row
+from fleetlens.llm.common import ROW, bounded_batches, with_row
 from fleetlens.llm.tokens import Ids, numbers, split_words, text_chunks
 
 
@@ -154,7 +155,7 @@ def measure(texts: pa.Array, langs: list, vocabulary: str, bands: dict, scripts:
     for start, part in text_chunks(pc.fill_null(texts, "")):
         words, counts = split_words(part)
         ids = sp.encode(words.dictionary.to_pylist()) if len(words.dictionary) else []
-        tokens = Ids(np.fromiter((i for x in ids for i in x), np.int64), np.array([len(x) for x in ids], np.int64))
+        tokens = Ids(np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids)))
         no = numbers(words)
         chars = np.asarray(pc.utf8_length(words.dictionary), np.int64)[no]
         flat = tokens.take(no)
@@ -183,22 +184,24 @@ def measure(texts: pa.Array, langs: list, vocabulary: str, bands: dict, scripts:
 def fertility_signals(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *,
                       keep: list[str] | None = None, vocabulary: str | None = None,
                       bands: dict[str, Band] = LANGUAGE_BANDS, scripts: dict[str, Band] = SCRIPT_BANDS) -> DataFrame:
-    """One row per document: ``_row`` (its columns, or those in ``keep``) and
-    the struct ``signals`` (:data:`SIGNALS`).  One pass, no shuffle."""
+    """One row per document: ``_row`` (its columns but the text, or those in
+    ``keep``), ``_text`` and the struct ``signals`` (:data:`SIGNALS`).  One
+    pass, no shuffle."""
     vocabulary = vocabulary or default_vocabulary()
-    carried = docs.select(with_row(docs, keep), F.col(text_col).alias("_text"),
-                          F.col(lang_col).cast("string").alias("_lang"))
-    schema = T.StructType([carried.schema[ROW], T.StructField("signals", SIGNALS)])
+    keep = [c for c in (docs.columns if keep is None else keep) if c != text_col]
+    carried = bounded_batches(docs).select(with_row(docs, keep), F.col(text_col).alias("_text"),
+                                           F.col(lang_col).cast("string").alias("_lang"))
+    schema = T.StructType([carried.schema[ROW], carried.schema["_text"], T.StructField("signals", SIGNALS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             signals = measure(b.column(1), b.column(2).to_pylist(), vocabulary, bands, scripts)
-            yield pa.RecordBatch.from_arrays([b.column(0), signals], [ROW, "signals"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), signals], schema.names)
 
     return carried.mapInArrow(run, schema)
 
 
 def keep_fluent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """The documents that no rule rejects, with their columns unchanged."""
-    return (fertility_signals(docs, text_col, lang_col, **options)
-            .where("signals.kept").select(f"{ROW}.*"))
+    found = fertility_signals(docs, text_col, lang_col, **options).where("signals.kept")
+    return found.select(*[F.col("_text" if c == text_col else f"{ROW}.`{c}`").alias(c) for c in docs.columns])

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import drop_shared, write_shared
+from fleetlens.llm.common import bounded_batches, drop_shared, write_shared
 from fleetlens.llm.tokens import byte_level_ids
 
 LENGTH = 1024
@@ -102,7 +102,7 @@ def pack_partitions(docs: DataFrame, doc_col: str, text_col: str, tokenizer: str
             table = table.append_column("ids", pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
         yield from table.to_batches(max_chunksize=4096)
 
-    return (docs.select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return (bounded_batches(docs).select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, _PIECES + ", ids array<int>" * with_ids))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, chunking, fertility, lines, mixing, packing, simhash, token_files
+from fleetlens.llm import chat, chunking, fertility, lines, lm, mixing, packing, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mixing.mix(docs, keep=["doc_id"]).select(
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_fertility": op2_fertility,
         "op3_chunk_dedup": op3_chunk_dedup,
+        "op4_lm": op4_lm,
         "op5_mixing": op5_mixing,
         "op6_packing": op6_packing,
         "op7_token_files": op7_token_files,

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import write_shared
+from fleetlens.llm.common import bounded_batches, write_shared
 from fleetlens.llm.components import components
 
 SEED = 42
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, doc: Column, text: Column, width: int = SHINGL
             fps = np.fromiter((fingerprint(t.as_py(), width) for t in texts), np.uint64, len(b))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return (docs.select(doc.cast("bigint").alias("doc_id"), text.cast("string").alias("text"))
+    return (bounded_batches(docs).select(doc.cast("bigint").alias("doc_id"), text.cast("string").alias("text"))
             .mapInArrow(run, "doc_id bigint, fp bigint"))
 
 

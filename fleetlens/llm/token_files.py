@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import shared_path, write_shared
+from fleetlens.llm.common import bounded_batches, shared_path, write_shared
 from fleetlens.llm.tokens import word_ids
 
 LENGTH = 2048
@@ -132,7 +132,7 @@ def write_token_files(docs: DataFrame, folder: str, doc_col: str = "doc_id", tex
     ``dtype`` must hold the vocabulary's largest id."""
     tokenizer, kind = tokenizer or default_tokenizer(), np.dtype(dtype)
     text = F.col(text_col).cast("string")
-    ordered = (docs.select(F.col(doc_col).cast("bigint").alias("doc_id"), text.alias("text"))
+    ordered = (bounded_batches(docs).select(F.col(doc_col).cast("bigint").alias("doc_id"), text.alias("text"))
                .orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

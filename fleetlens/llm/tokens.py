@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 400_000  # entries of a worker's cache
+CACHE_WORDS = 200_000  # entries of a worker's cache
 CHUNK_BYTES = 8 << 20  # text encoded at a time
 
 
