@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import bounded_batches
+from fleetlens.llm.common import bounded_batches, free_name
 from fleetlens.llm.tokens import text_chunks
 
 WINDOW = 32  # bytes that a 32-bit gear hash depends on
@@ -146,16 +146,16 @@ def repeated_passages(docs: DataFrame, doc_col: str = "doc_id", text_col: str =
 def remove_passages(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without the passages that an earlier document holds; all
     other columns are unchanged."""
-    spans = (repeated_passages(docs, doc_col, text_col, **options).groupBy("doc_id")
-             .agg(F.array_sort(F.collect_list(F.struct("start", "chars"))).alias("_spans"))
-             .withColumnRenamed("doc_id", "_doc"))
+    doc, found = free_name(docs, "_doc"), free_name(docs, "_spans")
+    spans = (repeated_passages(docs, doc_col, text_col, **options).groupBy(F.col("doc_id").alias(doc))
+             .agg(F.array_sort(F.collect_list(F.struct("start", "chars"))).alias(found)))
     text = F.col(text_col)
     kept = F.aggregate(
-        F.col("_spans"), F.struct(F.lit("").alias("text"), F.lit(0).alias("at")),
+        F.col(found), F.struct(F.lit("").alias("text"), F.lit(0).alias("at")),
         lambda acc, s: F.struct(
             F.concat(acc.text, text.substr(acc["at"] + 1, F.greatest(s.start - acc["at"], F.lit(0)))).alias("text"),
             F.greatest(acc["at"], s.start + s.chars).alias("at")),
         lambda acc: F.concat(acc.text, text.substr(acc["at"] + 1, F.length(text))))
-    joined = docs.join(spans, docs[doc_col] == F.col("_doc"), "left")
-    return joined.select(*[F.when(F.col("_spans").isNull(), text).otherwise(kept).alias(c) if c == text_col
+    joined = docs.join(spans, F.col(doc_col) == F.col(doc), "left")
+    return joined.select(*[F.when(F.col(found).isNull(), text).otherwise(kept).alias(c) if c == text_col
                            else F.col(f"`{c}`") for c in docs.columns])

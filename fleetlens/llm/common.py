@@ -14,6 +14,8 @@ from fleetlens.session import ensure_checkpoint_dir
 # without an argument splits UTF-8 text exactly there.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 ROW = "_row"  # struct column that carries a row through an operator untouched
 
 
@@ -40,10 +42,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` once as parquet in the shared folder and
-    read it back.  A lost executor loses nothing that was written."""
+    read it back.  A lost executor loses nothing that was written; the shuffle
+    files behind the table are not needed any more and go at once."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -71,6 +79,14 @@ def blocks_for(docs: DataFrame, text_col: str, block_mb: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (block_mb << 20)), 1)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def with_row(docs: DataFrame, keep: list[str] | None = None) -> Column:
     """The columns to carry (all, or ``keep``) as one struct, so that no name
     of theirs can clash with an operator's own columns."""

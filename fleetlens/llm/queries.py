@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, chunking, fertility, lines, lm, mixing, packing, simhash, token_files
+from fleetlens.llm import chat, chunking, fertility, lines, lm, mixing, neighbours, packing, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, F.col("id") % 100 == 0)
+
+
 def op2_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return fertility.fertility_signals(docs, keep=["doc_id"]).select("_row.doc_id", "signals.*")
@@ -63,6 +68,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_neighbours": op1_neighbours,
         "op2_fertility": op2_fertility,
         "op3_chunk_dedup": op3_chunk_dedup,
         "op4_lm": op4_lm,

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import bounded_batches, write_shared
+from fleetlens.llm.common import bounded_batches, free_name, write_shared
 from fleetlens.llm.components import components
 
 SEED = 42
@@ -198,6 +198,7 @@ def keep_one_of_each(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "
     columns unchanged.  Of rows that share an id one stays; rows without an id
     all stay."""
     found = near_duplicates(docs, doc_col, text_col, **options)
-    firsts = (found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct())
-    kept = docs.join(firsts, docs[doc_col] == F.col("_first"), "left_semi").dropDuplicates([doc_col])
+    first = free_name(docs, "_first")
+    firsts = found.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
+    kept = docs.join(firsts, F.col(doc_col) == F.col(first), "left_semi").dropDuplicates([doc_col])
     return kept.unionByName(docs.where(F.col(doc_col).isNull()))
