@@ -79,16 +79,30 @@ class Tokens:
             self.grams.append(extend(before, self.word))
         # an n-gram may begin with the text's beginning, not before it
         self.present = [self.place >= max(0, k - 1) for k in range(order)]
+        self.found: dict[int, tuple] = {}
 
+    def distinct(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of the n-grams of length ``k + 1`` in order, a place
+        where each ends, and for each place its key's number (-1: none)."""
+        if k not in self.found:
+            at = np.flatnonzero(self.present[k])
+            keys, first, inverse = np.unique(self.grams[k][at], return_index=True, return_inverse=True)
+            number = np.full(len(self.word), -1)
+            number[at] = inverse
+            self.found[k] = keys, at[first], number
+        return self.found[k]
 
-def distinct(tokens: Tokens, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of the n-grams of length ``k + 1`` in order, a place where
-    each ends, and for each place its key's number (-1: no n-gram)."""
-    at = np.flatnonzero(tokens.present[k])
-    keys, first, inverse = np.unique(tokens.grams[k][at], return_index=True, return_inverse=True)
-    number = np.full(len(tokens.word), -1)
-    number[at] = inverse
-    return keys, at[first], number
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers byte by byte: all first bytes, all second bytes and so on, so
+    that the equal high bytes of sorted or small numbers lie together and the
+    shuffle's compression takes them away."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes()
+
+
+def unpack(data: bytes, dtype: str) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
 
 
 class BackoffAutomaton:
@@ -97,7 +111,7 @@ class BackoffAutomaton:
     def __init__(self, tokens: Tokens, counts: list[np.ndarray], n_train: int, n_types: int, n_texts: int,
                  mass: float):
         order = len(tokens.grams)
-        found = [distinct(tokens, k) for k in range(order)]
+        found = [tokens.distinct(k) for k in range(order)]
         self.unknown = -np.log10(n_train + n_types + 1)
         # states: 0 is the root, 1 the beginning, then the contexts by length
         key, fail, seen = [np.zeros(1, np.uint64), np.array([BEGIN])], [np.zeros(2, np.int64)], [np.array([0, n_texts])]
@@ -137,30 +151,41 @@ class BackoffAutomaton:
             arc_weight.append(np.log10(p[real]))
             longest = min(k, order - 2)
             arc_to.append(state[longest][found[longest][2][at[real]]] if order > 1 else np.zeros(real.sum(), np.int64))
-        arc_key = np.concatenate(arc_key)
-        by = np.argsort(arc_key)
-        self.arc_key = arc_key[by]
-        self.arc_weight, self.arc_to = np.concatenate(arc_weight)[by], np.concatenate(arc_to)[by]
+        # the root's arcs, and all others in the order of their keys
+        self.arcs = [(arc_key[0], arc_weight[0], arc_to[0])]
+        longer = [np.concatenate(c[1:]) if order > 1 else c[0][:0] for c in (arc_key, arc_weight, arc_to)]
+        by = np.argsort(longer[0], kind="stable") if order > 2 else slice(None)
+        self.arcs.append(tuple(c[by] for c in longer))
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Read one word from each state: log-probabilities and next states."""
         score, state = np.zeros(len(state)), state.copy()
-        open_ = np.arange(len(state))
-        while len(open_):
-            s, w = state[open_], word[open_]
-            want = np.where(s == 0, w, extend(self.key[s], w))
-            at = np.minimum(np.searchsorted(self.arc_key, want), len(self.arc_key) - 1)
-            hit = self.arc_key[at] == want if len(self.arc_key) else np.zeros(len(at), bool)
+        open_ = np.flatnonzero(state)
+        while len(open_):  # fail from context to shorter context until there is an arc
+            s = state[open_]
+            hit, at = self._find(1, extend(self.key[s], word[open_]))
             done, missed = open_[hit], open_[~hit]
-            score[done] += self.arc_weight[at[hit]]
-            state[done] = self.arc_to[at[hit]]
-            lost = missed[state[missed] == 0]  # no arc at the root: an unknown word
-            score[lost] += self.unknown
+            score[done] += self.arcs[1][1][at[hit]]
+            state[done] = -1 - self.arcs[1][2][at[hit]]
+            score[missed] += self.backoff[state[missed]]
+            state[missed] = self.fail[state[missed]]
             open_ = missed[state[missed] != 0]
-            score[open_] += self.backoff[state[open_]]
-            state[open_] = self.fail[state[open_]]
+        root = np.flatnonzero(state == 0)
+        hit, at = self._find(0, word[root])
+        score[root] += np.where(hit, self.arcs[0][1][at], self.unknown) if len(self.arcs[0][0]) else self.unknown
+        state[root[hit]] = self.arcs[0][2][at[hit]]
+        arrived = state < 0
+        state[arrived] = -1 - state[arrived]
         return score, state
 
+    def _find(self, kind: int, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these arcs there are, and their numbers."""
+        keys = self.arcs[kind][0]
+        if not len(keys):
+            return np.zeros(len(want), bool), np.zeros(len(want), np.int64)
+        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        return keys[at] == want, at
+
     def traverse(self, tokens: Tokens) -> np.ndarray:
         """Score of each text: all texts advance by one word at a time, the
         long ones longest, each with its own state."""
@@ -188,12 +213,12 @@ def _requests(order: int, buckets: int):
         train = np.repeat(~table["held_out"].to_numpy(zero_copy_only=False), tokens.lengths)
         rows: dict[str, list] = {c: [] for c in ("n", "bucket", "keys", "counts")}
         for k in range(order):
-            keys, _, number = distinct(tokens, k)
+            keys, _, number = tokens.distinct(k)
             real = (number >= 0) & train
             counts = np.bincount(number[real], minlength=len(keys)).astype("<u4")
             cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
             for b, (x, y) in enumerate(zip(cuts, cuts[1:])):
-                for c, v in zip(rows, (k, b, keys[x:y].tobytes(), counts[x:y].tobytes())):
+                for c, v in zip(rows, (k, b, pack(keys[x:y]), pack(counts[x:y]))):
                     rows[c].append(v)
         block = pa.array([table["block"][0].as_py()] * len(rows["n"]), pa.int32())
         return pa.table({"block": block, "n": pa.array(rows["n"], pa.int32()),
@@ -205,12 +230,12 @@ def _requests(order: int, buckets: int):
 def _answers(table: pa.Table) -> pa.Table:
     """Counts over all blocks, for each block in the order of its keys; with
     them the bucket's numbers of tokens and types."""
-    asked = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table["counts"].to_pylist()]).astype(np.int64)
+    asked = [unpack(k, "<u8") for k in table["keys"].to_pylist()]
+    counts = np.concatenate([unpack(c, "<u4") for c in table["counts"].to_pylist()]).astype(np.int64)
     keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(inverse, weights=counts, minlength=len(keys)).astype("<u8")
     ends = np.cumsum([len(a) for a in asked])
-    parts = [totals[x].tobytes() for x in np.split(inverse, ends[:-1])]
+    parts = [pack(totals[x]) for x in np.split(inverse, ends[:-1])]
     n = len(asked)
     return pa.table({"block": table["block"], "n": table["n"], "bucket": table["bucket"],
                      "totals": pa.array(parts, pa.binary()),
@@ -223,12 +248,12 @@ def _scores(order: int, mass: float):
         tokens = Tokens(docs["text"].combine_chunks(), order)
         by_bucket = answers.sort_by([("n", "ascending"), ("bucket", "ascending")])
         which, totals = by_bucket["n"].to_numpy(), by_bucket["totals"].to_pylist()
-        counts = [np.frombuffer(b"".join(t for n, t in zip(which, totals) if n == k), "<u8").astype(np.int64)
+        counts = [np.concatenate([unpack(t, "<u8") for n, t in zip(which, totals) if n == k]).astype(np.int64)
                   for k in range(order)]
         unigrams = which == 0
         n_train = int(by_bucket["n_tokens"].to_numpy()[unigrams].sum())
         n_types = int(by_bucket["n_types"].to_numpy()[unigrams].sum())
-        keys, _, number = distinct(tokens, 0)
+        keys, _, number = tokens.distinct(0)
         known = counts[0][number]
         n_texts = int(counts[0][np.searchsorted(keys, END)])
         base = np.log10(known + 1.0) - np.log10(float(n_train + n_types + 1))

@@ -184,12 +184,27 @@ def _beam(seen: DataFrame, width: int) -> DataFrame:
     return seen.withColumn("_rank", rank).where(F.col("_rank") <= width).drop("_rank")
 
 
-def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, pivots: DataFrame, beam: int = BEAM) -> DataFrame:
+def nearest_pivots(queries: DataFrame, ids: np.ndarray, pivots: np.ndarray, starts: int = STARTS) -> DataFrame:
+    """``query, node, dist``: the pivots that each query starts from."""
+    k = min(starts, len(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _matrix(b.column(1)).astype(np.float64)
+            d = np.sqrt(((x[:, None, :] - pivots[None, :, :].astype(np.float64)) ** 2).sum(2))
+            near = np.argsort(d, axis=1, kind="stable")[:, :k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(ids[near].ravel()),
+                 pa.array(np.take_along_axis(d, near, 1).ravel())], ["query", "node", "dist"])
+
+    return queries.mapInArrow(run, "query bigint, node bigint, dist double")
+
+
+def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, start: DataFrame, beam: int = BEAM) -> DataFrame:
     """``query, node, dist``: the nodes nearest to each query (``query, vec``)
-    that a walk over the graph finds."""
-    start = queries.join(F.broadcast(pivots.select("node", F.col("vec").alias("pv"))))
-    start = start.select("query", "node", distance(F.col("vec"), F.col("pv")).alias("dist"))
-    seen = write_shared(_beam(start, STARTS).withColumn("looked", F.lit(False)), "walk")
+    that a walk over the graph finds from its ``start`` (``query, node,
+    dist``)."""
+    seen = write_shared(start.withColumn("looked", F.lit(False)), "walk")
     links = write_shared(with_reverse(edges, REVERSE).select("node", "nbr"), "links")
     while True:
         near = _beam(seen, beam).where(~F.col("looked"))
@@ -218,13 +233,16 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
     usable = write_shared(usable_vectors(rows, id_col, vec_col), "vectors")
     nodes = write_shared(usable.groupBy("vec").agg(F.min("id").alias("node")).select("node", "vec"), "nodes")
     pivots = write_shared(nodes.orderBy(F.xxhash64("node")).limit(PIVOTS), "pivots")
-    matrix = np.array([r["vec"] for r in pivots.select("vec").collect()], np.float32)
+    chosen = pivots.collect()  # PIVOTS rows at most
+    ids = np.array([r["node"] for r in chosen], np.int64)
+    matrix = np.array([r["vec"] for r in chosen], np.float32)
     queries = write_shared(usable.where(is_query).select(F.col("id").alias("query"), "vec"), "queries")
     if not len(matrix):
         return usable.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"),
                              F.lit(0.0).alias("score")).where("false")
     edges = build_graph(nodes, matrix, degree)
-    found = _beam(greedy_search(queries, nodes, edges, pivots, max(beam, k + 1)), max(beam, k + 1))
+    start = nearest_pivots(queries, ids, matrix)
+    found = _beam(greedy_search(queries, nodes, edges, start, max(beam, k + 1)), max(beam, k + 1))
     # of equal vectors, the k + 1 smallest ids are all that a query can need
     rank = F.row_number().over(Window.partitionBy("node").orderBy("id"))
     members = (usable.join(nodes, "vec").select("node", "id").withColumn("_rank", rank)
