@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -48,14 +47,21 @@ class WordCache:
         self.encode_words, self.limit, self.dtype = encode_words, limit, np.dtype("u4")
         self.known: dict[str, bytes] = {}
 
-    def ids(self, words: list[str]) -> Ids:
-        """Ids of each of these distinct words."""
-        known = self.known
-        missing = [w for w in words if w not in known]
-        if len(known) + len(missing) > self.limit:  # keep what this batch uses
-            known = self.known = {w: known[w] for w in words if w in known}
-        known.update(zip(missing, self.encode_words(missing)))
-        parts = [*map(known.__getitem__, words)]
+    def ids(self, words: pa.DictionaryArray) -> Ids:
+        """Ids of each of the dictionary's words.  Words that come twice are
+        kept; most others never come back."""
+        distinct = words.dictionary.to_pylist()
+        parts = [*map(self.known.get, distinct)]
+        missing = [i for i, x in enumerate(parts) if x is None]
+        new = self.encode_words([distinct[i] for i in missing])
+        for i, x in zip(missing, new):
+            parts[i] = x
+        if missing:
+            often = np.bincount(numbers(words), minlength=len(distinct))[missing] > 1
+            keep = [(distinct[i], parts[i]) for i, o in zip(missing, often.tolist()) if o]
+            if len(self.known) + len(keep) > self.limit:
+                self.known = {}
+            self.known.update(keep)
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
         return Ids(np.frombuffer(b"".join(parts), self.dtype), lengths)
 
@@ -93,9 +99,13 @@ def hf_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-# One run of Latin letters, with a full stop or comma behind it or not: pieces
-# of their own for every pre-tokenizer used here, so the BPE model can be asked.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# A full stop or comma behind a letter, at the end of a word: a piece of its own
+# for every pre-tokenizer used here, so it is cut off and more words are equal.
+_STOPS = r"(\pL)([.,])(\s|$)"
+BARE = "\x01"  # put before a piece that has no space before it
+
+# One run of Latin letters is one piece, so the BPE model can be asked directly.
+_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
 @lru_cache(maxsize=1)
@@ -109,28 +119,23 @@ def _byte_chars() -> dict[int, int]:
 
 def _hf_words(path: str, prefix: str = "", lower: bool = False):
     """Encoder of single words.  ``lower``: the vocabulary's normalizer is NFC
-    and lower case.  A word that starts with a line break gets no prefix."""
+    and lower case, and ASCII letters are lower case already."""
     tk = hf_tokenizer(path)
-    tokenize, table = tk.model.tokenize, _byte_chars()
-    marks = {p: [t.id for t in tokenize(p)] if p else [] for p in ("", ".", ",")}
-
-    space = "".join(chr(table[b]) for b in prefix.encode())
-    only = re.compile(r"[A-Za-z]+").fullmatch
-
-    def encode(words):
-        out = []
-        for s in words:
-            if only(s):
-                ids = [t.id for t in tokenize(s.lower() if lower else space + s)]
-            elif m := _PLAIN.fullmatch(s):
-                body = unicodedata.normalize("NFC", m[1].lower()) if lower else prefix + m[1]
-                chars = body.encode().decode("latin-1").translate(table)
-                ids = [t.id for t in tokenize(chars)] + marks[m[2]]
-            else:
-                s = s if s[:1] == "\n" else prefix + s
-                ids = tk.encode(s, add_special_tokens=False).ids
-            out.append(array("I", ids).tobytes())
-        return out
+    tokenize, chars = tk.model.tokenize, _byte_chars()
+    space = "".join(chr(chars[b]) for b in prefix.encode())
+    table = {c: "".join(chr(chars[b]) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+    def latin(s: str) -> list[int]:
+        return [t.id for t in tokenize(space + (s.lower() if lower else s).translate(table))]
+
+    def odd(s: str) -> list[int]:
+        if prefix:
+            s = s[1:] if s[:1] == BARE else s if s[:1] == "\n" else prefix + s
+        return tk.encode(s, add_special_tokens=False).ids
+
+    def encode(words: list[str]) -> list[bytes]:
+        return [array("I", [t.id for t in tokenize(space + s)] if s.isascii() and s.isalpha()
+                      else latin(s) if _LATIN(s) else odd(s)).tobytes() for s in words]
     return encode
 
 
@@ -144,11 +149,25 @@ def _spaced_words_of(path: str) -> WordCache:
     return WordCache(_hf_words(path, " "))
 
 
+def _whole_rows(texts: pa.Array, whole: np.ndarray, path: str) -> tuple[list, np.ndarray]:
+    """Rows for the texts that are encoded as they are, and the other rows'
+    numbers."""
+    out: list = [None] * len(texts)
+    for i in np.flatnonzero(whole):
+        out[i] = np.asarray(hf_tokenizer(path).encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4")
+    return out, np.flatnonzero(~whole)
+
+
 def _word_rows(texts: pa.Array, path: str) -> list[np.ndarray]:
-    words, counts = split_words(texts)
-    flat = _words_of(path).ids(words.dictionary.to_pylist()).take(numbers(words))
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    return [flat.flat[flat.at[a]:flat.at[b]] for a, b in zip(ends, ends[1:])]
+    out, rest = _whole_rows(texts, np.asarray(pc.match_substring(texts, "<|")), path)
+    if len(rest):
+        part = pc.ascii_lower(pc.replace_substring_regex(texts.take(pa.array(rest)), _STOPS, r"\1 \2\3"))
+        words, counts = split_words(part)
+        flat = _words_of(path).ids(words).take(numbers(words))
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        for i, a, b in zip(rest, ends, ends[1:]):
+            out[i] = flat.flat[flat.at[a]:flat.at[b]]
+    return out
 
 
 def word_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
@@ -159,25 +178,20 @@ def word_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
 
 # What keeps a byte-level text from being cut before single spaces and line
 # breaks: runs of white space, other white space, possible special tokens.
-_UNCUTTABLE = (r"[\t\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
+_UNCUTTABLE = (r"[\x01\t\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
                r"\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$|^$|<\|")
 
 
 def _byte_level_rows(texts: pa.Array, path: str) -> list[np.ndarray]:
-    tk = hf_tokenizer(path)
-    whole = np.asarray(pc.match_substring_regex(texts, _UNCUTTABLE))
-    out: list = [None] * len(texts)
-    for i in np.flatnonzero(whole):
-        out[i] = np.asarray(tk.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4")
-    rest = np.flatnonzero(~whole)
+    out, rest = _whole_rows(texts, np.asarray(pc.match_substring_regex(texts, _UNCUTTABLE)), path)
     if len(rest):
+        part = pc.replace_substring_regex(texts.take(pa.array(rest)), _STOPS, rf"\1 {BARE}\2\3")
         # a line break put before each text stands in for the space that its
         # first word lacks; it is one id, dropped below
-        part = pc.binary_join_element_wise("\n", texts.take(pa.array(rest)), "").cast(pa.large_string())
+        part = pc.binary_join_element_wise("\n", part, "").cast(pa.large_string())
         lists = pc.split_pattern(pc.replace_substring(part, "\n", " \n"), " ")
         words = lists.flatten().dictionary_encode()
-        flat = _spaced_words_of(path).ids(["" if w == "" else w for w in words.dictionary.to_pylist()])
-        flat = flat.take(numbers(words))
+        flat = _spaced_words_of(path).ids(words).take(numbers(words))
         ends = np.asarray(lists.offsets, np.int64)
         ends = ends - ends[0]
         for i, a, b in zip(rest, ends, ends[1:]):

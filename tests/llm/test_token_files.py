@@ -64,6 +64,7 @@ def test_word_wise_ids_are_the_tokenizers(sample, name, encode):
     import public_tokenizers
     path = public_tokenizers.path(name)
     texts = [r["text"] for r in sample.collect()] + [r[1] for r in odd_documents() if r[1] is not None and len(r[1]) < 5000]
-    texts += ["", " a", "a ", "a\n", "\n", "a\n\n\nb", "İstanbul ΣΑΣ ς éx ́y", "a\xa0b \xa0 c", "don't 'll 3.14", "a\t b"]
+    texts += ["", " a", "a ", "a\n", "\n", "a\n\n\nb", "İstanbul ΣΑΣ ς éx ́y", "a\xa0b \xa0 c", "don't 'll 3.14", "a\t b", "A. B, c.d e. . .f, ",
+              "Foo.\nBar, baz.\n\nX.", "é. É, ß. Ñ.", "<|ENDOFTEXT|> x", "\x01. a", "A.", "a.\tb, ", "...a... b..", "x\x01 y"]
     want = hf_tokenizer(path).encode_batch(texts, add_special_tokens=False)
     assert [x.tolist() for x in encode(pa.array(texts), path)] == [e.ids for e in want]
