@@ -19,7 +19,6 @@ from pyspark.sql import SparkSession
 from fleetlens.params import Params
 from fleetlens.plans.context import ReportRun
 from fleetlens.plans.report import cpu_report, health_report
-from fleetlens.session import apply_report_conf
 from fleetlens.sources.sinks import write_html_rows, write_sections
 from fleetlens.sources.tables import read_parquet_tables
 
@@ -44,7 +43,6 @@ def parse(argv=None) -> argparse.Namespace:
 def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
     a = parse(argv)
     spark = spark or SparkSession.builder.appName(f"fleetlens-{a.report}").getOrCreate()
-    apply_report_conf(spark)
     as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now()
     params = Params(as_of=as_of, lookback_days=a.lookback, spike_threshold=a.threshold,
                     os_list=tuple(a.os))
@@ -52,11 +50,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
                     persist=(a.report == "cpu" and a.persist))
     build = cpu_report if a.report == "cpu" else health_report
     sections = build(run, html=a.html)
+    split = ("os",) if a.report == "health" else ()  # one health report per OS
     paths = write_sections({k: (v.drop("html_row") if "html_row" in v.columns else v)
-                            for k, v in sections.items()}, f"{a.out}/typed", mode=a.mode)
+                            for k, v in sections.items()}, f"{a.out}/typed", mode=a.mode, partition_by=split)
     if a.html:
         write_html_rows({k: v for k, v in sections.items() if "html_row" in v.columns},
-                        f"{a.out}/html", mode=a.mode)
+                        f"{a.out}/html", mode=a.mode, partition_by=split)
     run.unpersist()
     return {p.rsplit("/", 1)[-1]: p for p in paths}
 

@@ -20,15 +20,27 @@ def _c(c) -> Column:
 # per row (a DECIMAL cast goes through text), sums of them are exact long
 # additions, and only aggregated values are turned back into DECIMAL.
 def to_units(c, scale: int = 6) -> Column:
-    """A reading as an exact count of 10^-scale units (BIGINT).  A reading
-    that is not a finite number (NaN, infinity in a binary export) becomes
-    NULL, i.e. missing, like a NULL reading: it does not stop the job."""
-    return F.rint(_c(c) * F.lit(float(10 ** scale))).try_cast("bigint")
+    """A reading as a count of 10^-scale units (BIGINT), for sums and printed
+    values; tests are made on the stored reading.  A reading that is not a
+    finite number is missing (:func:`finite`); a finite one beyond the BIGINT
+    range fails the job."""
+    return F.rint(finite(c) * F.lit(float(10 ** scale))).cast("bigint")
 
 
-def units_lit(x, scale: int = 6) -> Column:
-    """A threshold in the same units, exact."""
-    return F.lit(int(Decimal(str(x)).scaleb(scale).to_integral_value())).cast("bigint")
+def finite(c) -> Column:
+    """The stored reading; NULL if it is NaN or infinite (binary exports)."""
+    return F.when(F.abs(_c(c)) < float("inf"), _c(c))
+
+
+def at_least(c, cutoff) -> Column:
+    """A finite reading at or above ``cutoff``, as plain predicates on the
+    stored column, so that a filter reaches the scan."""
+    return (_c(c) >= F.lit(float(cutoff))) & (_c(c) < F.lit(float("inf")))
+
+
+def wide_sum(c) -> Column:
+    """Sum of per-group long sums that cannot overflow."""
+    return F.sum(_c(c).cast("decimal(24,0)"))
 
 
 def from_units(c, scale: int = 6) -> Column:

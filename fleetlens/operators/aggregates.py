@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.dates import day_bucket, iso_week_end, month_start
-from fleetlens.functions.numbers import from_units, to_units, units_avg2
+from fleetlens.functions.numbers import from_units, to_units, units_avg2, wide_sum
 
 
 def _c(c) -> Column:
@@ -24,35 +24,45 @@ def conditional_distinct(cond: Column, col) -> Column:
 
 
 def agg_global(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
-    """Whole window to one row (one row, count 0, on empty input).  Works on
-    exact ``cpu_units``; the average is divided once, at the end."""
+    """Whole window to one row (one row, counts 0, on empty input): hosts with
+    readings, average, peak, spikes, hosts with a spike.  Folded per host
+    first (combined map-side, no Expand for the two distinct counts), then the
+    hosts to one row."""
     u = F.col("cpu_units")
-    return cpu.agg(F.count(F.lit(1)).alias("samples"),
-                   units_avg2(F.sum(u), F.count(u), scale).alias("avg_cpu"),
-                   F.round(from_units(F.min(u), scale), 2).alias("min_cpu"),
-                   F.round(from_units(F.max(u), scale), 2).alias("max_cpu"),
-                   conditional_count(u >= spike).alias("spike_count"))
-
-
-def agg_by_day(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
+    per_host = (cpu.groupBy("target_name")
+                .agg(F.count(u).alias("n"), F.sum(u).alias("s"), F.max(u).alias("mx"),
+                     conditional_count(spike).alias("spikes")))
+    return per_host.agg(
+        F.count(F.lit(1)).alias("total_hosts"),
+        units_avg2(wide_sum("s"), F.sum("n"), scale).alias("avg_cpu"),
+        F.round(from_units(F.max("mx"), scale), 2).alias("max_cpu"),
+        F.coalesce(F.sum("spikes"), F.lit(0)).cast("bigint").alias("spike_count"),
+        F.count(F.when(F.col("spikes") > 0, F.lit(1))).alias("hosts_with_spikes"))
+
+
+def agg_by_day(spikes: DataFrame, scale: int = 6) -> DataFrame:
+    """Per calendar day of spike rows: hosts affected, incidents, peak."""
+    return (spikes.groupBy(day_bucket("rollup_timestamp").alias("day"))
+            .agg(F.count_distinct("target_name").alias("hosts_affected"),
+                 F.count(F.lit(1)).alias("incident_count"),
+                 F.round(from_units(F.max("cpu_units"), scale), 2).alias("peak_cpu")))
+
+
+def fold_hosts(cpu: DataFrame, bucket: Column, spike: Column) -> DataFrame:
+    """Sum, count, peak and spikes per ``bucket`` of the whole fleet: per host
+    as longs, then over the hosts as decimals, which cannot overflow."""
     u = F.col("cpu_units")
-    return (cpu.groupBy(day_bucket("rollup_timestamp").alias("day"))
-            .agg(F.count(F.lit(1)).alias("samples"),
-                 F.count_distinct("target_name").alias("hosts"),
-                 F.sum(u).alias("s"), F.count(u).alias("n"), F.max(u).alias("mx"),
-                 conditional_count(u >= spike).alias("spike_count"),
-                 conditional_distinct(u >= spike, "target_name").alias("hosts_with_spikes"))
-            .select("day", "samples", "hosts", units_avg2("s", "n", scale).alias("avg_cpu"),
-                    F.round(from_units("mx", scale), 2).alias("max_cpu"),
-                    "spike_count", "hosts_with_spikes"))
+    per_host = (cpu.groupBy("target_name", bucket.alias("bucket"))
+                .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.max(u).alias("mx"),
+                     conditional_count(spike).alias("spikes")))
+    return per_host.groupBy("bucket").agg(
+        wide_sum("s").alias("s"), F.sum("n").alias("n"), F.max("mx").alias("mx"),
+        F.sum("spikes").alias("spike_count"))
 
 
 def agg_by_iso_week(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
-    u = F.col("cpu_units")
-    return (cpu.groupBy(iso_week_end("rollup_timestamp").alias("week_end"))
-            .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.max(u).alias("mx"),
-                 conditional_count(u >= spike).alias("spike_count"))
-            .select("week_end", units_avg2("s", "n", scale).alias("avg_cpu"),
+    return (fold_hosts(cpu, iso_week_end("rollup_timestamp"), spike)
+            .select(F.col("bucket").alias("week_end"), units_avg2("s", "n", scale).alias("avg_cpu"),
                     F.round(from_units("mx", scale), 2).alias("max_cpu"), "spike_count"))
 
 

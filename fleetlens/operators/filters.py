@@ -6,14 +6,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.dates import days_before, months_back_start
+from fleetlens.functions.dates import as_of_literal, days_before, months_back_start
+from fleetlens.functions.numbers import at_least
 from fleetlens.sources.tables import MONTH_PARTITION_COLUMN, PARTITION_COLUMN
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def fleet_filter(targets: DataFrame, name_like: str = "%-D-%") -> DataFrame:
     """Hosts whose name contains the fleet marker, case-insensitively."""
     return targets.where((F.col("target_type") == "host")
@@ -28,32 +25,31 @@ def metric_filter(df: DataFrame, name: str, column: str, target_type: str | None
 
 
 def lookback_filter(df: DataFrame, as_of, days: int, ts: str = "rollup_timestamp") -> DataFrame:
-    """Rows at or after the instant ``days`` days before ``as_of``.  When the
-    data is laid out by day, the same bound on the day column prunes whole
-    partitions before any file is opened."""
-    start = days_before(as_of, days)
-    out = df.where(F.col(ts) >= start)
+    """Rows from the instant ``days`` days before ``as_of`` up to ``as_of``.
+    When the data is laid out by day or month, the same bounds on that column
+    prune whole partitions before any file is opened."""
+    return _between(df, ts, days_before(as_of, days), as_of_literal(as_of))
+
+
+def _between(df: DataFrame, ts: str, start: Column, end: Column) -> DataFrame:
+    out = df.where((F.col(ts) >= start) & (F.col(ts) <= end))
+    first, last = F.to_date(start), F.to_date(end)
     if PARTITION_COLUMN in df.columns:
-        out = out.where(F.col(PARTITION_COLUMN) >= F.to_date(start))
+        out = out.where(F.col(PARTITION_COLUMN).between(first, last))
     if MONTH_PARTITION_COLUMN in df.columns:
-        out = out.where(F.col(MONTH_PARTITION_COLUMN) >= F.trunc(F.to_date(start), "month"))
+        out = out.where(F.col(MONTH_PARTITION_COLUMN).between(F.trunc(first, "month"), F.trunc(last, "month")))
     return out
 
 
 def month_window_filter(df: DataFrame, as_of, months_back: int, ts: str = "rollup_timestamp") -> DataFrame:
     """Rows from the first day of the month ``months_back`` months before
-    ``as_of``'s month; no upper bound."""
-    start = months_back_start(as_of, months_back)
-    out = df.where(F.col(ts) >= start.cast("timestamp_ntz"))
-    for c in (PARTITION_COLUMN, MONTH_PARTITION_COLUMN):
-        if c in df.columns:
-            out = out.where(F.col(c) >= start)
-    return out
+    ``as_of``'s month up to ``as_of``."""
+    return _between(df, ts, months_back_start(as_of, months_back).cast("timestamp_ntz"), as_of_literal(as_of))
 
 
 def threshold_filter(df: DataFrame, col, cutoff) -> DataFrame:
-    cut = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
-    return df.where(_c(col) >= cut)
+    """Rows whose stored reading is at or above ``cutoff``."""
+    return df.where(at_least(col, cutoff))
 
 
 def type_in_filter(df: DataFrame, col: str, values) -> DataFrame:

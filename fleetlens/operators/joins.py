@@ -1,10 +1,9 @@
 """Joins between the metric facts and the target dimension.
 
-The dimension (hosts, databases, disk-group instances) is small next to the
-facts, but its size is never assumed: :func:`bounded` counts at most
-``max_rows + 1`` rows and the side is broadcast only when that count proves
-the bound.  Otherwise the join is a shuffle join on its keys, and AQE may
-still switch it to a broadcast from measured sizes or split a skewed key.
+No side is broadcast by hint: Catalyst broadcasts a side whose estimated size
+in bytes is below ``spark.sql.autoBroadcastJoinThreshold``, the adaptive plan
+one whose measured size is; beyond it the join shuffles on its key, and the
+adaptive plan splits a skewed key.
 """
 
 from __future__ import annotations
@@ -12,35 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def proven_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded(df: DataFrame, small: bool) -> DataFrame:
-    """Broadcast hint for a side whose bound was proven by the caller."""
-    return F.broadcast(df) if small else df
+from fleetlens.operators.filters import type_in_filter
 
 
 def distinct_hosts(hosts: DataFrame) -> DataFrame:
     return hosts.select("target_name").distinct()
 
 
-def fleet_semi_join(facts: DataFrame, hosts: DataFrame, small: bool) -> DataFrame:
+def fleet_semi_join(facts: DataFrame, hosts: DataFrame) -> DataFrame:
     """Keep fact rows of fleet hosts.  A semi join never repeats a fact
     row, so it equals the join to a DISTINCT host list."""
-    return facts.join(bounded(hosts.select("target_name"), small), "target_name", "left_semi")
+    return facts.join(hosts.select("target_name"), "target_name", "left_semi")
 
 
-def fleet_inner_join(facts: DataFrame, hosts: DataFrame, small: bool) -> DataFrame:
+def fleet_inner_join(facts: DataFrame, hosts: DataFrame) -> DataFrame:
     """Facts with the host's OS; a host listed twice repeats its rows."""
-    return facts.join(bounded(hosts.select("target_name", "os_type"), small), "target_name")
+    return facts.join(hosts.select("target_name", "os_type"), "target_name")
 
 
-def two_key_join(facts: DataFrame, targets: DataFrame, small: bool) -> DataFrame:
-    return facts.join(bounded(targets, small), ["target_name", "target_type"])
+def two_key_join(facts: DataFrame, targets: DataFrame) -> DataFrame:
+    return facts.join(targets, ["target_name", "target_type"])
 
 
 def latest_left_join(hosts: DataFrame, latest: DataFrame) -> DataFrame:
@@ -48,9 +38,9 @@ def latest_left_join(hosts: DataFrame, latest: DataFrame) -> DataFrame:
     return hosts.join(latest, "target_name", "left")
 
 
-def self_join_hosts(targets: DataFrame, db_types, os_list, small: bool) -> DataFrame:
+def self_join_hosts(targets: DataFrame, db_types, os_list) -> DataFrame:
     """Database targets joined to the host they run on (one OS list)."""
-    db = targets.where(F.col("target_type").isin(list(db_types))).select(
+    db = type_in_filter(targets, "target_type", db_types).select(
         F.col("target_name").alias("database_name"),
         F.col("type_qualifier1").alias("database_version"),
         F.col("host_name").alias("db_host"))
@@ -58,21 +48,31 @@ def self_join_hosts(targets: DataFrame, db_types, os_list, small: bool) -> DataF
                         & F.col("type_qualifier1").isin(list(os_list))).select(
         F.col("target_name").alias("server"), F.col("type_qualifier1").alias("os"),
         F.col("type_qualifier2").alias("os_version"))
-    return (db.join(bounded(os_, small), F.col("db_host") == F.col("server"))
+    return (db.join(os_, F.col("db_host") == F.col("server"))
             .select("database_name", "database_version", "server", "os", "os_version"))
 
 
-def instance_join(current: DataFrame, targets: DataFrame, small: bool) -> DataFrame:
-    """Current metrics of disk-group instances, with the instance's host."""
-    inst = targets.where(F.col("target_type") == "osm_instance").select(
+def instances(targets: DataFrame) -> DataFrame:
+    """Disk-group instances and the host each runs on."""
+    return targets.where(F.col("target_type") == "osm_instance").select(
         "target_name", F.col("host_name").alias("instance_host"))
-    return current.join(bounded(inst, small), "target_name")
 
 
-def inventory_join(facts: DataFrame, inventory: DataFrame, fact_key: str, small: bool,
+def instance_join(current: DataFrame, targets: DataFrame) -> DataFrame:
+    """Current metrics of disk-group instances, with the instance's host."""
+    return current.join(instances(targets), "target_name")
+
+
+def in_inventory(facts: DataFrame, inventory: DataFrame, fact_key: str, inventory_key: str = "server") -> DataFrame:
+    """Facts of inventory members, each once: the cut that comes before an
+    aggregate, so that nothing outside the inventory is folded or converted."""
+    keys = inventory.select(F.col(inventory_key).alias(fact_key))
+    return facts.join(keys, fact_key, "left_semi")
+
+
+def inventory_join(facts: DataFrame, inventory: DataFrame, fact_key: str,
                    inventory_key: str = "server") -> DataFrame:
     """One set-based join in place of one statement per inventory row.  Each
     inventory row that matches repeats the fact rows, as the per-row loop
     printed them once per database."""
-    inv = bounded(inventory, small)
-    return facts.join(inv, facts[fact_key] == inv[inventory_key])
+    return facts.join(inventory, facts[fact_key] == inventory[inventory_key])

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 
 def latest_per_host(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_timestamp",
-                    value: str = "cpu_units") -> DataFrame:
+                    values: tuple[str, ...] = ("average", "cpu_units")) -> DataFrame:
     """Newest reading per host.  Written as an aggregate (``max_by``) rather
     than ``row_number() = 1``: it is combined map-side, so a host with a
     third of all rows still ships one partial row per task."""
-    return cpu.groupBy(key).agg(F.max(ts).alias(ts), F.max_by(value, ts).alias(value))
+    return cpu.groupBy(key).agg(F.max(ts).alias(ts), *[F.max_by(v, ts).alias(v) for v in values])
 
 
 def latest_by_rank(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_timestamp") -> DataFrame:

@@ -10,7 +10,7 @@ here with integer arithmetic: ``round(n / d, 2)`` half away from zero is
 
 from __future__ import annotations
 
-CPU_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+CPU_AS_OF = "TIMESTAMP '2024-01-25 12:30:00'"
 GROWTH_AS_OF = "DATE '2001-07-15'"
 DB_TYPES = "('rac_database', 'oracle_database', 'oracle_pdb')"
 
@@ -153,7 +153,7 @@ def num(c: str) -> str:
 # ---- the monitoring relations, rebuilt in SQL ----------------------------
 _BASE = f"""
 users AS (SELECT DISTINCT user_id AS u FROM events),
-brands AS (SELECT DISTINCT cast(replace(p_brand, 'Brand#', '') AS INTEGER) AS b FROM part),
+dbs AS (SELECT DISTINCT cast(c_custkey // 10 AS INTEGER) AS b FROM customer),
 mon_target AS (
   SELECT {host('u')} AS target_name, 'host' AS target_type, {os_of('u')} AS type_qualifier1,
          concat('v', cast(u % 3 AS VARCHAR)) AS type_qualifier2, {host('u')} AS host_name FROM users
@@ -161,15 +161,16 @@ mon_target AS (
   SELECT concat('Idle-d-', lpad(cast(s_suppkey AS VARCHAR), 5, '0'), '.example.com'), 'host',
          {os_of('s_suppkey')}, 'v0',
          concat('Idle-d-', lpad(cast(s_suppkey AS VARCHAR), 5, '0'), '.example.com')
-  FROM supplier WHERE s_suppkey % 5 = 0
+  FROM supplier
   UNION ALL
-  SELECT {db('b')}, {dbtype('b')}, concat('19.', cast(b % 5 AS VARCHAR)), NULL, {host('b % 15')} FROM brands
+  SELECT {db('b')}, {dbtype('b')}, concat('19.', cast(b % 5 AS VARCHAR)), NULL, {host('b')} FROM dbs
   UNION ALL
   SELECT concat('+ASM_', lpad(cast(u AS VARCHAR), 5, '0')), 'osm_instance', NULL, NULL, {host('u')}
-  FROM users WHERE u < 15
+  FROM users
 ),
 hour_groups AS (
-  SELECT user_id AS u, date_trunc('hour', ts) AS h, avg(value) AS a FROM events GROUP BY 1, 2
+  SELECT user_id AS u, date_trunc('hour', ts) - (user_id % 4) * INTERVAL 5 DAY AS h, avg(value) AS a
+  FROM events GROUP BY 1, 2
 ),
 mon_metric_hourly AS (
   SELECT {host('u')} AS target_name, 'host' AS target_type, 'Load' AS metric_name,
@@ -181,20 +182,20 @@ mon_metric_hourly AS (
   SELECT {host('u')}, 'host', 'Load', 'memUsedPct', h, 99.0 FROM hour_groups WHERE u % 2 = 0
 ),
 mon_metric_daily AS (
-  SELECT {db('o_custkey % 25 + 1')} AS target_name, {dbtype('o_custkey % 25 + 1')} AS target_type,
+  SELECT {db('o_custkey // 10')} AS target_name, {dbtype('o_custkey // 10')} AS target_type,
          'DATABASE_SIZE' AS metric_name, 'USED_GB' AS metric_column, o_orderdate AS rollup_timestamp,
          CASE WHEN o_orderkey % 50 = 0 THEN 0.0 ELSE o_totalprice / 1000 END AS maximum
   FROM orders
   UNION ALL
-  SELECT {db('o_custkey % 25 + 1')}, {dbtype('o_custkey % 25 + 1')}, 'DATABASE_SIZE', 'ALLOCATED_GB',
+  SELECT {db('o_custkey // 10')}, {dbtype('o_custkey // 10')}, 'DATABASE_SIZE', 'ALLOCATED_GB',
          o_orderdate,
-         CASE WHEN (o_custkey % 25 + 1) % 2 = 0 THEN 1000.0 + (o_custkey % 25 + 1)
+         CASE WHEN (o_custkey // 10) % 2 = 0 THEN 1000.0 + (o_custkey // 10)
               ELSE o_totalprice / 500 END
   FROM orders
 ),
 last_value AS (SELECT user_id AS u, max_by(value, event_id) AS v FROM events GROUP BY 1),
 dg AS (
-  SELECT concat('+ASM_', lpad(cast(s_suppkey % 15 AS VARCHAR), 5, '0')) AS target_name,
+  SELECT concat('+ASM_', lpad(cast(s_suppkey AS VARCHAR), 5, '0')) AS target_name,
          concat('DG', cast(s_suppkey AS VARCHAR)) AS key_value,
          cast(abs(s_acctbal) % 100 AS DECIMAL(10,2)) AS p, 102400 + s_suppkey * 1024 AS tot
   FROM supplier
@@ -211,12 +212,12 @@ mon_metric_current AS (
          cast(cast(cast(tot AS DECIMAL(20,0)) * (100 - p) * 0.01 AS DECIMAL(18,2)) AS VARCHAR) FROM dg
 ),
 ts_base AS (
-  SELECT *, cast(replace(p_brand, 'Brand#', '') AS INTEGER) AS b,
+  SELECT *, cast(p_partkey // 13 AS INTEGER) AS b,
          CASE WHEN p_partkey % 97 = 96 THEN cast(0 AS BIGINT) ELSE cast(5000 AS BIGINT) * 1048576 END AS size
   FROM part
 ),
 mon_db_tablespaces AS (
-  SELECT {db('b')} AS target_name, {host('b % 15')} AS host_name,
+  SELECT {db('b')} AS target_name, {host('b')} AS host_name,
          concat('TS', lpad(cast(p_partkey AS VARCHAR), 6, '0')) AS tablespace_name,
          'ONLINE' AS status, 'PERMANENT' AS contents, size AS tablespace_size,
          cast(size * p_size * (CASE b % 3 WHEN 0 THEN 60 WHEN 1 THEN 88 ELSE 100 END) / 5000 AS BIGINT)
@@ -232,7 +233,7 @@ hosts AS (
   WHERE target_type = 'host' AND upper(target_name) LIKE '%-D-%'
 ),
 cpu_all AS (
-  SELECT target_name, rollup_timestamp, cast(average AS DECIMAL(18,6)) AS cpu_val
+  SELECT target_name, rollup_timestamp, average, cast(average AS DECIMAL(18,6)) AS cpu_val
   FROM mon_metric_hourly
   WHERE metric_name = 'Load' AND metric_column = 'cpuUtil' AND target_type = 'host'
 ),
@@ -246,7 +247,7 @@ inv AS (
 
 
 def since(days: int, as_of: str = CPU_AS_OF) -> str:
-    return f"rollup_timestamp >= {as_of} - INTERVAL {days} DAY"
+    return f"rollup_timestamp BETWEEN {as_of} - INTERVAL {days} DAY AND {as_of}"
 
 
 def semi(days: int) -> str:
@@ -285,7 +286,7 @@ SELECT target_name, {short('target_name')} AS hostname, os_type,
 FROM (
   SELECT target_name, os_type, {ravg_dec('cpu_val')} AS avg2, round(min(cpu_val), 2) AS min2,
          round(max(cpu_val), 2) AS max2, round({stddev0('cpu_val')}, 2) AS stddev_cpu,
-         count(CASE WHEN cpu_val >= 98 THEN 1 END) AS incidents
+         count(CASE WHEN average >= 98 THEN 1 END) AS incidents
   FROM {inner(30)} c WHERE upper(os_type) = '{os_upper}'
   GROUP BY target_name, os_type
 ) s
@@ -298,16 +299,16 @@ def _snapshot_body(cols: str) -> str:
 SELECT {cols}
 FROM hosts h
 LEFT JOIN (
-  SELECT target_name, rollup_timestamp AS ts, cpu_val AS v,
+  SELECT target_name, rollup_timestamp AS ts, cpu_val AS v, average AS raw,
          row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC) AS rn
   FROM {semi(2)} x
 ) l ON h.target_name = l.target_name AND l.rn = 1"""
 
 
 SNAPSHOT_COLS = (f"h.target_name, {short('h.target_name')} AS hostname, h.os_type, "
-                 f"cast(round(coalesce(l.v, 0), 2) AS DOUBLE) AS cpu_pct, {badge('l.v')} AS status, "
-                 f"{snap_colour('l.v')} AS colour, coalesce({minute('l.ts')}, 'N/A') AS last_measured, "
-                 f"{status4('l.v')} AS status4")
+                 f"cast(round(coalesce(l.v, 0), 2) AS DOUBLE) AS cpu_pct, {badge('l.raw')} AS status, "
+                 f"{snap_colour('l.raw')} AS colour, coalesce({minute('l.ts')}, 'N/A') AS last_measured, "
+                 f"{status4('l.raw')} AS status4")
 
 
 def reports() -> dict[str, str]:
@@ -315,19 +316,19 @@ def reports() -> dict[str, str]:
         "cpu_dashboard_kpis": q(f"""
 SELECT count(DISTINCT target_name) AS total_hosts, {ravg('cpu_val')} AS avg_cpu,
        {r2('max(cpu_val)')} AS max_cpu,
-       count(CASE WHEN cpu_val >= 98 THEN 1 END) AS spike_count,
-       count(DISTINCT CASE WHEN cpu_val >= 98 THEN target_name END) AS hosts_with_spikes
+       count(CASE WHEN average >= 98 THEN 1 END) AS spike_count,
+       count(DISTINCT CASE WHEN average >= 98 THEN target_name END) AS hosts_with_spikes
 FROM {semi(30)} c"""),
         "cpu_current_snapshot": q(_snapshot_body(SNAPSHOT_COLS)),
         "cpu_spike_days": q(f"""
 SELECT {dayl('d')} AS spike_day, hosts_affected, incident_count, peak_cpu FROM (
   SELECT cast(rollup_timestamp AS DATE) AS d, count(DISTINCT target_name) AS hosts_affected,
          count(*) AS incident_count, {r2('max(cpu_val)')} AS peak_cpu
-  FROM {semi(30)} c WHERE cpu_val >= 98 GROUP BY 1) t
+  FROM {semi(30)} c WHERE average >= 98 GROUP BY 1) t
 ORDER BY spike_day DESC"""),
         "cpu_weekly_trend": q(f"""
 SELECT {dayl('w')} AS week_end, {ravg('cpu_val')} AS avg_cpu, {r2('max(cpu_val)')} AS max_cpu,
-       count(CASE WHEN cpu_val >= 98 THEN 1 END) AS spike_count,
+       count(CASE WHEN average >= 98 THEN 1 END) AS spike_count,
        {peak_colour('round(max(cpu_val), 2)')} AS colour
 FROM (SELECT *, {week_end('rollup_timestamp')} AS w FROM {semi(30)} c) t
 GROUP BY w ORDER BY week_end DESC"""),
@@ -336,8 +337,8 @@ SELECT target_name, {short('target_name')} AS hostname, os_type,
        {minute('rollup_timestamp')} AS event_ts, {r2('cpu_val')} AS cpu_pct, rn,
        'Check for recurring HH:MI pattern' AS pattern_hint
 FROM (
-  SELECT *, row_number() OVER (ORDER BY cpu_val DESC, rollup_timestamp DESC, target_name) AS rn
-  FROM {inner(30)} c WHERE cpu_val >= 98
+  SELECT *, row_number() OVER (ORDER BY average DESC, rollup_timestamp DESC, target_name) AS rn
+  FROM {inner(30)} c WHERE average >= 98
 ) r WHERE rn <= 50 ORDER BY rn"""),
         "cpu_top_consumers_linux": _consumers("LINUX"),
         "cpu_top_consumers_aix": _consumers("AIX"),
@@ -360,22 +361,14 @@ JOIN mon_target mt ON g.target_name = mt.target_name AND mt.target_type = 'osm_i
 JOIN inv i ON mt.host_name = i.server
 WHERE i.os = 'Linux'"""),
         "asm_not_applicable": q(
-            "SELECT DISTINCT os, 'Not Applicable for AIX Servers' AS status FROM inv WHERE os = 'AIX'"),
+            "SELECT 'AIX' AS os, 'Not Applicable for AIX Servers' AS status FROM (SELECT count(*) FROM inv) n"),
         "tablespace_attention": q(f"""
 SELECT i.database_name, s.host_name, i.server, i.os, s.critical_tablespaces,
        cast(s.max_used AS DOUBLE) AS max_used_pct,
        CASE WHEN coalesce(s.critical_tablespaces, 0) > 0 THEN s.tablespace_list
             ELSE 'No tablespace used 85% above' END AS tablespace_list,
        {ts_status('s.max_used')} AS status
-FROM (
-  SELECT target_name, host_name,
-         count(CASE WHEN used_percent >= 85 THEN 1 END) AS critical_tablespaces,
-         max(CASE WHEN used_percent >= 85 THEN used_percent END) AS max_used,
-         listagg(CASE WHEN used_percent >= 85
-                      THEN concat(tablespace_name, '(', {plain('used_percent')}, '%)') END,
-                 ', ' ORDER BY used_percent DESC, tablespace_name) AS tablespace_list
-  FROM tsu GROUP BY target_name, host_name
-) s JOIN inv i ON s.target_name = i.database_name""", TSU),
+FROM tss s JOIN inv i ON s.target_name = i.database_name""", TSU),
         "host_cpu_current": q(f"""
 SELECT i.database_name, i.server, i.os, {r2(num('c.value'))} AS cpu_pct,
        {hc_status(f"round({num('c.value')}, 0)", 'low')} AS status
@@ -399,7 +392,7 @@ FROM spk s JOIN (
   SELECT target_name, spike_hour, count(DISTINCT cast(rollup_timestamp AS DATE)) AS days_at_hour
   FROM spk GROUP BY 1, 2) h
 ON s.target_name = h.target_name AND s.spike_hour = h.spike_hour""",
-                                   f"spk AS (SELECT *, hour(rollup_timestamp) AS spike_hour FROM {semi(30)} c WHERE cpu_val >= 98)"),
+                                   f"spk AS (SELECT *, hour(rollup_timestamp) AS spike_hour FROM {semi(30)} c WHERE average >= 98)"),
         "cpu_rolling_7d": q(f"""
 SELECT {dayl('d')} AS day, {rdiv(scaled('s'), 'n * 1000000')} AS daily_avg_cpu,
        {rdiv(scaled('ws'), 'wn * 1000000')} AS rolling_avg_cpu, days_in_window
@@ -411,8 +404,8 @@ FROM (
 ) x ORDER BY day"""),
         "cpu_elevated_hosts": q(_snapshot_body(
             f"h.target_name, {short('h.target_name')} AS hostname, h.os_type, "
-            f"cast(round(coalesce(l.v, 0), 2) AS DOUBLE) AS cpu_pct, {badge('l.v')} AS status, "
-            f"{status4('l.v')} AS status4")),
+            f"cast(round(coalesce(l.v, 0), 2) AS DOUBLE) AS cpu_pct, {badge('l.raw')} AS status, "
+            f"{status4('l.raw')} AS status4")),
     }
 
 
@@ -420,28 +413,39 @@ FROM (
 TSU = f"""tsu AS (
   SELECT target_name, host_name, tablespace_name, tablespace_size, tablespace_used_size,
          {rdiv_dec('cast(tablespace_used_size AS HUGEINT) * 100', 'cast(tablespace_size AS HUGEINT)')} AS used_percent
-  FROM mon_db_tablespaces WHERE tablespace_size > 0)"""
-
-GROWTH_CTES = f"""growth_daily AS (
-  SELECT target_name, date_trunc('month', rollup_timestamp) AS month_dt, metric_column,
-         cast(maximum AS DECIMAL(18,6)) AS mx
+  FROM mon_db_tablespaces WHERE tablespace_size > 0),
+over_cutoff AS (SELECT * FROM tsu WHERE used_percent >= 85),
+tss AS (
+  SELECT d.target_name, d.host_name, count(o.tablespace_name) AS critical_tablespaces,
+         max(o.used_percent) AS max_used,
+         listagg(concat(o.tablespace_name, '(', {plain('o.used_percent')}, '%)'), ', '
+                 ORDER BY o.used_percent DESC, o.tablespace_name)
+           FILTER (WHERE o.tablespace_name IS NOT NULL) AS tablespace_list
+  FROM (SELECT DISTINCT target_name, host_name FROM tsu) d
+  LEFT JOIN over_cutoff o ON o.target_name = d.target_name AND o.host_name = d.host_name
+  GROUP BY d.target_name, d.host_name)"""
+
+# Sizes by month, used and allocated side by side; each month against the
+# latest earlier month that the database has.
+GROWTH_CTES = f"""size_rows AS (
+  SELECT target_name, metric_column, cast(maximum AS DECIMAL(18,6)) AS gb,
+         make_date(year(rollup_timestamp), month(rollup_timestamp), 1) AS month_dt
   FROM mon_metric_daily
-  WHERE target_type IN {DB_TYPES} AND metric_name = 'DATABASE_SIZE'
-    AND metric_column IN ('ALLOCATED_GB', 'USED_GB')
-    AND rollup_timestamp >= date_trunc('month', {GROWTH_AS_OF}) - INTERVAL 6 MONTH
-    AND maximum IS NOT NULL AND maximum > 0),
-growth_month AS (
-  SELECT target_name, month_dt, metric_column, {ravg_dec('mx')} AS avg_value
-  FROM growth_daily GROUP BY 1, 2, 3),
+  WHERE maximum > 0 AND metric_name = 'DATABASE_SIZE' AND target_type IN {DB_TYPES}
+    AND rollup_timestamp BETWEEN date_trunc('month', {GROWTH_AS_OF}) - INTERVAL 6 MONTH AND {GROWTH_AS_OF}),
+used_sizes AS (
+  SELECT target_name, month_dt, {ravg_dec('gb')} AS used_gb
+  FROM size_rows WHERE metric_column = 'USED_GB' GROUP BY ALL),
+allocated_sizes AS (
+  SELECT target_name, month_dt, {ravg_dec('gb')} AS allocated_gb
+  FROM size_rows WHERE metric_column = 'ALLOCATED_GB' GROUP BY ALL),
 growth_pivot AS (
-  SELECT target_name, month_dt,
-         sum(CASE WHEN metric_column = 'USED_GB' THEN avg_value END) AS used_gb,
-         sum(CASE WHEN metric_column = 'ALLOCATED_GB' THEN avg_value END) AS allocated_gb
-  FROM growth_month GROUP BY 1, 2),
+  SELECT target_name, month_dt, used_gb, allocated_gb
+  FROM used_sizes FULL JOIN allocated_sizes USING (target_name, month_dt)),
 growth_lag AS (
-  SELECT *, lag(allocated_gb) OVER (PARTITION BY target_name ORDER BY month_dt) AS pa,
-         lag(used_gb) OVER (PARTITION BY target_name ORDER BY month_dt) AS pu
-  FROM growth_pivot)"""
+  SELECT g.*, earlier.allocated_gb AS pa, earlier.used_gb AS pu
+  FROM growth_pivot g ASOF LEFT JOIN growth_pivot earlier
+    ON g.target_name = earlier.target_name AND g.month_dt > earlier.month_dt)"""
 
 
 def oracle_sql() -> dict[str, str]:

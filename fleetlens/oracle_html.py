@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fleetlens.oracle import fixed2, plain, reports
 
+# The row markup that the reports must reproduce.
 _BADGE = ("CASE WHEN {c} IN ('CRITICAL', 'RCA REQUIRED') THEN 'badge-critical' "
           "WHEN {c} IN ('WARNING', 'REVIEW', 'OPTIMIZE') THEN 'badge-warning' "
           "ELSE 'badge-secondary' END")
@@ -86,5 +87,6 @@ def html_sql() -> dict[str, str]:
     base = reports()
     out = {f"html_{k}": f"SELECT concat({expr}) AS html_row FROM (\n{base[k]}\n) r"
            for k, expr in HTML.items()}
-    out["render_html_row"] = out["html_cpu_current_snapshot"]
+    out["render_html_row"] = "\nUNION ALL\n".join(
+        f"SELECT '{k}' AS section, html_row FROM (\n{out[f'html_{k}']}\n) s" for k in HTML)
     return out

@@ -14,8 +14,8 @@ def _cpu_out(src: str, extra: str = "") -> str:
 
 
 _LATEST = f"""latest AS (
-  SELECT h.target_name, l.ts, l.v FROM hosts h LEFT JOIN (
-    SELECT target_name, rollup_timestamp AS ts, cpu_val AS v,
+  SELECT h.target_name, l.ts, l.v, l.raw FROM hosts h LEFT JOIN (
+    SELECT target_name, rollup_timestamp AS ts, cpu_val AS v, average AS raw,
            row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC) AS rn
     FROM {semi(2)} y) l ON h.target_name = l.target_name AND l.rn = 1)"""
 
@@ -26,22 +26,14 @@ _STATS = f"""stats AS (
   FROM (
     SELECT target_name, os_type, {ravg_dec('cpu_val')} AS avg2, round(min(cpu_val), 2) AS min2,
            round(max(cpu_val), 2) AS max2, round({stddev0('cpu_val')}, 2) AS stddev_cpu,
-           count(CASE WHEN cpu_val >= 98 THEN 1 END) AS incidents
+           count(CASE WHEN average >= 98 THEN 1 END) AS incidents
     FROM {inner(30)} c GROUP BY target_name, os_type) s)"""
 
 _DG = """dgr AS (SELECT * FROM mon_metric_current WHERE metric_name = 'DiskGroup_Usage'
         AND metric_column IN ('percent_used', 'free_mb', 'total_mb'))"""
 
-_TS_SUMMARY = f"""tss AS (
-  SELECT target_name, host_name,
-         count(CASE WHEN used_percent >= 85 THEN 1 END) AS critical_tablespaces,
-         max(CASE WHEN used_percent >= 85 THEN used_percent END) AS max_used,
-         listagg(CASE WHEN used_percent >= 85
-                      THEN concat(tablespace_name, '(', {plain('used_percent')}, '%)') END,
-                 ', ' ORDER BY used_percent DESC, tablespace_name) AS tablespace_list
-  FROM tsu GROUP BY target_name, host_name)"""
-
-_GROWTH_WIN = (f"rollup_timestamp >= date_trunc('month', {GROWTH_AS_OF}) - INTERVAL 6 MONTH")
+_GROWTH_WIN = (f"rollup_timestamp BETWEEN date_trunc('month', {GROWTH_AS_OF}) - INTERVAL 6 MONTH "
+               f"AND {GROWTH_AS_OF}")
 
 
 def _d(col: str) -> str:
@@ -58,7 +50,7 @@ def operator_sql() -> dict[str, str]:
         "month_window_filter": q(f"""
 SELECT target_name, metric_column, {dayl('rollup_timestamp')} AS day, maximum
 FROM mon_metric_daily WHERE {_GROWTH_WIN}"""),
-        "threshold_filter": q(_cpu_out(f"(SELECT * FROM cpu_all WHERE {since(30)} AND cpu_val >= 98)")),
+        "threshold_filter": q(_cpu_out(f"(SELECT * FROM cpu_all WHERE {since(30)} AND average >= 98)")),
         "type_in_filter": q("""
 SELECT target_name, target_type, type_qualifier1 FROM mon_target
 WHERE target_type IN ('rac_database', 'oracle_database', 'oracle_pdb')"""),
@@ -89,28 +81,27 @@ SELECT i.database_name, i.server, c.value
 FROM mon_metric_current c JOIN inv i ON c.target_name = i.server
 WHERE c.metric_name = 'Load' AND c.metric_column = 'cpuUtil'"""),
         "agg_global": q(f"""
-SELECT count(*) AS samples, {ravg('cpu_val')} AS avg_cpu, {r2('min(cpu_val)')} AS min_cpu,
-       {r2('max(cpu_val)')} AS max_cpu, count(CASE WHEN cpu_val >= 98 THEN 1 END) AS spike_count
+SELECT count(DISTINCT target_name) AS total_hosts, {ravg('cpu_val')} AS avg_cpu, {r2('max(cpu_val)')} AS max_cpu,
+       count(CASE WHEN average >= 98 THEN 1 END) AS spike_count,
+       count(DISTINCT CASE WHEN average >= 98 THEN target_name END) AS hosts_with_spikes
 FROM {semi(30)} c"""),
         "agg_by_day": q(f"""
-SELECT {dayl('d')} AS day, count(*) AS samples, count(DISTINCT target_name) AS hosts,
-       {ravg('cpu_val')} AS avg_cpu, {r2('max(cpu_val)')} AS max_cpu,
-       count(CASE WHEN cpu_val >= 98 THEN 1 END) AS spike_count,
-       count(DISTINCT CASE WHEN cpu_val >= 98 THEN target_name END) AS hosts_with_spikes
-FROM (SELECT *, cast(rollup_timestamp AS DATE) AS d FROM {semi(30)} c) t GROUP BY d"""),
+SELECT {dayl('d')} AS day, count(DISTINCT target_name) AS hosts_affected, count(*) AS incident_count,
+       {r2('max(cpu_val)')} AS peak_cpu
+FROM (SELECT *, cast(rollup_timestamp AS DATE) AS d FROM {semi(30)} c WHERE average >= 98) t GROUP BY d"""),
         "agg_by_iso_week": q(f"""
 SELECT {dayl('w')} AS week_end, {ravg('cpu_val')} AS avg_cpu, {r2('max(cpu_val)')} AS max_cpu,
-       count(CASE WHEN cpu_val >= 98 THEN 1 END) AS spike_count
+       count(CASE WHEN average >= 98 THEN 1 END) AS spike_count
 FROM (SELECT *, {week_end('rollup_timestamp')} AS w FROM {semi(30)} c) t GROUP BY w"""),
         "agg_host_stats": q(f"""
 SELECT target_name, os_type, {_d('avg2')} AS avg_cpu, {_d('min2')} AS min_cpu,
        {_d('max2')} AS max_cpu, stddev_cpu, incidents FROM stats""", _STATS),
         "agg_conditional_count": q(f"""
-SELECT target_name, count(CASE WHEN cpu_val >= 98 THEN 1 END) AS incidents
+SELECT target_name, count(CASE WHEN average >= 98 THEN 1 END) AS incidents
 FROM {semi(30)} c GROUP BY target_name"""),
         "agg_conditional_distinct": q(f"""
 SELECT {dayl('cast(rollup_timestamp AS DATE)')} AS day,
-       count(DISTINCT CASE WHEN cpu_val >= 98 THEN target_name END) AS hosts_with_spikes
+       count(DISTINCT CASE WHEN average >= 98 THEN target_name END) AS hosts_with_spikes
 FROM {semi(30)} c GROUP BY 1"""),
         "agg_distinct_values": q("""
 SELECT value, count(*) AS row_count FROM mon_metric_current
@@ -133,7 +124,7 @@ FROM (SELECT *, date_trunc('month', rollup_timestamp) AS m FROM mon_metric_daily
 GROUP BY target_name, m, metric_column"""),
         "listagg_ordered": q(f"""
 SELECT target_name, host_name, critical_tablespaces, {_d('max_used')} AS max_used, tablespace_list
-FROM tss""", TSU + ",\n" + _TS_SUMMARY),
+FROM tss""", TSU),
         "latest_per_host": q(_cpu_out(f"""(
   SELECT target_name, rollup_timestamp, cpu_val FROM (
     SELECT *, row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC) AS rn
@@ -143,8 +134,8 @@ FROM tss""", TSU + ",\n" + _TS_SUMMARY),
          arg_max(cpu_val, rollup_timestamp) AS cpu_val
   FROM {semi(2)} y GROUP BY target_name)""")),
         "rank_global": q(_cpu_out(f"""(
-  SELECT *, row_number() OVER (ORDER BY cpu_val DESC, rollup_timestamp DESC, target_name) AS rn
-  FROM {semi(30)} y WHERE cpu_val >= 98)""", ", rn") + " WHERE rn <= 50"),
+  SELECT *, row_number() OVER (ORDER BY average DESC, rollup_timestamp DESC, target_name) AS rn
+  FROM {semi(30)} y WHERE average >= 98)""", ", rn") + " WHERE rn <= 50"),
         "lag_month": q(f"""
 SELECT target_name, {dayl('month_dt')} AS month_dt, {lag_cols},
        {_d('pa')} AS prev_allocated_gb, {_d('pu')} AS prev_used_gb FROM growth_lag""", GROWTH_CTES),
@@ -182,9 +173,9 @@ FROM tsu""", TSU),
         "null_default": q(f"""
 SELECT target_name, cast(coalesce(v, 0) AS DOUBLE) AS cpu_or_zero,
        coalesce({minute('ts')}, 'N/A') AS last_measured FROM latest""", _LATEST),
-        "classify_snapshot_colour": q(f"SELECT target_name, {snap_colour('v')} AS colour FROM latest",
+        "classify_snapshot_colour": q(f"SELECT target_name, {snap_colour('raw')} AS colour FROM latest",
                                       _LATEST),
-        "classify_snapshot_badge": q(f"SELECT target_name, {badge('v')} AS status FROM latest", _LATEST),
+        "classify_snapshot_badge": q(f"SELECT target_name, {badge('raw')} AS status FROM latest", _LATEST),
         "classify_peak_colour": q(f"SELECT target_name, {_d('max2')} AS max_cpu, max_colour FROM stats",
                                   _STATS),
         "classify_avg_colour": q(f"SELECT target_name, {_d('avg2')} AS avg_cpu, avg_colour FROM stats",
@@ -198,7 +189,7 @@ SELECT target_name, key_value,
        {hc_status(f"max(CASE WHEN metric_column = 'percent_used' THEN round({num('value')}, 0) END)", 'normal')} AS status
 FROM dgr GROUP BY target_name, key_value""", _DG),
         "classify_tablespace": q(f"SELECT target_name, {ts_status('max_used')} AS status FROM tss",
-                                 TSU + ",\n" + _TS_SUMMARY),
+                                 TSU),
         "classify_host_cpu": q(f"""
 SELECT target_name, {hc_status(f"round({num('value')}, 0)", 'low')} AS status
 FROM mon_metric_current WHERE metric_name = 'Load' AND metric_column = 'cpuUtil'"""),

@@ -55,17 +55,13 @@ class Params:
     # re-aimed reports (described by the reference, not computed there)
     recurring_min_days: int = 3
     rolling_days: int = 7
-    # metric values are held as DECIMAL(18, value_scale): the monitoring
-    # repository stores exact numbers, and sums stay exact in Spark
+    # sums and printed values count readings in BIGINT units of
+    # 10^-value_scale; tests are made on the stored reading
     value_scale: int = 6
-    # a join side is broadcast only when a bounded count proves it holds at
-    # most this many rows; beyond it the join shuffles (AQE may still
-    # convert it at runtime from measured sizes)
-    broadcast_max_rows: int = 500_000
 
     def __post_init__(self):
         for name in ("lookback_days", "snapshot_days", "events_days", "events_k",
-                     "consumers_k", "recurring_min_days", "rolling_days", "broadcast_max_rows"):
+                     "consumers_k", "recurring_min_days", "rolling_days"):
             if int(getattr(self, name)) < 1:
                 raise ValueError(f"{name} must be at least 1")
         if self.growth_months_back < 0:

@@ -8,9 +8,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.numbers import from_units, to_units, units_lit
+from fleetlens.functions.numbers import at_least, from_units, to_units
 from fleetlens.operators.filters import fleet_filter, lookback_filter, metric_filter
-from fleetlens.operators.joins import bounded, proven_small
+from fleetlens.operators.joins import fleet_inner_join, fleet_semi_join
 from fleetlens.params import Params
 from fleetlens.sources.tables import MonitoringTables
 
@@ -33,22 +33,6 @@ class ReportRun:
         self.persist = persist
 
     # ---- dimension -----------------------------------------------------
-    @cached_property
-    def dim_small(self) -> bool:
-        """One bounded count over the whole target dimension; every subset
-        of it (hosts, databases, instances, inventory) inherits the bound."""
-        cache = getattr(self.t, "bound_cache", None)
-        key = ("targets", self.p.broadcast_max_rows)
-        if cache is not None and key in cache:
-            return cache[key]
-        small = proven_small(self.t.targets.select("target_name"), self.p.broadcast_max_rows)
-        if cache is not None:
-            cache[key] = small
-        return small
-
-    def b(self, df: DataFrame) -> DataFrame:
-        return bounded(df, self.dim_small)
-
     @cached_property
     def hosts(self) -> DataFrame:
         """Fleet hosts (name, OS); the list is not made distinct."""
@@ -57,38 +41,35 @@ class ReportRun:
 
     # ---- CPU facts -----------------------------------------------------
     def cpu_rows(self, days: int) -> DataFrame:
-        """CPU readings of any host in the last ``days`` days, as exact
-        ``cpu_units`` (BIGINT, 10^-value_scale per unit)."""
+        """CPU readings of any host in the last ``days`` days: the stored
+        ``average``, which tests read, and ``cpu_units`` (BIGINT,
+        10^-value_scale per unit), which sums and printed values use."""
         h = metric_filter(self.t.hourly, "Load", "cpuUtil", "host")
         h = lookback_filter(h, self.p.as_of, days)
-        return h.select("target_name", "rollup_timestamp",
+        return h.select("target_name", "rollup_timestamp", "average",
                         to_units("average", self.p.value_scale).alias("cpu_units"))
 
     @cached_property
     def _fleet_cpu_wide(self) -> DataFrame:
         days = max(self.p.lookback_days, self.p.snapshot_days, self.p.events_days)
-        df = self.cpu_rows(days).join(self.b(self.hosts), "target_name")
-        if self.persist:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        return df
+        return fleet_semi_join(self.cpu_rows(days), self.hosts).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def fleet_cpu(self, days: int) -> DataFrame:
-        """Fleet CPU rows (target_name, rollup_timestamp, cpu_units, os_type)
-        in the last ``days`` days, joined once to the host list."""
+    def fleet_cpu_semi(self, days: int) -> DataFrame:
+        """Fleet CPU rows in the last ``days`` days (semi join: a host listed
+        twice never repeats its rows)."""
         if self.persist:
             return lookback_filter(self._fleet_cpu_wide, self.p.as_of, days)
-        return self.cpu_rows(days).join(self.b(self.hosts), "target_name")
+        return fleet_semi_join(self.cpu_rows(days), self.hosts)
 
-    def fleet_cpu_semi(self, days: int) -> DataFrame:
-        """Fleet CPU rows without host columns (semi join: never repeats)."""
-        if self.persist:
-            return lookback_filter(self._fleet_cpu_wide, self.p.as_of, days).drop("os_type")
-        return self.cpu_rows(days).join(self.b(self.hosts.select("target_name")),
-                                        "target_name", "left_semi")
+    def fleet_cpu(self, days: int) -> DataFrame:
+        """Fleet CPU rows with the host's OS; a host listed twice repeats
+        them."""
+        rows = self.fleet_cpu_semi(days) if self.persist else self.cpu_rows(days)
+        return fleet_inner_join(rows, self.hosts)
 
     def spike(self):
-        """The spike threshold in ``cpu_units``."""
-        return units_lit(self.p.spike_threshold, self.p.value_scale)
+        """The test for a spike, on the stored reading."""
+        return at_least("average", self.p.spike_threshold)
 
     def value(self, units="cpu_units"):
         """Units back to the exact reading (DECIMAL)."""

@@ -7,29 +7,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import classify as C
-from fleetlens.functions.dates import day_bucket, day_label, iso_week_end, minute_label
-from fleetlens.functions.numbers import as_double, units_avg2, units_stddev2
+from fleetlens.functions.dates import day_label, minute_label
+from fleetlens.functions.numbers import as_double, finite, units_avg2, units_stddev2
 from fleetlens.functions.text import short_hostname
-from fleetlens.operators.aggregates import conditional_count
+from fleetlens.operators.aggregates import agg_by_day, agg_by_iso_week, agg_global, conditional_count
+from fleetlens.operators.filters import threshold_filter
+from fleetlens.operators.joins import latest_left_join
 from fleetlens.operators.windows import latest_per_host, rank_global, sort_bounded, top_k
 from fleetlens.plans.context import ReportRun
 
 
 def cpu_dashboard_kpis(run: ReportRun) -> DataFrame:
     """One row: hosts with samples in the window, average, peak, spike
-    samples, hosts with a spike.  Folded in two steps: per host (combined
-    map-side, one shuffle on the host key), then the hosts to one row."""
-    sc = run.p.value_scale
-    u = F.col("cpu_units")
-    per_host = (run.fleet_cpu_semi(run.p.lookback_days).groupBy("target_name")
-                .agg(F.count(u).alias("n"), F.sum(u).alias("s"), F.max(u).alias("mx"),
-                     conditional_count(u >= run.spike()).alias("spikes")))
-    return per_host.agg(
-        F.count(F.lit(1)).alias("total_hosts"),
-        as_double(units_avg2(F.sum(F.col("s").cast("decimal(24,0)")), F.sum("n"), sc)).alias("avg_cpu"),
-        as_double(F.round(run.value(F.max("mx")), 2)).alias("max_cpu"),
-        F.coalesce(F.sum("spikes"), F.lit(0)).cast("bigint").alias("spike_count"),
-        F.count(F.when(F.col("spikes") > 0, F.lit(1))).alias("hosts_with_spikes"))
+    samples, hosts with a spike."""
+    k = agg_global(run.fleet_cpu_semi(run.p.lookback_days), run.spike(), run.p.value_scale)
+    return k.select("total_hosts", as_double("avg_cpu").alias("avg_cpu"), as_double("max_cpu").alias("max_cpu"),
+                    "spike_count", "hosts_with_spikes")
 
 
 def cpu_current_snapshot(run: ReportRun) -> DataFrame:
@@ -38,34 +31,34 @@ def cpu_current_snapshot(run: ReportRun) -> DataFrame:
     badge test the raw value, the printed value is rounded."""
     p = run.p
     latest = latest_per_host(run.fleet_cpu_semi(p.snapshot_days))
-    v = run.value()
-    joined = run.hosts.join(latest, "target_name", "left")
+    v, printed = finite("average"), run.value()
+    joined = latest_left_join(run.hosts, latest)
     # raw value first, then the short name (ascending puts NULL names last
     # in the repository's order), then the full name for repeatable ties
-    joined = joined.orderBy(F.coalesce(F.col("cpu_units"), F.lit(0)).desc(),
+    joined = joined.orderBy(F.coalesce(v, F.lit(0.0)).desc(),
                             short_hostname("target_name").asc_nulls_last(), F.col("target_name"))
     return joined.select(
         "target_name",
         short_hostname("target_name").alias("hostname"),
         "os_type",
-        as_double(F.round(F.coalesce(v, F.lit(0)), 2)).alias("cpu_pct"),
+        as_double(F.round(F.coalesce(printed, F.lit(0)), 2)).alias("cpu_pct"),
         C.snapshot_badge(v, p.high_cutoff, p.warn_cutoff).alias("status"),
         C.snapshot_colour(v, p.high_cutoff, p.warn_cutoff, p.elevated_cutoff).alias("colour"),
         F.coalesce(minute_label("rollup_timestamp"), F.lit("N/A")).alias("last_measured"),
         C.snapshot_status4(v, p.high_cutoff, p.warn_cutoff, p.elevated_cutoff).alias("status4"))
 
 
+def spike_rows(run: ReportRun, rows: DataFrame) -> DataFrame:
+    """Readings at or above the threshold; the test reaches the fact scan."""
+    return threshold_filter(rows, "average", run.p.spike_threshold)
+
+
 def cpu_spike_days(run: ReportRun) -> DataFrame:
     """Calendar days with at least one spike sample: hosts affected,
     incidents, peak."""
-    u = F.col("cpu_units")
-    spikes = run.fleet_cpu_semi(run.p.lookback_days).where(u >= run.spike())
-    return (spikes.groupBy(day_bucket("rollup_timestamp").alias("d"))
-            .agg(F.count_distinct("target_name").alias("hosts_affected"),
-                 F.count(F.lit(1)).alias("incident_count"),
-                 F.max(u).alias("mx"))
-            .select(day_label("d").alias("spike_day"), "hosts_affected", "incident_count",
-                    as_double(F.round(run.value("mx"), 2)).alias("peak_cpu"))
+    days = agg_by_day(spike_rows(run, run.fleet_cpu_semi(run.p.lookback_days)), run.p.value_scale)
+    return (days.select(day_label("day").alias("spike_day"), "hosts_affected", "incident_count",
+                        as_double("peak_cpu").alias("peak_cpu"))
             .transform(lambda d: sort_bounded(d, [F.col("spike_day").desc()])))
 
 
@@ -73,16 +66,10 @@ def cpu_weekly_trend(run: ReportRun) -> DataFrame:
     """ISO weeks labelled by their Sunday: average, peak and spike samples;
     the peak colour tests the rounded peak."""
     p = run.p
-    u = F.col("cpu_units")
-    wk = (run.fleet_cpu_semi(p.lookback_days)
-          .groupBy(iso_week_end("rollup_timestamp").alias("w"))
-          .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.max(u).alias("mx"),
-               conditional_count(u >= run.spike()).alias("spike_count"))
-          .select("w", "spike_count", units_avg2("s", "n", p.value_scale).alias("avg2"),
-                  F.round(run.value("mx"), 2).alias("max2")))
-    return (wk.select(day_label("w").alias("week_end"), as_double("avg2").alias("avg_cpu"),
-                      as_double("max2").alias("max_cpu"), "spike_count",
-                      C.peak_colour("max2", p.high_cutoff, p.warn_cutoff).alias("colour"))
+    wk = agg_by_iso_week(run.fleet_cpu_semi(p.lookback_days), run.spike(), p.value_scale)
+    return (wk.select(day_label("week_end").alias("week_end"), as_double("avg_cpu").alias("avg_cpu"),
+                      as_double("max_cpu").alias("max_cpu"), "spike_count",
+                      C.peak_colour("max_cpu", p.high_cutoff, p.warn_cutoff).alias("colour"))
             .transform(lambda d: sort_bounded(d, [F.col("week_end").desc()])))
 
 
@@ -90,9 +77,8 @@ def cpu_top_spike_events(run: ReportRun) -> DataFrame:
     """The ``events_k`` highest spike samples of the fixed ``events_days``
     window, newest first among equal values."""
     p = run.p
-    u = F.col("cpu_units")
-    spikes = run.fleet_cpu(p.events_days).where(u >= run.spike())
-    order = [u.desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
+    spikes = spike_rows(run, run.fleet_cpu(p.events_days))
+    order = [F.col("average").desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
     ranked = rank_global(spikes, order, p.events_k)
     return ranked.select(
         "target_name", short_hostname("target_name").alias("hostname"), "os_type",
@@ -112,7 +98,7 @@ def host_stats(run: ReportRun, os_name: str | None = None) -> DataFrame:
     st = (cpu.groupBy("target_name", "os_type")
           .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.min(u).alias("mn"),
                F.max(u).alias("mx"), units_stddev2(u, p.value_scale).alias("stddev_cpu"),
-               conditional_count(u >= run.spike()).alias("incidents"))
+               conditional_count(run.spike()).alias("incidents"))
           .select("target_name", "os_type", "stddev_cpu", "incidents",
                   units_avg2("s", "n", p.value_scale).alias("avg2"),
                   F.round(run.value("mn"), 2).alias("min2"),

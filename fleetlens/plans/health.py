@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from fleetlens.functions import classify as C
 from fleetlens.functions.numbers import as_double, text_to_number
 from fleetlens.functions.text import number_plain
-from fleetlens.operators.aggregates import conditional_count, ordered_list
-from fleetlens.operators.joins import instance_join, inventory_join, self_join_hosts
+from fleetlens.operators.aggregates import conditional_count, ordered_list, pivot_max
+from fleetlens.operators.filters import metric_filter, type_in_filter
+from fleetlens.operators.joins import in_inventory, instance_join, instances, inventory_join, self_join_hosts
 from fleetlens.params import DB_TARGET_TYPES, DISKGROUP_COLUMNS
 from fleetlens.plans.context import ReportRun
 
@@ -24,47 +25,49 @@ def db_host_inventory(run: ReportRun, os_list=None) -> DataFrame:
     """Databases and the host each runs on, for hosts of the given OS
     values (exact, case-sensitive match)."""
     os_list = tuple(run.p.os_list if os_list is None else os_list)
-    return self_join_hosts(run.t.targets, DB_TARGET_TYPES, os_list, run.dim_small)
+    return self_join_hosts(run.t.targets, DB_TARGET_TYPES, os_list)
 
 
 def db_host_inventory_sorted(run: ReportRun, os_list=None) -> DataFrame:
-    """The inventory ordered by database name."""
-    return db_host_inventory(run, os_list).orderBy("database_name")
+    """The inventory ordered by OS and database name, as the per-OS, per-row
+    loop over it printed every section."""
+    return db_host_inventory(run, os_list).orderBy("os", "database_name")
+
+
+def _members(run: ReportRun, os_list) -> DataFrame:
+    return db_host_inventory(run, os_list).select("database_name", "server", "os")
 
 
 def asm_diskgroup_usage(run: ReportRun, os_list=("Linux",), strict: bool = True) -> DataFrame:
     """Disk groups of the instances on each inventory server: total and
-    free GB, used %, status on the integer-rounded used %.  The three
-    metric rows of a group are folded to one row before any join."""
+    free GB, used %, status on the integer-rounded used %.  Instances outside
+    the inventory are cut first; then the three metric rows of a group are
+    folded to one row before the joins that repeat it."""
     p = run.p
-    cur = run.t.current.where((F.col("metric_name") == "DiskGroup_Usage")
-                              & F.col("metric_column").isin(list(DISKGROUP_COLUMNS)))
-    num = text_to_number("value", strict)
-    mc = F.col("metric_column")
-    groups = cur.groupBy("target_name", "key_value").agg(
-        F.max(F.when(mc == "percent_used", F.round(num, 0))).alias("pct_int"),
-        F.max(F.when(mc == "percent_used", F.round(num, 2))).alias("pct2"),
-        F.round(F.max(F.when(mc == "total_mb", num / 1024)), 2).alias("total2"),
-        F.round(F.max(F.when(mc == "free_mb", num / 1024)), 2).alias("free2"),
-        F.count(F.lit(1)).alias("row_count"))
-    groups = groups.where(F.col("row_count") > 0)
-    on_inst = instance_join(groups, run.t.targets, run.dim_small)
-    inv = db_host_inventory(run, os_list).select("database_name", "server", "os")
-    rows = inventory_join(on_inst, inv, "instance_host", run.dim_small)
+    inv = _members(run, os_list)
+    cur = type_in_filter(run.t.current.where(F.col("metric_name") == "DiskGroup_Usage"), "metric_column",
+                         DISKGROUP_COLUMNS)
+    inst = in_inventory(instances(run.t.targets), inv, "instance_host")
+    cur = in_inventory(cur, inst, "target_name", "target_name")
+    groups = pivot_max(cur, ["target_name", "key_value"], "metric_column", text_to_number("value", strict),
+                       DISKGROUP_COLUMNS)
+    rows = inventory_join(instance_join(groups, run.t.targets), inv, "instance_host")
     return rows.select(
         "database_name", "server", "os", "target_name", F.col("key_value").alias("diskgroup"),
-        as_double("total2").alias("total_gb"), as_double("free2").alias("free_gb"),
-        as_double("pct2").alias("used_pct"),
-        C.asm_status("pct_int", p.health_critical, p.health_warn).alias("status"))
+        as_double(F.round(F.col("total_mb") / 1024, 2)).alias("total_gb"),
+        as_double(F.round(F.col("free_mb") / 1024, 2)).alias("free_gb"),
+        as_double(F.round("percent_used", 2)).alias("used_pct"),
+        C.asm_status(F.round("percent_used", 0), p.health_critical, p.health_warn).alias("status"),
+    ).orderBy("os", "database_name", "target_name", "diskgroup")
 
 
 def asm_not_applicable(run: ReportRun, os_list=("AIX",)) -> DataFrame:
-    """The disk-group section of an AIX report is one fixed row; it is
-    emitted once per OS value of ``os_list`` that has databases in the
-    inventory."""
+    """The disk-group section of an AIX report is one fixed row per OS value of
+    ``os_list``, whether the inventory has databases there or not."""
     inv = db_host_inventory(run, tuple(os_list))
-    return (inv.select("os").distinct()
-            .select("os", F.lit(C.ASM_NOT_APPLICABLE_TEXT).alias("status")))
+    names = F.array(*[F.lit(o) for o in os_list]) if os_list else F.array().cast("array<string>")
+    return (inv.agg(F.count(F.lit(1)).alias("databases"))
+            .select(F.explode(names).alias("os"), F.lit(C.ASM_NOT_APPLICABLE_TEXT).alias("status")))
 
 
 def tablespace_usage(tablespaces: DataFrame) -> DataFrame:
@@ -97,28 +100,29 @@ def tablespace_attention(run: ReportRun, os_list=None) -> DataFrame:
     """Per inventory database: tablespaces at or above the cutoff, their
     peak, their list by used % descending, and a status."""
     p = run.p
-    summary = tablespace_summary(run.t.tablespaces, p.tablespace_warn)
-    inv = db_host_inventory(run, os_list).select("database_name", "server", "os")
-    rows = inventory_join(summary, inv, "target_name", run.dim_small, "database_name")
+    inv = _members(run, os_list)
+    own = in_inventory(run.t.tablespaces, inv, "target_name", "database_name")
+    rows = inventory_join(tablespace_summary(own, p.tablespace_warn), inv, "target_name", "database_name")
     n = F.coalesce(F.col("critical_tablespaces"), F.lit(0))
     return rows.select(
         "database_name", "host_name", "server", "os", "critical_tablespaces",
         as_double("max_used").alias("max_used_pct"),
         F.when(n > 0, F.col("tablespace_list")).otherwise(F.lit(C.NO_TABLESPACE_TEXT))
         .alias("tablespace_list"),
-        C.tablespace_status("max_used", p.tablespace_critical, p.tablespace_warn).alias("status"))
+        C.tablespace_status("max_used", p.tablespace_critical, p.tablespace_warn).alias("status"),
+    ).orderBy("os", "database_name", "host_name")
 
 
 def host_cpu_current(run: ReportRun, os_list=None, strict: bool = True) -> DataFrame:
     """Current CPU of each inventory server, one row per distinct value
     text; status tests the value rounded to an integer."""
     p = run.p
-    cur = (run.t.current.where((F.col("metric_name") == "Load") & (F.col("metric_column") == "cpuUtil"))
-           .select(F.col("target_name").alias("cpu_target"), "value").distinct())
-    inv = db_host_inventory(run, os_list).select("database_name", "server", "os")
-    rows = inventory_join(cur, inv, "cpu_target", run.dim_small)
+    inv = _members(run, os_list)
+    cur = metric_filter(run.t.current, "Load", "cpuUtil").select(F.col("target_name").alias("cpu_target"), "value")
+    rows = inventory_join(in_inventory(cur, inv, "cpu_target").distinct(), inv, "cpu_target")
     num = text_to_number("value", strict)
     return rows.select(
         "database_name", "server", "os",
         as_double(F.round(num, 2)).alias("cpu_pct"),
-        C.host_cpu_status(F.round(num, 0), p.health_critical, p.health_warn).alias("status"))
+        C.host_cpu_status(F.round(num, 0), p.health_critical, p.health_warn).alias("status"),
+    ).orderBy("os", "database_name", "server", "cpu_pct")

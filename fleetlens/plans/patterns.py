@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from fleetlens.functions.dates import day_bucket, day_label, minute_label
 from fleetlens.functions.numbers import as_double, units_avg2
 from fleetlens.functions.text import short_hostname
+from fleetlens.operators.aggregates import fold_hosts
 from fleetlens.operators.windows import sort_bounded
 from fleetlens.plans.context import ReportRun
-from fleetlens.plans.cpu import cpu_current_snapshot
+from fleetlens.plans.cpu import cpu_current_snapshot, spike_rows
 
-RECURRING_TEXT = "Recurring batch @ {hh}:00"
 ISOLATED_TEXT = "Isolated"
 
 
@@ -31,8 +31,7 @@ def cpu_recurring_pattern(run: ReportRun) -> DataFrame:
     measured size is small, else the join shuffles and a hot host is split
     by AQE's skew join."""
     p = run.p
-    u = F.col("cpu_units")
-    spikes = (run.fleet_cpu_semi(p.events_days).where(u >= run.spike())
+    spikes = (spike_rows(run, run.fleet_cpu_semi(p.events_days))
               .withColumn("spike_hour", F.hour("rollup_timestamp")))
     per_hour = (spikes.groupBy("target_name", "spike_hour")
                 .agg(F.count_distinct(day_bucket("rollup_timestamp")).alias("days_at_hour")))
@@ -54,10 +53,8 @@ def cpu_rolling_7d(run: ReportRun) -> DataFrame:
     first; the window then runs over one row per day, so the single
     partition it needs holds at most ``lookback_days + 1`` rows."""
     p = run.p
-    u = F.col("cpu_units")
-    daily = (run.fleet_cpu_semi(p.lookback_days)
-             .groupBy(day_bucket("rollup_timestamp").alias("d"))
-             .agg(F.sum(u).alias("s"), F.count(u).alias("n")))
+    daily = (fold_hosts(run.fleet_cpu_semi(p.lookback_days), day_bucket("rollup_timestamp"), run.spike())
+             .select(F.col("bucket").alias("d"), "s", "n"))
     w = Window.orderBy(F.unix_date("d")).rangeBetween(-(p.rolling_days - 1), 0)
     out = daily.select(
         "d", F.sum("s").over(w).alias("ws"), F.sum("n").over(w).alias("wn"),

@@ -28,14 +28,15 @@ def cpu_report(run: ReportRun, html: bool = False) -> dict[str, DataFrame]:
 
 
 def health_report(run: ReportRun, html: bool = False) -> dict[str, DataFrame]:
-    """The health sections for every OS of ``run.p.os_list`` at once (one
-    job per section, rows carry ``os``); disk groups for Linux, the fixed
-    row for AIX."""
+    """The health sections for every OS of ``run.p.os_list`` at once: one job
+    per section, rows carry ``os`` and come in the order of OS and database,
+    so that a sink split by ``os`` holds one report per OS.  Disk groups for
+    Linux, the fixed row for AIX."""
     os_list = tuple(run.p.os_list)
     no_asm = tuple(o for o in os_list if o == "AIX")
     with_asm = tuple(o for o in os_list if o != "AIX")
     sections = {
-        "db_host_inventory": health.db_host_inventory(run, os_list),
+        "db_host_inventory": health.db_host_inventory_sorted(run, os_list),
         "asm_diskgroup_usage": health.asm_diskgroup_usage(run, with_asm),
         "asm_not_applicable": health.asm_not_applicable(run, no_asm),
         "tablespace_attention": health.tablespace_attention(run, os_list),

@@ -5,8 +5,10 @@ report and per operator, all over the driver's tables mapped by
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.params import Params
 from fleetlens.plans import cpu, growth, health, patterns
@@ -85,5 +87,11 @@ HTML_KEYS = ("cpu_dashboard_kpis", "cpu_current_snapshot", "cpu_spike_days", "cp
 
 def html_queries() -> dict[str, Query]:
     out = {f"html_{k}": _html(k) for k in HTML_KEYS}
-    out["render_html_row"] = _html("cpu_current_snapshot")
+    out["render_html_row"] = _all_rows
     return out
+
+
+def _all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered rows of all sections, with the section's name."""
+    parts = [_html(k)(spark, sf_dir).select(F.lit(k).alias("section"), "html_row") for k in HTML_KEYS]
+    return reduce(DataFrame.unionByName, parts)

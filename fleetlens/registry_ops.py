@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import classify as C
 from fleetlens.functions.dates import day_label, iso_week_end, minute_label, month_label, month_start
-from fleetlens.functions.numbers import (as_double, from_units, growth_pct, text_to_number,
+from fleetlens.functions.numbers import (as_double, finite, from_units, growth_pct, text_to_number,
                                          to_units, units_avg2)
 from fleetlens.functions.text import number_fixed2, number_plain, short_hostname
 from fleetlens.operators import aggregates as A
@@ -17,7 +17,7 @@ from fleetlens.operators import joins as J
 from fleetlens.operators import windows as W
 from fleetlens.params import DB_TARGET_TYPES, DISKGROUP_COLUMNS
 from fleetlens.plans.context import ReportRun
-from fleetlens.plans.cpu import host_stats
+from fleetlens.plans.cpu import host_stats, spike_rows
 from fleetlens.plans.growth import db_size_monthly, with_previous_month
 from fleetlens.plans.health import tablespace_summary, tablespace_usage
 from fleetlens.registry import growth_params, run_for
@@ -31,8 +31,7 @@ def _cpu_out(df: DataFrame, *extra) -> DataFrame:
 
 
 def _latest(run: ReportRun) -> DataFrame:
-    return run.hosts.join(W.latest_per_host(run.fleet_cpu_semi(run.p.snapshot_days)),
-                          "target_name", "left")
+    return J.latest_left_join(run.hosts, W.latest_per_host(run.fleet_cpu_semi(run.p.snapshot_days)))
 
 
 def _diskgroup_rows(run: ReportRun) -> DataFrame:
@@ -75,7 +74,7 @@ def month_window_filter(r):
 
 
 def threshold_filter(r):
-    return _cpu_out(FL.threshold_filter(r.cpu_rows(r.p.lookback_days), "cpu_units", r.spike()))
+    return _cpu_out(FL.threshold_filter(r.cpu_rows(r.p.lookback_days), "average", r.p.spike_threshold))
 
 
 def type_in_filter(r):
@@ -97,11 +96,11 @@ def distinct_hosts(r):
 
 
 def fleet_semi_join(r):
-    return _cpu_out(J.fleet_semi_join(r.cpu_rows(r.p.lookback_days), r.hosts, r.dim_small))
+    return _cpu_out(J.fleet_semi_join(r.cpu_rows(r.p.lookback_days), r.hosts))
 
 
 def fleet_inner_join(r):
-    return _cpu_out(J.fleet_inner_join(r.cpu_rows(r.p.lookback_days), r.hosts, r.dim_small),
+    return _cpu_out(J.fleet_inner_join(r.cpu_rows(r.p.lookback_days), r.hosts),
                     "os_type")
 
 
@@ -110,7 +109,7 @@ def two_key_join(r):
         "target_name", "target_type", "rollup_timestamp",
         to_units("average").alias("cpu_units"))
     t = r.t.targets.select("target_name", "target_type", F.col("type_qualifier1").alias("os_type"))
-    return _cpu_out(J.two_key_join(h, t, r.dim_small), "os_type")
+    return _cpu_out(J.two_key_join(h, t), "os_type")
 
 
 def latest_left_join(r):
@@ -119,32 +118,30 @@ def latest_left_join(r):
 
 
 def self_join_hosts(r):
-    return J.self_join_hosts(r.t.targets, DB_TARGET_TYPES, ("Linux",), r.dim_small)
+    return J.self_join_hosts(r.t.targets, DB_TARGET_TYPES, ("Linux",))
 
 
 def instance_join(r):
-    return J.instance_join(_diskgroup_rows(r), r.t.targets, r.dim_small).select(
+    return J.instance_join(_diskgroup_rows(r), r.t.targets).select(
         "target_name", "key_value", "metric_column", "value", "instance_host")
 
 
 def inventory_join(r):
-    inv = J.self_join_hosts(r.t.targets, DB_TARGET_TYPES, r.p.os_list, r.dim_small)
+    inv = J.self_join_hosts(r.t.targets, DB_TARGET_TYPES, r.p.os_list)
     return J.inventory_join(_cpu_current(r), inv.select("database_name", "server"),
-                            "target_name", r.dim_small).select("database_name", "server", "value")
+                            "target_name").select("database_name", "server", "value")
 
 
 def agg_global(r):
     g = A.agg_global(r.fleet_cpu_semi(r.p.lookback_days), r.spike(), r.p.value_scale)
-    return g.select("samples", as_double("avg_cpu").alias("avg_cpu"),
-                    as_double("min_cpu").alias("min_cpu"), as_double("max_cpu").alias("max_cpu"),
-                    "spike_count")
+    return g.select("total_hosts", as_double("avg_cpu").alias("avg_cpu"),
+                    as_double("max_cpu").alias("max_cpu"), "spike_count", "hosts_with_spikes")
 
 
 def agg_by_day(r):
-    g = A.agg_by_day(r.fleet_cpu_semi(r.p.lookback_days), r.spike(), r.p.value_scale)
-    return g.select(day_label("day").alias("day"), "samples", "hosts",
-                    as_double("avg_cpu").alias("avg_cpu"), as_double("max_cpu").alias("max_cpu"),
-                    "spike_count", "hosts_with_spikes")
+    g = A.agg_by_day(spike_rows(r, r.fleet_cpu_semi(r.p.lookback_days)), r.p.value_scale)
+    return g.select(day_label("day").alias("day"), "hosts_affected", "incident_count",
+                    as_double("peak_cpu").alias("peak_cpu"))
 
 
 def agg_by_iso_week(r):
@@ -159,16 +156,14 @@ def agg_host_stats(r):
 
 
 def agg_conditional_count(r):
-    v = F.col("cpu_units")
     return (r.fleet_cpu_semi(r.p.lookback_days).groupBy("target_name")
-            .agg(A.conditional_count(v >= r.spike()).alias("incidents")))
+            .agg(A.conditional_count(r.spike()).alias("incidents")))
 
 
 def agg_conditional_distinct(r):
-    v = F.col("cpu_units")
     return (r.fleet_cpu_semi(r.p.lookback_days)
             .groupBy(day_label(F.to_date("rollup_timestamp")).alias("day"))
-            .agg(A.conditional_distinct(v >= r.spike(), "target_name").alias("hosts_with_spikes")))
+            .agg(A.conditional_distinct(r.spike(), "target_name").alias("hosts_with_spikes")))
 
 
 def agg_distinct_values(r):
@@ -212,9 +207,8 @@ def latest_per_host_rank(r):
 
 
 def rank_global(r):
-    v = F.col("cpu_units")
-    spikes = r.fleet_cpu_semi(r.p.events_days).where(v >= r.spike())
-    order = [v.desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
+    spikes = spike_rows(r, r.fleet_cpu_semi(r.p.events_days))
+    order = [F.col("average").desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
     return _cpu_out(W.rank_global(spikes, order, r.p.events_k), "rn")
 
 
@@ -286,11 +280,11 @@ def null_default(r):
 
 
 def classify_snapshot_colour(r):
-    return _latest(r).select("target_name", C.snapshot_colour(r.value()).alias("colour"))
+    return _latest(r).select("target_name", C.snapshot_colour(finite("average")).alias("colour"))
 
 
 def classify_snapshot_badge(r):
-    return _latest(r).select("target_name", C.snapshot_badge(r.value()).alias("status"))
+    return _latest(r).select("target_name", C.snapshot_badge(finite("average")).alias("status"))
 
 
 def classify_peak_colour(r):

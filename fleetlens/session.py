@@ -1,5 +1,6 @@
-"""Session helpers.  On a cluster the session comes from the platform; these
-helpers only fill in what is unset (local runs and tests)."""
+"""Session helpers.  On a cluster the session comes from the platform, which
+these helpers leave as it is; local sessions and the driver's queries get the
+settings below."""
 
 from __future__ import annotations
 
@@ -8,7 +9,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the reports rely on for repeatable results and for scale.
 REPORT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -34,22 +34,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_report_conf(spark: SparkSession) -> SparkSession:
-    """Set the session options the reports need (runtime-settable only)."""
+    """Set the options above on a session that the caller hands over for it
+    (the driver's queries)."""
     for k, v in REPORT_CONF.items():
         spark.conf.set(k, v)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (tests, laptops) create a
-    scratch one.  Lineage is cut with ``DataFrame.checkpoint()`` there."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+    Only a local session without one gets a scratch folder: on a cluster a
+    machine-local folder would be seen by one machine alone."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir()

@@ -28,11 +28,15 @@ def write_sections(sections: dict[str, DataFrame], path: str, mode: str = "overw
     return out
 
 
-def write_html_rows(sections: dict[str, DataFrame], path: str, mode: str = "overwrite") -> list[str]:
-    """Write the ``html_row`` text of each rendered section."""
+def write_html_rows(sections: dict[str, DataFrame], path: str, mode: str = "overwrite",
+                    partition_by: tuple[str, ...] = ()) -> list[str]:
+    """Write the ``html_row`` text of each rendered section, in the section's
+    order; ``partition_by=("os",)`` gives one folder per OS."""
     out = []
     for name, df in sections.items():
         target = f"{path.rstrip('/')}/{name}"
-        df.select("html_row").write.mode(mode).text(target)
+        cols = [c for c in partition_by if c in df.columns]
+        w = df.select(*cols, "html_row").write.mode(mode)
+        (w.partitionBy(*cols) if cols else w).text(target)
         out.append(target)
     return out

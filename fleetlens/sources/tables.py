@@ -97,19 +97,22 @@ def read_parquet_tables(spark: SparkSession, root: str) -> MonitoringTables:
 
 
 def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, str],
-                     properties: dict[str, str] | None = None,
-                     lower_bound: str | None = None, upper_bound: str | None = None,
-                     num_partitions: int = 64) -> MonitoringTables:
+                     properties: dict[str, str] | None = None, *,
+                     lower_bound: str, upper_bound: str,
+                     num_partitions: int = 64, fetch_size: int = 10_000) -> MonitoringTables:
     """Read the relations over JDBC.  The hourly and daily facts are split
     into ``num_partitions`` parallel range reads on ``rollup_timestamp``
-    when bounds are given; the small relations are read in one query each."""
+    between the bounds (rows outside fall to the first and last part), so no
+    fact is read by one task; the small relations are read in one query
+    each."""
     props = dict(properties or {})
 
     def rd(name, partitioned=False):
         r = spark.read.format("jdbc").option("url", url).option("dbtable", tables[name])
+        r = r.option("fetchsize", fetch_size)
         for k, v in props.items():
             r = r.option(k, v)
-        if partitioned and lower_bound and upper_bound:
+        if partitioned:
             r = (r.option("partitionColumn", "rollup_timestamp")
                  .option("lowerBound", lower_bound).option("upperBound", upper_bound)
                  .option("numPartitions", num_partitions))

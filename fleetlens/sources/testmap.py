@@ -1,9 +1,9 @@
 """Map the driver's generated tables onto the five monitoring relations.
 
 This is the test fixture of ``FIXTURES.md`` section C: users of ``events``
-become hosts, brands of ``part`` become databases, ``orders`` become daily
-database sizes, ``supplier`` rows become disk groups and idle hosts, parts
-become tablespaces.  Every relation is derived by Spark from the given
+become hosts with a disk-group instance each, tens of ``customer`` become
+databases, ``orders`` become daily database sizes, ``supplier`` rows become
+disk groups and idle hosts, parts become tablespaces.  Every relation is derived by Spark from the given
 tables, so its size grows with the scale factor.
 """
 
@@ -21,7 +21,7 @@ from fleetlens.sources.tables import (CURRENT_SCHEMA, DAILY_SCHEMA, HOURLY_SCHEM
                                       TABLESPACE_SCHEMA, TARGET_SCHEMA, conform)
 
 # Fixture constants (our own test mapping, not reference values).
-CPU_AS_OF = datetime(2024, 1, 31)
+CPU_AS_OF = datetime(2024, 1, 25, 12, 30)
 GROWTH_AS_OF = datetime(2001, 7, 15)
 TABLESPACE_TS = datetime(2024, 1, 31)
 SUBSET_LOOKBACK_DAYS = 14
@@ -54,8 +54,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _brands(part: DataFrame) -> DataFrame:
-    return part.select(F.regexp_replace("p_brand", "Brand#", "").cast("int").alias("b"))
+# Numbers of databases: ten customers, or thirteen parts, belong to one.
+def _customer_db(key: str) -> Column:
+    return F.floor(F.col(key) / 10).cast("int")
+
+
+def _part_db(key: str) -> Column:
+    return F.floor(F.col(key) / 13).cast("int")
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,17 +73,17 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
                          host_of(u).alias("host_name"))
     s = F.col("s_suppkey")
     idle_name = F.concat(F.lit("Idle-d-"), _lp(s), F.lit(".example.com"))
-    idle = (_read(spark, sf_dir, "supplier").where(s % 5 == 0)
+    idle = (_read(spark, sf_dir, "supplier")
             .select(idle_name.alias("target_name"), F.lit("host").alias("target_type"),
                     os_of(s).alias("type_qualifier1"), F.lit("v0").alias("type_qualifier2"),
                     idle_name.alias("host_name")))
     b = F.col("b")
-    dbs = (_brands(_read(spark, sf_dir, "part")).distinct()
+    dbs = (_read(spark, sf_dir, "customer").select(_customer_db("c_custkey").alias("b")).distinct()
            .select(db_of(b).alias("target_name"), db_type_of(b).alias("target_type"),
                    F.concat(F.lit("19."), (b % 5).cast("string")).alias("type_qualifier1"),
                    F.lit(None).cast("string").alias("type_qualifier2"),
-                   host_of(b % 15).alias("host_name")))
-    asm = users.where(u < 15).select(
+                   host_of(b).alias("host_name")))
+    asm = users.select(
         F.concat(F.lit("+ASM_"), _lp(u)).alias("target_name"),
         F.lit("osm_instance").alias("target_type"),
         F.lit(None).cast("string").alias("type_qualifier1"),
@@ -93,6 +98,8 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h"))
          .agg(F.avg("value").alias("a")))
     u, a = F.col("u"), F.col("a")
+    # users live up to fifteen days earlier, so the window cuts at both ends
+    g = g.withColumn("h", F.col("h") - F.make_dt_interval((u % 4 * 5).cast("int")))
     cpu_avg = (F.when(u % 10 == 7, F.lit(50.0) + a * F.lit(0.05))
                .otherwise(F.least(F.lit(100.0), a * (F.lit(1) + u % 5) * F.lit(0.4))))
     # one pass over the groups: every group yields its CPU row, even users
@@ -111,7 +118,7 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
-    b = F.col("o_custkey") % 25 + 1
+    b = _customer_db("o_custkey")
     used = F.when(F.col("o_orderkey") % 50 == 0, F.lit(0.0)).otherwise(F.col("o_totalprice") / 1000)
     alloc = F.when(b % 2 == 0, F.lit(1000.0) + b).otherwise(F.col("o_totalprice") / 500)
     rows = F.array(F.struct(F.lit("USED_GB").alias("mc"), used.alias("v")),
@@ -144,7 +151,7 @@ def current(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.struct(F.lit("total_mb").alias("mc"), tot.cast("string").alias("v")),
                    F.struct(F.lit("free_mb").alias("mc"), free.cast("string").alias("v")))
     dg = (_read(spark, sf_dir, "supplier")
-          .select(F.concat(F.lit("+ASM_"), _lp(s % 15)).alias("target_name"),
+          .select(F.concat(F.lit("+ASM_"), _lp(s)).alias("target_name"),
                   F.concat(F.lit("DG"), s.cast("string")).alias("key_value"),
                   F.explode(rows).alias("r"))
           .select("target_name", F.lit("DiskGroup_Usage").alias("metric_name"),
@@ -154,12 +161,12 @@ def current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tablespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _read(spark, sf_dir, "part")
-    b = F.regexp_replace("p_brand", "Brand#", "").cast("int")
+    b = _part_db("p_partkey")
     k = F.col("p_partkey")
     size = F.when(k % 97 == 96, F.lit(0).cast("bigint")).otherwise(F.lit(5000).cast("bigint") * 1048576)
     factor = F.when(b % 3 == 0, 60).when(b % 3 == 1, 88).otherwise(100)
     used = (size * F.col("p_size") * factor / 5000).cast("bigint")
-    out = part.select(db_of(b).alias("target_name"), host_of(b % 15).alias("host_name"),
+    out = part.select(db_of(b).alias("target_name"), host_of(b).alias("host_name"),
                       F.concat(F.lit("TS"), _lp(k, 6)).alias("tablespace_name"),
                       F.lit("ONLINE").alias("status"), F.lit("PERMANENT").alias("contents"),
                       size.alias("tablespace_size"), used.alias("tablespace_used_size"),
@@ -173,7 +180,6 @@ class TestTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.bound_cache: dict = {}
 
     @cached_property
     def targets(self) -> DataFrame:
@@ -196,17 +202,6 @@ class TestTables:
         return tablespaces(self.spark, self.sf_dir)
 
 
-_LOADED: dict[tuple, TestTables] = {}
-
-
 def load(spark: SparkSession, sf_dir: str) -> TestTables:
-    """The relations of ``sf_dir`` (lazy), shared by every query of the
-    same session: DataFrames are immutable plans, so reuse is safe."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext
-        app = spark.conf.get("spark.app.id", "")
-    key = (app, id(spark), sf_dir.rstrip("/"))
-    if key not in _LOADED:
-        _LOADED[key] = TestTables(spark, sf_dir)
-    return _LOADED[key]
+    """The relations of ``sf_dir``, lazily."""
+    return TestTables(spark, sf_dir)

@@ -12,6 +12,7 @@ from fleetlens.plans import cpu, growth, health
 from fleetlens.plans.render import render_html_row
 from tests.helpers import host, hr, rows, run_of
 
+# The expected rows of the sample reports.
 GROWTH = [  # previous, current, expected text
     ("677.46", "684.99", "1.11"), ("356.09", "365.24", "2.57"), ("1522.48", "1549.53", "1.78"),
     ("900.09", "927.6", "3.06"), ("57.08", "58.22", "2"), ("4.86", "4.87", "0"),

@@ -20,11 +20,13 @@ from tests.conftest import SF_SMALL
 def plans(spark):
     mat = materialize_tables(testmap.load(spark, SF_SMALL), tempfile.mkdtemp(prefix="fleetlens-shape-"))
     out = {}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")  # whole filter lists
     for key, (fn, is_growth) in REPORT_PLANS.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(ReportRun(mat, growth_params() if is_growth else cpu_params())).explain()
         out[key] = re.sub(r"#\d+L?", "", buf.getvalue())  # drop expression ids
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     return out
 
 
@@ -68,7 +70,7 @@ def test_kpis_fold_per_host_without_expand(plans):
 
 
 def test_latest_per_host_is_a_partial_aggregate(plans):
-    assert "partial_max_by(cpu_units" in plans["cpu_current_snapshot"]
+    assert "partial_max_by(average" in plans["cpu_current_snapshot"]
 
 
 def test_top_k_limits_before_numbering(plans):
@@ -76,9 +78,25 @@ def test_top_k_limits_before_numbering(plans):
     assert "TakeOrderedAndProject(limit=20" in plans["cpu_top_consumers_linux"]
 
 
-def test_disk_groups_fold_before_joins(plans):
-    plan = plans["asm_diskgroup_usage"]
-    agg = plan.index("HashAggregate(keys=[target_name")
-    first_join = plan.index("BroadcastHashJoin")
-    # the plan prints top-down: the fold sits below (after) the joins
-    assert agg > first_join
+@pytest.mark.parametrize("key, keys", [("asm_diskgroup_usage", "target_name, key_value"),
+                                       ("tablespace_attention", "target_name, host_name"),
+                                       ("db_growth_monthly", "target_name"),
+                                       ("host_cpu_current", "cpu_target, value")])
+def test_inventory_cut_below_the_fold(plans, key, keys):
+    """The semi join to the inventory sits below (printed after) the
+    aggregate, so nothing outside the inventory is folded."""
+    plan = plans[key]
+    assert "LeftSemi" in plan[plan.index(f"Aggregate(keys=[{keys}"):]
+
+
+@pytest.mark.parametrize("key", ["cpu_spike_days", "cpu_top_spike_events", "cpu_recurring_pattern"])
+def test_threshold_reaches_the_fact_scan(plans, key):
+    scans = re.findall(r"FileScan parquet \[[^\]]*metric_column,rollup_timestamp,average.*", plans[key])
+    assert scans
+    for scan in scans:
+        assert "GreaterThanOrEqual(average,98.0)" in scan or "average >= 98.0" in scan
+
+
+@pytest.mark.parametrize("key", list(REPORT_PLANS))
+def test_no_single_partition_limit(plans, key):
+    assert "GlobalLimit" not in plans[key]

@@ -1,5 +1,5 @@
-"""The plans beyond the broadcast bound: when the dimension is not proven
-small, the same reports run as shuffle joins and give the same rows."""
+"""Without any broadcast the same reports run as shuffle joins and give the
+same rows; building a report starts no job."""
 
 import contextlib
 import io
@@ -35,22 +35,29 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-def test_unproven_dimension_uses_shuffle_joins(spark, no_auto_broadcast):
+def test_shuffle_joins_give_the_same_rows(spark, request):
     tables = testmap.load(spark, SF_SMALL)
-    for key, (fn, is_growth) in REPORT_PLANS.items():
-        p = growth_params() if is_growth else cpu_params()
-        small = ReportRun(tables, p)
-        big = ReportRun(tables, p.__class__(**{**p.__dict__, "broadcast_max_rows": 1}))
-        assert small.dim_small and not big.dim_small
-        a = sorted(map(tuple, fn(small).collect()))
-        b = sorted(map(tuple, fn(big).collect()))
-        assert a == b, key
-    kpi_plan = _plan(REPORT_PLANS["cpu_top_consumers_linux"][0](big))
-    assert "BroadcastExchange" not in kpi_plan
-    assert "SortMergeJoin" in kpi_plan or "ShuffledHashJoin" in kpi_plan
-
-
-def test_proven_small_reads_a_bounded_prefix(spark):
-    from fleetlens.operators.joins import proven_small
-    df = spark.range(1000)
-    assert proven_small(df, 1000) and not proven_small(df, 999)
+
+    def run(key):
+        fn, is_growth = REPORT_PLANS[key]
+        return fn(ReportRun(tables, growth_params() if is_growth else cpu_params()))
+    broadcast = {key: sorted(map(tuple, run(key).collect()), key=repr) for key in REPORT_PLANS}
+    request.getfixturevalue("no_auto_broadcast")
+    for key in REPORT_PLANS:
+        assert sorted(map(tuple, run(key).collect()), key=repr) == broadcast[key], key
+    plan = _plan(run("cpu_top_consumers_linux"))
+    assert "BroadcastExchange" not in plan
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+def test_building_a_report_runs_no_job(spark):
+    tables = testmap.load(spark, SF_SMALL)
+    for name in ("targets", "hourly", "daily", "current", "tablespaces"):
+        getattr(tables, name)  # reads the files' schemas
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        for fn, is_growth in REPORT_PLANS.values():
+            fn(ReportRun(tables, growth_params() if is_growth else cpu_params()))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
