@@ -1,9 +1,8 @@
 """Approximate nearest neighbours: NN-descent builds a neighbour graph by
 Spark joins, a greedy search walks it.
 
-Building: equal vectors are one node.  Nodes are sorted by their nearest pivot
-and by a random projection within it; blocks of that order give first
-neighbours.  Then rounds: every node gathers its neighbours, some nodes it is
+Building: equal vectors are one node.  The nearest nodes within blocks of
+several random orders are first neighbours.  Then rounds: every node gathers its neighbours, some nodes it is
 a neighbour of, and their vectors; among these neighbours of neighbours, each
 pair with a new edge is compared, and who is nearer than a node's farthest
 neighbour becomes its neighbour.  Rounds end when few edges change.
@@ -26,6 +25,7 @@ equal vectors in the order of their ids; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,9 @@ ROUNDS = 10
 FEW = 0.02  # of all edges changed: the last round
 PIVOTS = 256
 BLOCK = 64  # nodes compared with each other for the first neighbours
-BEAM = 192
-LOOKS = 48  # nodes a query looks from in one step
+ORDERS = 3  # random orders that blocks are cut from
+BEAM = 320
+LOOKS = 80  # nodes a query looks from in one step
 STARTS = 16
 
 _EDGES = "node bigint, nbr bigint, dist float, fresh boolean"
@@ -82,16 +83,11 @@ def _edge_batch(node, nbr, dist) -> pa.RecordBatch:
          pa.array(np.ones(len(node), bool))], ["node", "nbr", "dist", "fresh"])
 
 
-def first_edges(nodes: DataFrame, pivots: np.ndarray, degree: int) -> DataFrame:
-    """Neighbours within blocks of nodes that lie near the same pivot."""
-    line = np.random.default_rng(1).standard_normal(pivots.shape[1]).astype(np.float32)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = _matrix(b.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(_squares(x, pivots).argmin(1).astype(np.int32)),
-                 pa.array((x @ line).astype(np.float32))], ["node", "vec", "cell", "at"])
+def first_edges(nodes: DataFrame, degree: int, orders: int = ORDERS) -> DataFrame:
+    """First neighbours: the nearest within random blocks of nodes.  Every
+    node lies in a block of each of several random orders, so the blocks hang
+    together and a better neighbour can be reached from any of them."""
+    k_each = -(-degree // orders)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -102,14 +98,18 @@ def first_edges(nodes: DataFrame, pivots: np.ndarray, degree: int) -> DataFrame:
                 own, part = ids[a:lo + BLOCK], x[a:lo + BLOCK]
                 d = _squares(part, part)
                 np.fill_diagonal(d, np.inf)
-                k = min(degree, len(own) - 1)
+                k = min(k_each, len(own) - 1)
                 if k > 0:
                     near = np.argpartition(d, k - 1, axis=1)[:, :k]
                     yield _edge_batch(np.repeat(own, k), own[near].ravel(), np.sqrt(np.take_along_axis(d, near, 1)).ravel())
 
-    placed = nodes.mapInArrow(place, "node bigint, vec array<float>, cell int, at float")
-    ordered = placed.repartitionByRange("cell", "at", "node").sortWithinPartitions("cell", "at", "node")
-    return ordered.select("node", "vec").mapInArrow(compare, _EDGES)
+    found = []
+    for t in range(orders):
+        at = F.xxhash64(F.lit(t), "node")
+        ordered = (nodes.select("node", "vec", at.alias("at")).repartitionByRange("at", "node")
+                   .sortWithinPartitions("at", "node"))
+        found.append(ordered.select("node", "vec").mapInArrow(compare, _EDGES))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _nearest(edges: DataFrame, degree: int) -> DataFrame:
@@ -164,10 +164,10 @@ def compare_around(edges: DataFrame, nodes: DataFrame, sample: int = REVERSE, of
     return gathered.select("around").mapInArrow(run, _EDGES)
 
 
-def build_graph(nodes: DataFrame, pivots: np.ndarray, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """``node, nbr, dist, fresh``: about the ``degree`` nearest neighbours of
     each node (``node, vec``)."""
-    edges = write_shared(_nearest(first_edges(nodes, pivots, degree), degree), "knn")
+    edges = write_shared(_nearest(first_edges(nodes, degree), degree), "knn")
     total = edges.count()
     for _ in range(rounds):
         old = edges.withColumn("fresh", F.lit(False))
@@ -240,7 +240,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
     if not len(matrix):
         return usable.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"),
                              F.lit(0.0).alias("score")).where("false")
-    edges = build_graph(nodes, matrix, degree)
+    edges = build_graph(nodes, degree)
     start = nearest_pivots(queries, ids, matrix)
     found = _beam(greedy_search(queries, nodes, edges, start, max(beam, k + 1)), max(beam, k + 1))
     # of equal vectors, the k + 1 smallest ids are all that a query can need
