@@ -44,6 +44,7 @@ BLOCK = 64  # nodes compared with each other for the first neighbours
 ORDERS = 3  # random orders that blocks are cut from
 BEAM = 320
 LOOKS = 80  # nodes a query looks from in one step
+REMEMBERED = 4  # beams of nodes that a query keeps the distance of
 STARTS = 16
 
 _EDGES = "node bigint, nbr bigint, dist float, fresh boolean"
@@ -218,7 +219,9 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, start:
                   .select("query", "node", distance(F.col("vec"), F.col("nv")).alias("dist"), F.lit(False).alias("looked")))
         marked = (seen.join(looking.withColumn("now", F.lit(True)), ["query", "node"], "left")
                   .select("query", "node", "dist", (F.col("looked") | F.coalesce("now", F.lit(False))).alias("looked")))
-        new = write_shared(marked.unionByName(scored), "walk")
+        # a node that is not among the nearest now never will be: it may be
+        # forgotten, and if it is found again it is only measured again
+        new = write_shared(_beam(marked.unionByName(scored), REMEMBERED * beam), "walk")
         drop_shared(seen)
         drop_shared(looking)
         seen = new
