@@ -2,17 +2,22 @@
 Spark joins, a greedy search walks it.
 
 Building: equal vectors are one node.  The nearest nodes within blocks of
-several random orders are first neighbours.  Then rounds: every node gathers its neighbours, some nodes it is
+several orders are first neighbours: random orders, and orders by the sides of
+random planes that the vectors lie on, which bring close vectors together.
+Then rounds: every node gathers its neighbours, some nodes it is
 a neighbour of, and their vectors; among these neighbours of neighbours, each
 pair with a new edge is compared, and who is nearer than a node's farthest
 neighbour becomes its neighbour.  Rounds end when few edges change.
 
-Searching: a query starts from its nearest pivots and, again and again, looks
-at the neighbours of its nearest nodes that it has not yet looked from, until
-its ``BEAM`` nearest nodes are all looked from.  Distances that count are
+Searching: a query starts from its own node, which is in the graph, and from
+its nearest pivots.  Again and again, it looks at the neighbours of its nearest
+nodes that it has not yet looked from, until its ``BEAM`` nearest nodes are all
+looked from.  A few random long edges per node, kept apart from the nearest
+ones, join the parts that a graph of close groups falls into.  Distances that count are
 Euclidean, in double precision, on the original vectors.
 
-The pivots (``PIVOTS`` vectors) are all that is broadcast.  The sample of
+The pivots are all that is broadcast: ``PIVOTS`` vectors, or twice the square
+root of the number of nodes where that is more.  The sample of
 reverse neighbours (``REVERSE`` of each node) and the beam are what makes the
 search approximate; recall is measured against brute force in the tests.
 
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +45,11 @@ REVERSE = 24
 OFFERS = 8  # candidates that one local comparison offers to each node
 ROUNDS = 10
 FEW = 0.02  # of all edges changed: the last round
-PIVOTS = 256
+PIVOTS = 256  # at least; they grow with the square root of the table
 BLOCK = 64  # nodes compared with each other for the first neighbours
-ORDERS = 3  # random orders that blocks are cut from
+ORDERS = 3  # random orders that blocks are cut from, and as many by planes
+PLANES = 24  # sides of random planes that an order goes by
+LONG = 3  # random orders whose next nodes are long edges of the search
 BEAM = 320
 LOOKS = 80  # nodes a query looks from in one step
 REMEMBERED = 4  # beams of nodes that a query keeps the distance of
@@ -84,10 +92,27 @@ def _edge_batch(node, nbr, dist) -> pa.RecordBatch:
          pa.array(np.ones(len(node), bool))], ["node", "nbr", "dist", "fresh"])
 
 
+def by_planes(nodes: DataFrame, seed: int) -> DataFrame:
+    """``node, vec, at``: ``at`` has one bit for each of ``PLANES`` random
+    planes, the side of it that the vector lies on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _matrix(b.column(1)).astype(np.float64)
+            if not len(x):
+                continue
+            planes = np.random.default_rng(seed).standard_normal((x.shape[1], PLANES))
+            at = ((x @ planes) > 0) @ (1 << np.arange(PLANES, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.int64())], ["node", "vec", "at"])
+
+    return nodes.select("node", "vec").mapInArrow(run, "node bigint, vec array<float>, at bigint")
+
+
 def first_edges(nodes: DataFrame, degree: int, orders: int = ORDERS) -> DataFrame:
-    """First neighbours: the nearest within random blocks of nodes.  Every
-    node lies in a block of each of several random orders, so the blocks hang
-    together and a better neighbour can be reached from any of them."""
+    """First neighbours: the nearest within blocks of nodes.  Every node lies
+    in a block of each of several random orders, so the blocks hang together
+    and a better neighbour can be reached from any of them; and in a block of
+    as many orders by planes, where close vectors meet however many nodes
+    there are."""
     k_each = -(-degree // orders)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,10 +130,9 @@ def first_edges(nodes: DataFrame, degree: int, orders: int = ORDERS) -> DataFram
                     yield _edge_batch(np.repeat(own, k), own[near].ravel(), np.sqrt(np.take_along_axis(d, near, 1)).ravel())
 
     found = []
-    for t in range(orders):
-        at = F.xxhash64(F.lit(t), "node")
-        ordered = (nodes.select("node", "vec", at.alias("at")).repartitionByRange("at", "node")
-                   .sortWithinPartitions("at", "node"))
+    keyed = [nodes.select("node", "vec", F.xxhash64(F.lit(t), "node").alias("at")) for t in range(orders)]
+    for order in [*keyed, *(by_planes(nodes, t) for t in range(orders))]:
+        ordered = order.repartitionByRange("at", "node").sortWithinPartitions("at", "node")
         found.append(ordered.select("node", "vec").mapInArrow(compare, _EDGES))
     return reduce(DataFrame.unionByName, found)
 
@@ -180,6 +204,25 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) ->
     return edges
 
 
+def long_edges(nodes: DataFrame, orders: int = LONG) -> DataFrame:
+    """``node, nbr``: each node's next one in several random orders, in both
+    directions.  Only ids move."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = np.zeros(0, np.int64)
+        for b in batches:
+            ids = np.concatenate([last, b.column(0).to_numpy()])
+            a, z, last = ids[:-1], ids[1:], ids[-1:]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, z])), pa.array(np.concatenate([z, a]))],
+                                             ["node", "nbr"])
+
+    found = []
+    for t in range(orders):
+        at = F.xxhash64(F.lit(orders + t), F.lit("long"), "node")
+        ordered = nodes.select("node", at.alias("at")).repartitionByRange("at", "node").sortWithinPartitions("at", "node")
+        found.append(ordered.select("node").mapInArrow(run, "node bigint, nbr bigint"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _beam(seen: DataFrame, width: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query").orderBy("dist", "node"))
     return seen.withColumn("_rank", rank).where(F.col("_rank") <= width).drop("_rank")
@@ -187,16 +230,18 @@ def _beam(seen: DataFrame, width: int) -> DataFrame:
 
 def nearest_pivots(queries: DataFrame, ids: np.ndarray, pivots: np.ndarray, starts: int = STARTS) -> DataFrame:
     """``query, node, dist``: the pivots that each query starts from."""
-    k = min(starts, len(ids))
+    k, wide = min(starts, len(ids)), pivots.astype(np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = _matrix(b.column(1)).astype(np.float64)
-            d = np.sqrt(((x[:, None, :] - pivots[None, :, :].astype(np.float64)) ** 2).sum(2))
-            near = np.argsort(d, axis=1, kind="stable")[:, :k]
+            if not len(x):
+                continue
+            near = np.argsort(_squares(x, wide), axis=1, kind="stable")[:, :k]
+            d = np.sqrt(((x[:, None, :] - wide[near]) ** 2).sum(2))  # as exact as every distance that counts
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(ids[near].ravel()),
-                 pa.array(np.take_along_axis(d, near, 1).ravel())], ["query", "node", "dist"])
+                [pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(ids[near].ravel()), pa.array(d.ravel())],
+                ["query", "node", "dist"])
 
     return queries.mapInArrow(run, "query bigint, node bigint, dist double")
 
@@ -206,7 +251,8 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, start:
     that a walk over the graph finds from its ``start`` (``query, node,
     dist``)."""
     seen = write_shared(start.withColumn("looked", F.lit(False)), "walk")
-    links = write_shared(with_reverse(edges, REVERSE).select("node", "nbr"), "links")
+    near = with_reverse(edges, REVERSE).select("node", "nbr")
+    links = write_shared(near.unionByName(long_edges(nodes)), "links")
     while True:
         near = _beam(seen, beam).where(~F.col("looked"))
         rank = F.row_number().over(Window.partitionBy("query").orderBy("dist", "node"))
@@ -235,16 +281,21 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
     bounded_batches(rows)
     usable = write_shared(usable_vectors(rows, id_col, vec_col), "vectors")
     nodes = write_shared(usable.groupBy("vec").agg(F.min("id").alias("node")).select("node", "vec"), "nodes")
-    pivots = write_shared(nodes.orderBy(F.xxhash64("node")).limit(PIVOTS), "pivots")
-    chosen = pivots.collect()  # PIVOTS rows at most
+    n_pivots = max(PIVOTS, 2 * isqrt(nodes.count()))
+    pivots = write_shared(nodes.orderBy(F.xxhash64("node")).limit(n_pivots), "pivots")
+    chosen = pivots.collect()  # n_pivots rows at most
     ids = np.array([r["node"] for r in chosen], np.int64)
     matrix = np.array([r["vec"] for r in chosen], np.float32)
-    queries = write_shared(usable.where(is_query).select(F.col("id").alias("query"), "vec"), "queries")
+    at_home = write_shared(usable.where(is_query).join(nodes, "vec").select(F.col("id").alias("query"), "vec", "node"),
+                           "queries")
+    queries = at_home.select("query", "vec")
     if not len(matrix):
         return usable.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"),
                              F.lit(0.0).alias("score")).where("false")
     edges = build_graph(nodes, degree)
-    start = nearest_pivots(queries, ids, matrix)
+    own = at_home.select("query", "node", F.lit(0.0).alias("dist"))
+    start = (nearest_pivots(queries, ids, matrix).unionByName(own).groupBy("query", "node")
+             .agg(F.min("dist").alias("dist")))
     found = _beam(greedy_search(queries, nodes, edges, start, max(beam, k + 1)), max(beam, k + 1))
     # of equal vectors, the k + 1 smallest ids are all that a query can need
     rank = F.row_number().over(Window.partitionBy("node").orderBy("id"))

@@ -48,3 +48,14 @@ def test_odd_rows(spark):
     assert neighbours.nearest(few, F.col("id") == 0).count() == 2
     assert neighbours.nearest(docs.where("false"), F.col("id") == 0).count() == 0
     assert neighbours.nearest(docs.where("vec_id = 0"), F.col("id") == 0).count() == 0
+
+
+def test_every_group_of_close_vectors_is_reached(spark):
+    # many more groups than pivots: a query must find the group of its own
+    rng = np.random.default_rng(3)
+    x = (np.repeat(rng.standard_normal((200, 16)), 30, axis=0) + 0.02 * rng.standard_normal((6000, 16))).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = neighbours.nearest(rows, F.col("id") % 30 == 0).collect()
+    ids, x = list(range(6000)), x.astype(np.float64)
+    hits = sum(r["vec_id"] in {i for _, i in brute(ids, x, r["query_id"], 10)} for r in got)
+    assert len(got) == 2000 and hits >= 0.98 * len(got)
