@@ -79,3 +79,14 @@ def test_filter_keeps_rows_as_they_are(odd, nothing):
     assert sum(r["doc_id"] == 3 for r in rows) == 2  # repeated rows are judged each
     assert fertility.keep_fluent(nothing).count() == 0
     assert len(odd_documents()) == odd.count()
+
+
+def test_labels_the_floors_were_not_fitted_on(spark):
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet").where("doc_id % 2 = 1")
+    docs = spark.read.parquet(f"{d}/documents.parquet").join(labels, "doc_id")
+    rows = (fertility.fertility_signals(docs, keep=["doc_id", "quality"]).select("_row.*", "signals.kept", "signals.base_failed")
+            .where("not base_failed").collect())
+    assert [r["doc_id"] for r in rows if r["quality"] == 1 and not r["kept"]] == []
+    junk = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(junk) <= 0.15 * len(junk)
