@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, chunking, fertility, lines, lm, mixing, neighbours, packing, simhash, token_files
+from fleetlens.llm import (chat, chunking, fertility, hard_negatives, lines, lm, mixing, neighbours, packing, simhash,
+                           token_files)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +67,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(own)))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_neighbours": op1_neighbours,
@@ -78,8 +85,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_simhash": op9_simhash,
         "op10_chat": op10_chat,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": lines.ORACLE.format(min_sites=lines.MIN_SITES)}
+    return {"op8_line_dedup": lines.ORACLE.format(min_sites=lines.MIN_SITES),
+            "op12_hard_negatives": hard_negatives.ORACLE}
