@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import (chat, chunking, fertility, hard_negatives, lines, lm, mixing, neighbours, packing, simhash,
-                           token_files)
+from fleetlens.llm import (alignment, chat, chunking, fertility, hard_negatives, lines, lm, mixing, neighbours,
+                           packing, simhash, token_files)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, label=label)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_corpus(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_neighbours": op1_neighbours,
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_simhash": op9_simhash,
         "op10_chat": op10_chat,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_alignment": op13_alignment,
     }
 
 
