@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import (alignment, chat, chunking, fertility, hard_negatives, lines, lm, mixing, neighbours,
-                           packing, simhash, token_files)
+from fleetlens.llm import (alignment, chat, chunking, fertility, hard_negatives, lang_crf, lines, lm, mixing,
+                           neighbours, packing, simhash, token_files)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,16 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(own)))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    # a document without an id is learned from
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = lang_crf.fit(docs, "text", F.col("lang"), ~held_out)
+    found = lang_crf.predict(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+    return found.select("_row.doc_id", "_row.held_out", "language.lang_pred", "language.score", "language.n_words",
+                        F.size("language.spans").alias("n_spans"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -89,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_simhash": op9_simhash,
         "op10_chat": op10_chat,
+        "op11_language": op11_language,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_alignment": op13_alignment,
     }
