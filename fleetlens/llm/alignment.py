@@ -52,7 +52,7 @@ from fleetlens.llm import tokens
 from fleetlens.llm.common import bounded_batches, write_shared
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_BYTES = 4 << 20  # text aligned at a time
+CHUNK_BYTES = 1 << 20  # text aligned at a time
 BLOCK_BYTES = 32 << 20  # text of a block
 SHARD, SHARDS = 1 << 20, 1024  # pairs that blocks send to a shard, as a goal; most shards
 CELL = 1 << 19  # pairs asked in one cell
@@ -506,9 +506,9 @@ def _finish(paths: tuple[str, str]):
         order = np.argsort(keys)
         keys, counts, marks = keys[order], counts[order], marks[order].astype(np.int64)
         parts = []
-        for ids, sizes, body in zip(docs["ids"].to_pylist(), docs["sizes"].to_pylist(), docs["body"].to_pylist()):
-            n_a, n_b = _unpressed(sizes, np.int64).reshape(2, -1)
-            raw = zstandard.ZstdDecompressor().decompress(body)
+        for ids, sizes, body in zip(docs["ids"], docs["sizes"], docs["body"]):
+            n_a, n_b = _unpressed(sizes.as_py(), np.int64).reshape(2, -1)
+            raw = zstandard.ZstdDecompressor().decompress(body.as_py())
             a = np.frombuffer(raw, pair.a_pieces.dtype, int(n_a.sum())).astype(np.int64)
             b = np.frombuffer(raw, pair.b_pieces.dtype, int(n_b.sum()), len(a) * pair.a_pieces.dtype.itemsize)
             chunk = Chunk(a, b.astype(np.int64), n_a, n_b)
@@ -520,7 +520,7 @@ def _finish(paths: tuple[str, str]):
             ends = np.concatenate([[0], np.cumsum(chunk.n_links)])
             sums = [(x := np.concatenate([[0], np.cumsum(values[at][inverse])]))[ends[1:]] - x[ends[:-1]]
                     for values in (marks, counts)]
-            columns = [ids, n_a, n_b, chunk.n_groups, chunk.n_links, *sums, chunk.group_hashes()]
+            columns = [ids.as_py(), n_a, n_b, chunk.n_groups, chunk.n_links, *sums, chunk.group_hashes()]
             parts.append(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema))
         return pa.concat_tables([schema.empty_table(), *parts])
     return run
