@@ -55,12 +55,46 @@ def units_avg2(sum_units, n, scale: int = 6) -> Column:
     return F.round(_c(sum_units).cast("decimal(24,0)") / den.cast("decimal(24,0)"), 2)
 
 
-def units_stddev2(u, scale: int = 6) -> Column:
+def _dec(c, digits: int = 38) -> Column:
+    return _c(c).cast(f"decimal({digits},0)")
+
+
+def square_sums(u) -> list[Column]:
+    """Sums from which :func:`square_sum` puts the exact sum of squares of a
+    BIGINT together: ``u = a * 2**31 + b``, so ``u * u`` is ``a * a * 2**62 +
+    a * b * 2**32 + b * b``.  ``a`` is 0 for every reading of a usual size, so
+    what is done per row is long arithmetic."""
+    a, b = F.shiftright(_c(u), 31), _c(u).bitwiseAND(F.lit((1 << 31) - 1))
+    far = a != 0
+    bb = b * b
+    return [F.coalesce(F.sum(F.when(far, _dec(a, 10) * _dec(a, 10))), F.lit(0).cast("decimal(30,0)")).alias("sq_aa"),
+            F.coalesce(F.sum(F.when(far, _dec(a, 10) * _dec(b, 10))), F.lit(0).cast("decimal(30,0)")).alias("sq_ab"),
+            F.coalesce(F.sum(F.shiftright(bb, 31)), F.lit(0)).alias("sq_hi"),
+            F.coalesce(F.sum(bb.bitwiseAND(F.lit((1 << 31) - 1))), F.lit(0)).alias("sq_lo")]
+
+
+def square_sum() -> Column:
+    """The exact sum of squares from the columns of :func:`square_sums`; NULL
+    beyond 38 digits."""
+    def times(c: str, power: int) -> Column:
+        return F.try_multiply(_dec(c), _dec(F.lit(Decimal(1 << power)), 19))
+    parts = [times("sq_ab", 32), times("sq_hi", 31), _dec("sq_lo")]
+    total = times("sq_aa", 62)
+    for part in parts:
+        total = _dec(F.try_add(total, part))
+    return total
+
+
+def units_stddev2(sum_units, n, squares, scale: int = 6) -> Column:
     """Sample standard deviation of unit readings, in reading terms, 2
-    places; 0 (not NULL) for a single reading."""
-    u = _c(u)
-    sd = F.stddev_samp(u.cast("double")) / F.lit(float(10 ** scale))
-    return F.round(F.coalesce(sd, F.when(F.count(u) == 1, F.lit(0.0))), 2)
+    places; 0 (not NULL) for a single reading.  ``n * sum(u * u) - sum(u)**2`` is
+    exact, whatever order the sums came in, and only the root is a double."""
+    n_ = _dec(n, 20)
+    spread = F.try_subtract(_dec(F.try_multiply(n_, _dec(squares))), _dec(F.try_multiply(_dec(sum_units, 19),
+                                                                                        _dec(sum_units, 19))))
+    pairs = _c(n).cast("double") * (_c(n) - 1).cast("double")
+    sd = F.sqrt(spread.cast("double") / F.when(_c(n) > 1, pairs)) / F.lit(float(10 ** scale))
+    return F.round(F.when(_c(n) == 1, F.lit(0.0)).otherwise(sd), 2)
 
 
 def text_to_number(c, strict: bool = True) -> Column:

@@ -32,6 +32,11 @@ def agg_global(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
     per_host = (cpu.groupBy("target_name")
                 .agg(F.count(u).alias("n"), F.sum(u).alias("s"), F.max(u).alias("mx"),
                      conditional_count(spike).alias("spikes")))
+    return fold_fleet(per_host, scale)
+
+
+def fold_fleet(per_host: DataFrame, scale: int = 6) -> DataFrame:
+    """The dashboard's row from one row per host: ``n, s, mx, spikes``."""
     return per_host.agg(
         F.count(F.lit(1)).alias("total_hosts"),
         units_avg2(wide_sum("s"), F.sum("n"), scale).alias("avg_cpu"),
@@ -61,9 +66,13 @@ def fold_hosts(cpu: DataFrame, bucket: Column, spike: Column) -> DataFrame:
 
 
 def agg_by_iso_week(cpu: DataFrame, spike: Column, scale: int = 6) -> DataFrame:
-    return (fold_hosts(cpu, iso_week_end("rollup_timestamp"), spike)
-            .select(F.col("bucket").alias("week_end"), units_avg2("s", "n", scale).alias("avg_cpu"),
-                    F.round(from_units("mx", scale), 2).alias("max_cpu"), "spike_count"))
+    return week_rows(fold_hosts(cpu, iso_week_end("rollup_timestamp"), spike), scale)
+
+
+def week_rows(folded: DataFrame, scale: int = 6) -> DataFrame:
+    """Weekly figures from ``bucket`` (the week's end), ``s, n, mx, spike_count``."""
+    return folded.select(F.col("bucket").alias("week_end"), units_avg2("s", "n", scale).alias("avg_cpu"),
+                         F.round(from_units("mx", scale), 2).alias("max_cpu"), "spike_count")
 
 
 def pivot_max(df: DataFrame, keys, pivot_col: str, value: Column, values) -> DataFrame:

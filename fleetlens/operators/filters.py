@@ -3,6 +3,8 @@ type and time terms into the parquet scan (``PushedFilters``)."""
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,25 @@ def _between(df: DataFrame, ts: str, start: Column, end: Column) -> DataFrame:
     return out
 
 
+def outside_days(df: DataFrame, first: date, last: date, ts: str = "rollup_timestamp") -> DataFrame:
+    """Rows before day ``first`` or after day ``last``; prunes day folders."""
+    start, end = (F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in (first, last + timedelta(days=1)))
+    out = df.where((F.col(ts) < start) | (F.col(ts) >= end))
+    if PARTITION_COLUMN in df.columns:
+        day = F.col(PARTITION_COLUMN)
+        out = out.where((day < F.lit(first)) | (day > F.lit(last)))
+    return out
+
+
+def day_range_filter(df: DataFrame, first: date, last: date, ts: str = "rollup_timestamp") -> DataFrame:
+    """Rows of the whole days ``first`` to ``last``; prunes day folders."""
+    start, end = (F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in (first, last + timedelta(days=1)))
+    out = df.where((F.col(ts) >= start) & (F.col(ts) < end))
+    if PARTITION_COLUMN in df.columns:
+        out = out.where(F.col(PARTITION_COLUMN).between(F.lit(first), F.lit(last)))
+    return out
+
+
 def month_window_filter(df: DataFrame, as_of, months_back: int, ts: str = "rollup_timestamp") -> DataFrame:
     """Rows from the first day of the month ``months_back`` months before
     ``as_of``'s month up to ``as_of``."""

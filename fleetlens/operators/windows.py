@@ -6,19 +6,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def newest(ts: str = "rollup_timestamp", values: tuple[str, ...] = ("average", "cpu_units")) -> Column:
+    """Extremum of a total order: the newest reading, of readings at one
+    instant the highest (a NULL one comes last).  It can be merged, so
+    parts of a series may be folded first, and shuffled rows with ties give
+    equal results."""
+    return F.max(F.struct(ts, *values))
+
+
 def latest_per_host(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_timestamp",
                     values: tuple[str, ...] = ("average", "cpu_units")) -> DataFrame:
-    """Newest reading per host.  Written as an aggregate (``max_by``) rather
-    than ``row_number() = 1``: it is combined map-side, so a host with a
+    """Newest reading per host (:func:`newest`).  Written as an aggregate
+    rather than ``row_number() = 1``: it is combined map-side, so a host with a
     third of all rows still ships one partial row per task."""
-    return cpu.groupBy(key).agg(F.max(ts).alias(ts), *[F.max_by(v, ts).alias(v) for v in values])
+    return (cpu.groupBy(key).agg(newest(ts, values).alias("_newest"))
+            .select(key, *[F.col(f"_newest.{c}") for c in (ts, *values)]))
 
 
-def latest_by_rank(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_timestamp") -> DataFrame:
+def latest_by_rank(cpu: DataFrame, key: str = "target_name", ts: str = "rollup_timestamp",
+                   value: str = "average") -> DataFrame:
     """The same as :func:`latest_per_host`, written as ``row_number() = 1``
     per host.  Spark plans the filter as a partial ``WindowGroupLimit``
     before the shuffle, so each task also ships one row per host."""
-    w = Window.partitionBy(key).orderBy(F.col(ts).desc())
+    w = Window.partitionBy(key).orderBy(F.col(ts).desc(), F.col(value).desc_nulls_last())
     return cpu.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

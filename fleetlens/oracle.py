@@ -87,7 +87,12 @@ def growth(c: str, p: str) -> str:
 
 
 def stddev0(x: str) -> str:
-    return f"coalesce(stddev_samp({x}), CASE WHEN count({x}) = 1 THEN 0.0 END)"
+    """Sample standard deviation of a DECIMAL(18,6) column, from whole-number
+    moments; 0 for one value."""
+    u = scaled(x)
+    spread = f"(count({x}) * sum({u} * {u}) - sum({u}) * sum({u}))"
+    return (f"(CASE WHEN count({x}) = 1 THEN 0.0 WHEN count({x}) > 1 THEN "
+            f"sqrt(cast({spread} AS DOUBLE) / (cast(count({x}) AS DOUBLE) * (count({x}) - 1))) / 1000000 END)")
 
 
 def badge(v: str) -> str:
@@ -300,7 +305,7 @@ SELECT {cols}
 FROM hosts h
 LEFT JOIN (
   SELECT target_name, rollup_timestamp AS ts, cpu_val AS v, average AS raw,
-         row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC) AS rn
+         row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC, average DESC NULLS LAST) AS rn
   FROM {semi(2)} x
 ) l ON h.target_name = l.target_name AND l.rn = 1"""
 
@@ -393,6 +398,28 @@ FROM spk s JOIN (
   FROM spk GROUP BY 1, 2) h
 ON s.target_name = h.target_name AND s.spike_hour = h.spike_hour""",
                                    f"spk AS (SELECT *, hour(rollup_timestamp) AS spike_hour FROM {semi(30)} c WHERE average >= 98)"),
+        "cpu_spike_batches": q(f"""
+SELECT b.target_name, {short('b.target_name')} AS hostname, {minute('first_ts')} AS start_ts,
+       {minute('last_ts')} AS last_spike_ts, strftime(first_ts, '%H:%M') AS start_hhmi,
+       date_diff('minute', first_ts, last_ts) + 60 AS length_minutes, samples, {r2('peak')} AS peak_cpu,
+       CASE WHEN open_start THEN 0 ELSE days_at_start END AS days_at_start, open_start, open_end,
+       CASE WHEN NOT open_start AND days_at_start >= 3
+            THEN concat('Recurring batch @ ', strftime(first_ts, '%H:%M')) ELSE 'Isolated' END AS pattern_hint
+FROM islands b LEFT JOIN (
+  SELECT target_name, strftime(first_ts, '%H:%M') AS hhmi, count(DISTINCT cast(first_ts AS DATE)) AS days_at_start
+  FROM islands WHERE NOT open_start GROUP BY 1, 2) d
+ON b.target_name = d.target_name AND strftime(b.first_ts, '%H:%M') = d.hhmi""",
+                               f"""instants AS (
+  SELECT target_name, rollup_timestamp AS ts, max(cpu_val) AS v FROM {semi(30)} c WHERE average >= 98 GROUP BY 1, 2),
+marked AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 60 MINUTE THEN 0 ELSE 1 END AS new
+  FROM instants WINDOW w AS (PARTITION BY target_name ORDER BY ts)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY target_name ORDER BY ts) AS island FROM marked),
+islands AS (
+  SELECT target_name, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS samples, max(v) AS peak,
+         min(ts) < {CPU_AS_OF} - INTERVAL 30 DAY + INTERVAL 60 MINUTE AS open_start,
+         max(ts) + INTERVAL 60 MINUTE > {CPU_AS_OF} AS open_end
+  FROM numbered GROUP BY target_name, island)"""),
         "cpu_rolling_7d": q(f"""
 SELECT {dayl('d')} AS day, {rdiv(scaled('s'), 'n * 1000000')} AS daily_avg_cpu,
        {rdiv(scaled('ws'), 'wn * 1000000')} AS rolling_avg_cpu, days_in_window
@@ -454,4 +481,6 @@ def oracle_sql() -> dict[str, str]:
     out.update(operator_sql())
     from fleetlens.oracle_html import html_sql
     out.update(html_sql())
+    from fleetlens.registry import ROLLUP_KEYS  # the same questions, answered from day partials
+    out.update({f"rollup_{k}": out[k] for k in ROLLUP_KEYS})
     return out

@@ -16,7 +16,7 @@ def _cpu_out(src: str, extra: str = "") -> str:
 _LATEST = f"""latest AS (
   SELECT h.target_name, l.ts, l.v, l.raw FROM hosts h LEFT JOIN (
     SELECT target_name, rollup_timestamp AS ts, cpu_val AS v, average AS raw,
-           row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC) AS rn
+           row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC, average DESC NULLS LAST) AS rn
     FROM {semi(2)} y) l ON h.target_name = l.target_name AND l.rn = 1)"""
 
 _STATS = f"""stats AS (
@@ -127,7 +127,7 @@ SELECT target_name, host_name, critical_tablespaces, {_d('max_used')} AS max_use
 FROM tss""", TSU),
         "latest_per_host": q(_cpu_out(f"""(
   SELECT target_name, rollup_timestamp, cpu_val FROM (
-    SELECT *, row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC) AS rn
+    SELECT *, row_number() OVER (PARTITION BY target_name ORDER BY rollup_timestamp DESC, average DESC NULLS LAST) AS rn
     FROM {semi(2)} y) z WHERE rn = 1)""")),
         "latest_per_host_rank": q(_cpu_out(f"""(
   SELECT target_name, max(rollup_timestamp) AS rollup_timestamp,

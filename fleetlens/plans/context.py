@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -9,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.numbers import at_least, from_units, to_units
-from fleetlens.operators.filters import fleet_filter, lookback_filter, metric_filter
+from fleetlens.operators.filters import fleet_filter, lookback_filter, metric_filter, outside_days
 from fleetlens.operators.joins import fleet_inner_join, fleet_semi_join
 from fleetlens.params import Params
+from fleetlens.plans.folds import DirectFolds
 from fleetlens.sources.tables import MonitoringTables
 
 
@@ -40,12 +42,15 @@ class ReportRun:
             "target_name", F.col("type_qualifier1").alias("os_type"))
 
     # ---- CPU facts -----------------------------------------------------
-    def cpu_rows(self, days: int) -> DataFrame:
-        """CPU readings of any host in the last ``days`` days: the stored
-        ``average``, which tests read, and ``cpu_units`` (BIGINT,
-        10^-value_scale per unit), which sums and printed values use."""
+    def cpu_rows(self, days: int, but: tuple[date, date] | None = None) -> DataFrame:
+        """CPU readings of any host in the last ``days`` days, ``but`` those
+        of whole days from one to another: the stored ``average``, which tests
+        read, and ``cpu_units`` (BIGINT, 10^-value_scale per unit), which sums
+        and printed values use."""
         h = metric_filter(self.t.hourly, "Load", "cpuUtil", "host")
         h = lookback_filter(h, self.p.as_of, days)
+        if but is not None:
+            h = outside_days(h, *but)
         return h.select("target_name", "rollup_timestamp", "average",
                         to_units("average", self.p.value_scale).alias("cpu_units"))
 
@@ -67,6 +72,11 @@ class ReportRun:
         rows = self.fleet_cpu_semi(days) if self.persist else self.cpu_rows(days)
         return fleet_inner_join(rows, self.hosts)
 
+    @cached_property
+    def folds(self) -> DirectFolds:
+        """Where the CPU sections get their aggregates from."""
+        return DirectFolds(self)
+
     def spike(self):
         """The test for a spike, on the stored reading."""
         return at_least("average", self.p.spike_threshold)

@@ -10,17 +10,16 @@ from fleetlens.functions import classify as C
 from fleetlens.functions.dates import day_label, minute_label
 from fleetlens.functions.numbers import as_double, finite, units_avg2, units_stddev2
 from fleetlens.functions.text import short_hostname
-from fleetlens.operators.aggregates import agg_by_day, agg_by_iso_week, agg_global, conditional_count
 from fleetlens.operators.filters import threshold_filter
 from fleetlens.operators.joins import latest_left_join
-from fleetlens.operators.windows import latest_per_host, rank_global, sort_bounded, top_k
+from fleetlens.operators.windows import rank_global, sort_bounded, top_k
 from fleetlens.plans.context import ReportRun
 
 
 def cpu_dashboard_kpis(run: ReportRun) -> DataFrame:
     """One row: hosts with samples in the window, average, peak, spike
     samples, hosts with a spike."""
-    k = agg_global(run.fleet_cpu_semi(run.p.lookback_days), run.spike(), run.p.value_scale)
+    k = run.folds.fleet(run.p.lookback_days)
     return k.select("total_hosts", as_double("avg_cpu").alias("avg_cpu"), as_double("max_cpu").alias("max_cpu"),
                     "spike_count", "hosts_with_spikes")
 
@@ -30,7 +29,7 @@ def cpu_current_snapshot(run: ReportRun) -> DataFrame:
     hosts without one are kept with 0, ``N/A`` and NORMAL.  Colour and
     badge test the raw value, the printed value is rounded."""
     p = run.p
-    latest = latest_per_host(run.fleet_cpu_semi(p.snapshot_days))
+    latest = run.folds.latest(p.snapshot_days)
     v, printed = finite("average"), run.value()
     joined = latest_left_join(run.hosts, latest)
     # raw value first, then the short name (ascending puts NULL names last
@@ -56,7 +55,7 @@ def spike_rows(run: ReportRun, rows: DataFrame) -> DataFrame:
 def cpu_spike_days(run: ReportRun) -> DataFrame:
     """Calendar days with at least one spike sample: hosts affected,
     incidents, peak."""
-    days = agg_by_day(spike_rows(run, run.fleet_cpu_semi(run.p.lookback_days)), run.p.value_scale)
+    days = run.folds.spike_days(run.p.lookback_days)
     return (days.select(day_label("day").alias("spike_day"), "hosts_affected", "incident_count",
                         as_double("peak_cpu").alias("peak_cpu"))
             .transform(lambda d: sort_bounded(d, [F.col("spike_day").desc()])))
@@ -66,7 +65,7 @@ def cpu_weekly_trend(run: ReportRun) -> DataFrame:
     """ISO weeks labelled by their Sunday: average, peak and spike samples;
     the peak colour tests the rounded peak."""
     p = run.p
-    wk = agg_by_iso_week(run.fleet_cpu_semi(p.lookback_days), run.spike(), p.value_scale)
+    wk = run.folds.weeks(p.lookback_days)
     return (wk.select(day_label("week_end").alias("week_end"), as_double("avg_cpu").alias("avg_cpu"),
                       as_double("max_cpu").alias("max_cpu"), "spike_count",
                       C.peak_colour("max_cpu", p.high_cutoff, p.warn_cutoff).alias("colour"))
@@ -77,7 +76,7 @@ def cpu_top_spike_events(run: ReportRun) -> DataFrame:
     """The ``events_k`` highest spike samples of the fixed ``events_days``
     window, newest first among equal values."""
     p = run.p
-    spikes = spike_rows(run, run.fleet_cpu(p.events_days))
+    spikes = run.folds.spikes(p.events_days)
     order = [F.col("average").desc(), F.col("rollup_timestamp").desc(), F.col("target_name")]
     ranked = rank_global(spikes, order, p.events_k)
     return ranked.select(
@@ -91,18 +90,11 @@ def host_stats(run: ReportRun, os_name: str | None = None) -> DataFrame:
     """Per-host average, min, max, standard deviation and incidents over the
     lookback window; ``os_name`` matches the OS case-insensitively."""
     p = run.p
-    u = F.col("cpu_units")
-    cpu = run.fleet_cpu(p.lookback_days)
-    if os_name is not None:
-        cpu = cpu.where(F.upper("os_type") == os_name.upper())
-    st = (cpu.groupBy("target_name", "os_type")
-          .agg(F.sum(u).alias("s"), F.count(u).alias("n"), F.min(u).alias("mn"),
-               F.max(u).alias("mx"), units_stddev2(u, p.value_scale).alias("stddev_cpu"),
-               conditional_count(run.spike()).alias("incidents"))
-          .select("target_name", "os_type", "stddev_cpu", "incidents",
-                  units_avg2("s", "n", p.value_scale).alias("avg2"),
-                  F.round(run.value("mn"), 2).alias("min2"),
-                  F.round(run.value("mx"), 2).alias("max2")))
+    st = run.folds.host_sums(p.lookback_days, os_name).select(
+        "target_name", "os_type", "incidents",
+        units_stddev2("s", "n", "sq", p.value_scale).alias("stddev_cpu"),
+        units_avg2("s", "n", p.value_scale).alias("avg2"),
+        F.round(run.value("mn"), 2).alias("min2"), F.round(run.value("mx"), 2).alias("max2"))
     return st.select(
         "target_name", short_hostname("target_name").alias("hostname"), "os_type",
         as_double("avg2").alias("avg_cpu"), as_double("min2").alias("min_cpu"),

@@ -7,10 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.functions.dates import day_bucket, day_label, minute_label
+from fleetlens.functions.dates import as_of_literal, day_bucket, day_label, days_before, minute_label
 from fleetlens.functions.numbers import as_double, units_avg2
 from fleetlens.functions.text import short_hostname
-from fleetlens.operators.aggregates import fold_hosts
 from fleetlens.operators.windows import sort_bounded
 from fleetlens.plans.context import ReportRun
 from fleetlens.plans.cpu import cpu_current_snapshot, spike_rows
@@ -47,14 +46,58 @@ def cpu_recurring_pattern(run: ReportRun) -> DataFrame:
         .otherwise(F.lit(ISOLATED_TEXT)).alias("pattern_hint"))
 
 
+def batches(spikes: DataFrame, grain_minutes: int = 60) -> DataFrame:
+    """Runs of spike readings, one row each: ``target_name, first_ts, last_ts,
+    samples, peak_units``.  Readings of a host that are at most one grain
+    apart are one run, over midnight too (gaps and islands, as session windows:
+    readings that touch or overlap merge).  Readings of one instant count
+    once; they are folded map-side before the sessions are built."""
+    instants = spikes.groupBy("target_name", "rollup_timestamp").agg(F.max("cpu_units").alias("units"))
+    run = F.session_window("rollup_timestamp", f"{grain_minutes} minutes")
+    return (instants.groupBy("target_name", run)
+            .agg(F.min("rollup_timestamp").alias("first_ts"), F.max("rollup_timestamp").alias("last_ts"),
+                 F.count(F.lit(1)).alias("samples"), F.max("units").alias("peak_units"))
+            .drop("session_window"))
+
+
+def cpu_spike_batches(run: ReportRun, grain_minutes: int = 60) -> DataFrame:
+    """Every batch of the events window: its start and end to the minute,
+    length, peak, on how many days a batch of this host started at that
+    time of day, and the hint ``Recurring batch @ HH:MI`` from
+    ``recurring_min_days`` days on, else ``Isolated``.
+
+    A batch that the window's start or end may have cut is marked
+    (``open_start``, ``open_end``); a cut start is no start, so it counts for
+    no time of day and is never recurring."""
+    p = run.p
+    grain = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(grain_minutes))
+    rows = batches(run.folds.spikes_semi(p.events_days), grain_minutes).withColumns({
+        "open_start": F.col("first_ts") < days_before(p.as_of, p.events_days) + grain,
+        "open_end": F.col("last_ts") + grain > as_of_literal(p.as_of),
+        "start_hhmi": F.date_format("first_ts", "HH:mm")})
+    # readings of one minute are in one batch, so batches with one start are on
+    # different days: a window partition holds a row per day at most
+    starts = Window.partitionBy("target_name", "start_hhmi")
+    rows = rows.withColumn("days_at_start", F.when(F.col("open_start"), F.lit(0)).otherwise(
+        F.count(F.when(~F.col("open_start"), F.lit(1))).over(starts)).cast("bigint"))
+    return rows.select(
+        "target_name", short_hostname("target_name").alias("hostname"),
+        minute_label("first_ts").alias("start_ts"), minute_label("last_ts").alias("last_spike_ts"), "start_hhmi",
+        (F.timestamp_diff("MINUTE", F.col("first_ts"), F.col("last_ts")) + grain_minutes).alias("length_minutes"),
+        "samples", as_double(F.round(run.value("peak_units"), 2)).alias("peak_cpu"), "days_at_start",
+        "open_start", "open_end",
+        F.when(F.col("days_at_start") >= p.recurring_min_days,
+               F.concat(F.lit("Recurring batch @ "), F.col("start_hhmi")))
+        .otherwise(F.lit(ISOLATED_TEXT)).alias("pattern_hint"))
+
+
 def cpu_rolling_7d(run: ReportRun) -> DataFrame:
     """Fleet average over the trailing ``rolling_days`` calendar days, per
     day of the lookback window.  Days are folded to one (sum, count) row
     first; the window then runs over one row per day, so the single
     partition it needs holds at most ``lookback_days + 1`` rows."""
     p = run.p
-    daily = (fold_hosts(run.fleet_cpu_semi(p.lookback_days), day_bucket("rollup_timestamp"), run.spike())
-             .select(F.col("bucket").alias("d"), "s", "n"))
+    daily = run.folds.days(p.lookback_days).select(F.col("bucket").alias("d"), "s", "n")
     w = Window.orderBy(F.unix_date("d")).rangeBetween(-(p.rolling_days - 1), 0)
     out = daily.select(
         "d", F.sum("s").over(w).alias("ws"), F.sum("n").over(w).alias("wn"),

@@ -4,7 +4,9 @@ report and per operator, all over the driver's tables mapped by
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from fleetlens.params import Params
 from fleetlens.plans import cpu, growth, health, patterns
 from fleetlens.plans.context import ReportRun
+from fleetlens.plans.rollups import DayStore, RollupRun
+from fleetlens.session import ensure_checkpoint_dir
 from fleetlens.sources import testmap
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +59,7 @@ REPORT_PLANS = {
     "host_cpu_current": (health.host_cpu_current, False),
     "db_growth_monthly": (growth.db_growth_monthly, True),
     "cpu_recurring_pattern": (patterns.cpu_recurring_pattern, False),
+    "cpu_spike_batches": (patterns.cpu_spike_batches, False),
     "cpu_rolling_7d": (patterns.cpu_rolling_7d, False),
     "cpu_elevated_hosts": (patterns.cpu_elevated_hosts, False),
 }
@@ -62,8 +67,30 @@ REPORT_PLANS = {
 REPORTS: dict[str, Query] = {k: (_growth(f) if g else _cpu(f)) for k, (f, g) in REPORT_PLANS.items()}
 
 
+# the sections that a stored table of day partials serves
+ROLLUP_KEYS = ("cpu_dashboard_kpis", "cpu_current_snapshot", "cpu_spike_days", "cpu_weekly_trend",
+               "cpu_top_spike_events", "cpu_top_consumers_linux", "cpu_top_consumers_aix", "cpu_rolling_7d",
+               "cpu_spike_batches")
+
+
+def stored_run(spark: SparkSession, sf_dir: str) -> RollupRun:
+    """A run over day partials of the driver's tables, stored in two steps in
+    the cluster's shared folder."""
+    tables, params = testmap.load(spark, sf_dir), cpu_params()
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetlens-rollup-{uuid.uuid4().hex[:12]}"
+    store, end = DayStore(spark, root, params), params.as_of.date()
+    store.extend(tables, end - timedelta(days=3), first=end - timedelta(days=params.lookback_days + 3))
+    store.extend(tables, end - timedelta(days=1))
+    return RollupRun(tables, store, params)
+
+
+def _stored(key: str) -> Query:
+    return lambda spark, sf_dir: REPORT_PLANS[key][0](stored_run(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     out = dict(REPORTS)
+    out.update({f"rollup_{k}": _stored(k) for k in ROLLUP_KEYS})
     from fleetlens.registry_ops import OPERATORS
     out.update(OPERATORS)
     out.update(html_queries())
