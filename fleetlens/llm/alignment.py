@@ -53,7 +53,8 @@ from fleetlens.llm.common import bounded_batches, write_shared
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_BYTES = 1 << 20  # text aligned at a time
-BLOCK_BYTES = 32 << 20  # text of a block
+BLOCK_BYTES = 8 << 20  # text of a block
+CACHE_WORDS = 40_000  # of each tokenizer, per worker
 SHARD, SHARDS = 1 << 20, 1024  # pairs that blocks send to a shard, as a goal; most shards
 CELL = 1 << 19  # pairs asked in one cell
 FAN = 16  # count vectors added up at a time
@@ -99,7 +100,8 @@ class Pair:
                                 for i, p in enumerate(pieces)])
         # no piece of b goes on behind a space, so words can be encoded apart
         self.words_apart = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
-        self.a_words, self.b_words = tokens._spaced_words_of(a_path), tokens.WordCache(self._b_words)
+        self.a_words = tokens.WordCache(tokens._hf_words(a_path, " "), CACHE_WORDS)
+        self.b_words = tokens.WordCache(self._b_words, CACHE_WORDS)
 
     def _b_words(self, words: list[str]) -> list[bytes]:
         """Ids of words behind a space; of those that start with a line break
