@@ -1,8 +1,9 @@
 """Cross-site boilerplate lines, by the spread of each line over sites.
 
-A line's spread is the number of distinct sites it appears on.  It is counted
-with HyperLogLog sketches per line hash that merge by aggregation; only lines
-whose estimate lies near the threshold get an exact distinct count.  A line
+A line's spread is the number of distinct sites it appears on.  Lines on two
+sites at least get a HyperLogLog sketch of their sites, built from the raw
+lines (a partial sketch per line and task, merged by the aggregation); only
+lines whose estimate lies near the threshold get an exact set of sites.  A line
 that spreads over ``min_sites`` sites or more is boilerplate: its first
 occurrence stays (smallest document id, then first in the text), every other
 one is removed.
@@ -10,8 +11,10 @@ one is removed.
 Lines are cut at ``\\n``; they are compared without the ASCII white space
 around them.  Blank lines are never removed.  Defined results: a NULL text
 stays NULL and has no lines; a NULL site is no site and adds no spread; rows
-with one id count as copies of one document and keep the same lines; a NULL
-id comes after all others; an empty table gives an empty table.
+with one id count as copies of one document, and each text among them keeps
+its first occurrence; a NULL id comes after all others, and of rows without an
+id those with one text count as copies of one document, documents being ordered
+by the hash of the text; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -37,12 +40,21 @@ def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
 
 
+def document_key(doc: Column, text: Column) -> Column:
+    """What tells documents apart, in their order: the id, and without one
+    the text."""
+    return F.struct(doc.isNull().alias("nameless"), doc.alias("id"),
+                    F.when(doc.isNull(), F.xxhash64(text)).alias("text"))
+
+
 def line_hashes(docs: DataFrame, text: Column, doc: Column, site: Column) -> DataFrame:
-    """One row per non-blank line: ``doc``, ``site`` and the line's hash."""
-    lines = F.filter(F.transform(F.split(text, "\n"), _trimmed), lambda x: x != "")
-    hashes = F.transform(lines, _hash)
-    return (docs.select(doc.alias("doc"), site.alias("site"), F.explode(hashes).alias("h"))
-            .select("doc", "site", "h.h1", "h.h2"))
+    """One row per non-blank line: ``doc`` (:func:`document_key`),
+    ``text_hash``, ``site``, ``pos`` (from 0) and the line's hash."""
+    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("pos"), _trimmed(x).alias("line")))
+    hashes = F.transform(F.filter(lines, lambda x: x.line != ""), lambda x: F.struct(x.pos, _hash(x.line).alias("h")))
+    return (docs.select(document_key(doc, text).alias("doc"), F.xxhash64(text).alias("text_hash"), site.alias("site"),
+                        F.explode(hashes).alias("x"))
+            .select("doc", "text_hash", "site", "x.pos", "x.h.h1", "x.h.h2"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
@@ -55,17 +67,17 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
     several = (lines.groupBy(*_KEY)
                .agg(F.min("site").alias("lo"), F.max("site").alias("hi"), F.min("doc").alias("keeper"))
                .where("lo < hi").select(*_KEY, "keeper"))
-    sites = lines.where("site is not null").groupBy(*_KEY, "site").agg(F.count(F.lit(1)).alias("n"))
-    near = sites.join(several, _KEY)
-    spread = (near.groupBy(*_KEY, "keeper")
+    with_site = lines.where("site is not null").select(*_KEY, "site")
+    spread = (with_site.join(several.select(*_KEY), _KEY, "left_semi").groupBy(*_KEY)
               .agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
-              .select(*_KEY, "keeper", F.hll_sketch_estimate("sketch").alias("estimate"))
+              .select(*_KEY, F.hll_sketch_estimate("sketch").alias("estimate"))
               .where(F.col("estimate") >= min_sites * (1 - band)))
     far = F.col("estimate") > min_sites * (1 + band)
-    exact = (near.join(spread.where(~far).select(*_KEY), _KEY, "left_semi")
-             .groupBy(*_KEY, "keeper").agg(F.count(F.lit(1)).alias("spread")))
-    return (spread.where(far).select(*_KEY, "keeper", F.col("estimate").alias("spread"))
-            .unionByName(exact.where(F.col("spread") >= min_sites)))
+    exact = (with_site.join(spread.where(~far).select(*_KEY), _KEY, "left_semi").distinct()
+             .groupBy(*_KEY).agg(F.count(F.lit(1)).alias("spread")))
+    found = (spread.where(far).select(*_KEY, F.col("estimate").alias("spread"))
+             .unionByName(exact.where(F.col("spread") >= min_sites)))
+    return found.join(several, _KEY)
 
 
 def remove_boilerplate(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
@@ -74,36 +86,38 @@ def remove_boilerplate(docs: DataFrame, doc_col: str = "doc_id", text_col: str =
     ``text`` without boilerplate, ``n_lines`` (non-blank ones) and
     ``n_removed``.
 
-    Shuffles line hashes, never lines; texts move once, to meet the list of
-    their document's boilerplate hashes.  A line that a third of all rows hold
-    is one partial row per task in every aggregate, and a join key that the
-    adaptive join splits.
+    Shuffles line hashes, never lines; texts move once, to meet the places of
+    the lines that go.  A line that a third of all rows hold is one partial
+    row per task in every aggregate, and a join key that the adaptive join
+    splits.
     """
     doc, text = F.col(doc_col), F.col(text_col)
     lines = line_hashes(docs, text, doc, F.col(site_col).cast("string"))
     marked = boilerplate(lines, min_sites)
-    found = (lines.select("doc", *_KEY).join(marked.select(*_KEY, "keeper"), _KEY)
-             .groupBy("doc").agg(F.collect_set(F.struct(*_KEY)).alias("all"),
-                                 F.collect_set(F.when(F.col("doc") == F.col("keeper"), F.struct(*_KEY)))
-                                 .alias("own")))
-    rows = docs.select(with_row(docs, keep), doc.alias("_doc"), text.alias("_text"))
-    joined = rows.join(found, F.col("_doc").eqNullSafe(F.col("doc")), "left")
-    cut = F.transform(F.split("_text", "\n"), lambda x: F.struct(x.alias("line"), _hash(_trimmed(x)).alias("h")))
-    # of the lines this document keeps, the first occurrence in the text stays
-    stays = F.filter(
-        F.col("cut"),
-        lambda x, i: ~F.array_contains(F.coalesce(F.col("all"), F.array().cast("array<struct<h1:bigint,h2:bigint>>")), x.h)
-        | (F.array_contains(F.col("own"), x.h) & (F.array_position(F.col("hashes"), x.h) == i + 1)))
-    full = F.size(F.filter(F.split("_text", "\n"), lambda x: _trimmed(x) != ""))
-    return (joined.withColumn("cut", F.when(F.col("all").isNotNull(), cut))
-            .withColumn("hashes", F.transform("cut", lambda x: x.h))
-            .withColumn("left", F.when(F.col("all").isNotNull(), stays))
+    of_text = ["doc", "text_hash"]
+    # of a line's places in its keeper's text the first one stays; copies of a
+    # text have the same places
+    gone = (lines.select(*of_text, "pos", *_KEY).join(marked.select(*_KEY, "keeper"), _KEY)
+            .groupBy(*of_text, *_KEY, (F.col("doc") == F.col("keeper")).alias("keeps"))
+            .agg(F.collect_set("pos").alias("places"))
+            .withColumn("places", F.when(F.col("keeps"), F.array_except("places", F.array(F.array_min("places"))))
+                        .otherwise(F.col("places")))
+            .groupBy(*of_text).agg(F.flatten(F.collect_list("places")).alias("gone")))
+    rows = docs.select(with_row(docs, keep), document_key(doc, text).alias("doc"),
+                       F.xxhash64(text).alias("text_hash"), text.alias("_text"))
+    joined = rows.join(gone.withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"}),
+                       F.col("doc.nameless").eqNullSafe(F.col("_doc.nameless"))
+                       & F.col("doc.id").eqNullSafe(F.col("_doc.id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    cut = F.split("_text", "\n")
+    # linear in the lines: a set of places, then each line that stays by its place
+    stays = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), F.col("gone"))
+    left = F.array_join(F.transform(stays, lambda i: F.get(F.col("cut"), i)), "\n")
+    return (joined.withColumn("cut", cut)
             .select(ROW,
-                    F.when(F.col("all").isNull(), F.col("_text"))
-                    .otherwise(F.array_join(F.transform("left", lambda x: x.line), "\n")).alias("text"),
-                    F.when(F.col("_text").isNull(), 0).otherwise(full).cast("bigint").alias("n_lines"),
-                    F.when(F.col("all").isNull(), 0).otherwise(F.size("cut") - F.size("left"))
-                    .cast("bigint").alias("n_removed")))
+                    F.when(F.col("gone").isNull(), F.col("_text")).otherwise(left).alias("text"),
+                    F.when(F.col("_text").isNull(), 0)
+                    .otherwise(F.size(F.filter("cut", lambda x: _trimmed(x) != ""))).cast("bigint").alias("n_lines"),
+                    F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed")))
 
 
 # The same rows in DuckDB: first occurrences of lines on MIN_SITES sources or
