@@ -7,11 +7,15 @@ span.  Where it does not, the template rewrites history: the conversation is
 marked so from that turn on and has no spans there.  The text's place within
 its turn is found the same way, from two renderings that differ in the text.
 
-Long conversations are rendered in segments: a segment starts anew from the
-``CONTEXT`` turns before it, if the last turn comes out the same from that
-short context; a template that looks further back is rendered from the start.
-A conversation is a stream of rows in one task, which holds one segment at a
-time, and its output is a row per segment.
+A template may declare ``look_back``, in the class that defines ``render``: a
+turn's output depends on so many turns before it and never changes theirs.
+Its conversations are rendered in segments of ``SEGMENT`` turns, each started
+anew from that context, in memory for one segment; if it rewrites a turn of a
+segment all the same, that is an error.  Any other template is a black box: every prefix is
+rendered from the start, whatever the length, so a rewrite of any earlier turn
+is found.  That takes time with the square of the turns and memory for the
+conversation.  A conversation is a stream of rows in one task; its output is a
+row per segment.
 
 Defined results: a NULL text or role is empty; rows without a conversation id
 form one conversation; turns without a number come last; rows of one turn
@@ -34,7 +38,6 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import bounded_batches
 
 SEGMENT = 64  # turns
-CONTEXT = 2
 
 FORMATTED = ("conv_id bigint, segment int, text string, starts array<int>, ends array<int>, "
              "loss_starts array<int>, loss_ends array<int>, rewrites_from bigint")
@@ -48,6 +51,7 @@ class InstTemplate:
     # The control strings of the format.
     CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]", "<<SYS>>", "<</SYS>>")
     BEGIN = "<s>"
+    look_back = 0
 
     def __init__(self):
         parts = "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in self.CONTROLS)
@@ -108,25 +112,42 @@ def _content(template, before: list, role: str, turn: str, offset: int) -> tuple
     return head, max(head, len(turn) - tail)
 
 
+def declared_look_back(template) -> int | None:
+    """``look_back`` as declared together with ``render`` or by a subclass
+    after it; a subclass that renders in its own way declares its own."""
+    for cls in type(template).__mro__:
+        if "look_back" in vars(cls):
+            return cls.look_back
+        if "render" in vars(cls):
+            return None
+    return None
+
+
 def render_turns(template, turns: Iterator[tuple[str, str]], loss_roles=("assistant",)) -> Iterator[tuple[Segment, int | None]]:
-    """Segments of one conversation, and the turn from which the template
-    rewrote history (None: never)."""
+    """Segments of one conversation, and the turn (from 0) from which the
+    template rewrote history (None: never)."""
+    look_back = declared_look_back(template)
     recent: list[tuple[str, str]] = []
+    held: list[Segment] = []  # of a black box: a later turn may rewrite them
     before = template.render([])
-    segment, done, last = Segment(before), 0, ""
+    segment, done = Segment(before), 0
     rewrites = None
     for number, (role, text) in enumerate(turns):
         if rewrites is not None:
             recent.append((role, text))
             continue
         if done >= SEGMENT:
-            yield segment, None
+            if look_back is None:
+                held.append(segment)
+            else:
+                yield segment, None
+                recent = recent[len(recent) - look_back:] if look_back else []
+                before = template.render(recent)
             segment, done = Segment(), 0
-            short = recent[-CONTEXT:]
-            if len(recent) > CONTEXT and last == _delta(template, short):
-                recent, before = short, template.render(short)
         output = template.render([*recent, (role, text)])
         if not output.startswith(before):
+            if look_back is not None:
+                raise ValueError(f"the template declares a look-back of {look_back}, but turn {number} rewrites others")
             rewrites = number
             recent.append((role, text))
             continue
@@ -142,14 +163,9 @@ def render_turns(template, turns: Iterator[tuple[str, str]], loss_roles=("assist
         recent.append((role, text))
         before, done = output, done + 1
     if rewrites is not None:  # the whole output as it is, without spans
-        segment = Segment(template.render(recent))
-    yield segment, rewrites
-
-
-def _delta(template, turns: list) -> str:
-    """Output of the last of ``turns``; empty if it rewrites those before."""
-    a, b = template.render(turns[:-1]), template.render(turns)
-    return b[len(a):] if b.startswith(a) else ""
+        held, segment = [], Segment(template.render(recent))
+    for s in [*held, segment]:
+        yield s, rewrites
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:

@@ -78,6 +78,52 @@ def test_templates_that_look_back_are_rendered_from_the_start():
     assert "".join(s.text for s in segments) == Numbered().render(turns)
 
 
+class Reminding:
+    """Repeats the first turn at every turn ending in 5."""
+
+    def render(self, turns):
+        return "".join(f"{r}:{t}" + (f"({turns[0][1]})" if i % 10 == 5 else "") + ";" for i, (r, t) in enumerate(turns))
+
+
+class Bounded:
+    """Drops old texts beyond 100 turns."""
+
+    def render(self, turns):
+        return "".join(f"{r}:{'' if len(turns) > 100 and i < len(turns) - 100 else t};"
+                       for i, (r, t) in enumerate(turns))
+
+
+class Pairs(chat.InstTemplate):
+    """Declares that a turn looks one turn back."""
+    look_back = 1
+
+    def render(self, turns):
+        return "".join(f"{t}<{turns[i - 1][0] if i else ''}>" for i, (_, t) in enumerate(turns))
+
+
+def test_black_boxes_are_rendered_from_the_start_at_any_length():
+    turns = [(("user", "assistant")[i % 2], f"text {i}") for i in range(150)]
+    found = list(chat.render_turns(Reminding(), iter(turns)))
+    assert len(found) == 3 and all(r is None for _, r in found)
+    assert "".join(s.text for s, _ in found) == Reminding().render(turns)
+    loss = [s.text[a:b] for s, _ in found for a, b in zip(s.loss_starts, s.loss_ends)]
+    assert loss == [t for r, t in turns if r == "assistant"]
+    (segment, rewrites), = chat.render_turns(Bounded(), iter(turns))
+    assert rewrites == 100 and segment.text == Bounded().render(turns)  # the 101st turn
+    found = list(chat.render_turns(Bounded(), iter(turns[:100])))
+    assert all(r is None for _, r in found) and "".join(s.text for s, _ in found) == Bounded().render(turns[:100])
+
+
+def test_declared_look_back():
+    turns = [(("user", "assistant", "tool")[i % 3], f"text {i}") for i in range(200)]
+    found = list(chat.render_turns(Pairs(), iter(turns)))
+    assert len(found) == 4 and "".join(s.text for s, _ in found) == Pairs().render(turns)
+    liar = type("Liar", (Forgetful,), {"look_back": 3})()
+    with pytest.raises(ValueError):
+        list(chat.render_turns(liar, iter(turns)))
+    assert chat.declared_look_back(T) == 0 and chat.declared_look_back(Numbered()) is None
+
+
 def test_templates_that_rewrite_history_are_found():
     turns = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d")]
     (segment, rewrites), = chat.render_turns(Forgetful(), iter(turns))
