@@ -17,6 +17,8 @@ its own that all fingerprints of the shard search, in separate tasks.
 Defined results: NULL and empty texts have fingerprint zero and are linked
 like any other; equal fingerprints are one node of the graph, whatever the
 number of copies; a NULL id forms a component by itself and links nothing.
+Rows that share an id but not the text are documents of their own: each belongs
+to its own fingerprint's component, and the id links nothing.
 """
 
 from __future__ import annotations
@@ -60,15 +62,18 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, doc: Column, text: Column, width: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long), one row per document."""
+    """``doc_id, fp, text_hash`` (the 64 bits as a signed long), one row per
+    document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = pc.fill_null(b.column(1), "").cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py(), width) for t in texts), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)],
+                                             ["doc_id", "fp", "text_hash"])
 
-    return (bounded_batches(docs).select(doc.cast("bigint").alias("doc_id"), text.cast("string").alias("text"))
-            .mapInArrow(run, "doc_id bigint, fp bigint"))
+    return (bounded_batches(docs).select(doc.cast("bigint").alias("doc_id"), text.cast("string").alias("text"),
+                                         F.xxhash64(text.cast("string")).alias("text_hash"))
+            .mapInArrow(run, "doc_id bigint, fp bigint, text_hash bigint"))
 
 
 class BKTree:
@@ -180,25 +185,41 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, blocks: int =
     return groups.applyInArrow(link, "a bigint, b bigint")
 
 
+def _classes(docs: DataFrame, doc_col: str, text_col: str, width: int, max_bits: int) -> DataFrame:
+    """``doc_id, fp, text_hash, root, component_id``, one row per document;
+    ``root`` (the smallest fingerprint) names the component, also where two
+    components hold documents with the same smallest id."""
+    fps = write_shared(fingerprints(docs, F.col(doc_col), F.col(text_col), width), "simhash")
+    nodes = fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first"))
+    found = components(fingerprint_links(nodes.select(F.col("fp").alias("node"), "fp"), max_bits), "simhash-cc")
+    placed = (nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+              .select("fp", "first", F.coalesce("component", "fp").alias("root")))
+    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    classes = placed.join(smallest, "root").select("fp", "root", "component_id")
+    nameless = F.col("doc_id").isNull()
+    return fps.join(classes, "fp", "left").select(
+        "doc_id", "fp", "text_hash", F.when(~nameless, F.col("root")).alias("root"),
+        F.when(~nameless, F.col("component_id")).alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", *, width: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fingerprint, component_id``, one row per document."""
-    fps = write_shared(fingerprints(docs, F.col(doc_col), F.col(text_col), width), "simhash")
-    nodes = fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    found = components(fingerprint_links(nodes, max_bits), "simhash-cc")
-    classes = (nodes.join(found, "node", "left")
-               .select("fp", F.coalesce("component", "node").alias("component_id")))
-    return (fps.join(classes, "fp", "left")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
-
-
-def keep_one_of_each(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The first document (smallest id) of each component, once, with its
-    columns unchanged.  Of rows that share an id one stays; rows without an id
-    all stay."""
-    found = near_duplicates(docs, doc_col, text_col, **options)
-    first = free_name(docs, "_first")
-    firsts = found.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
-    kept = docs.join(firsts, F.col(doc_col) == F.col(first), "left_semi").dropDuplicates([doc_col])
+    return _classes(docs, doc_col, text_col, width, max_bits).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", *, width: int = SHINGLE,
+                     max_bits: int = MAX_BITS) -> DataFrame:
+    """The first document of each component (smallest id, of texts that share
+    it the one with the smallest fingerprint, then hash), once, with its
+    columns unchanged.  Of rows equal in id and text one stays; rows without an
+    id all stay."""
+    found = _classes(docs, doc_col, text_col, width, max_bits).where("doc_id is not null")
+    text_hash = free_name(docs, "_text_hash")
+    firsts = (found.groupBy("root").agg(F.min(F.struct("doc_id", "fp", "text_hash")).alias("f"))
+              .select(F.col("f.doc_id").alias(doc_col), F.col("f.text_hash").alias(text_hash)))
+    hashed = docs.withColumn(text_hash, F.xxhash64(F.col(text_col).cast("string")))
+    kept = (hashed.join(firsts, [doc_col, text_hash], "left_semi")
+            .dropDuplicates([doc_col, text_hash]).drop(text_hash))
     return kept.unionByName(docs.where(F.col(doc_col).isNull()))

@@ -106,3 +106,29 @@ def test_components_of_long_chains(spark):
         spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(401)}, **{1000 + i: 1000 for i in range(300)}}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    """The id links nothing: each text is in its own fingerprint's component,
+    and one row of each component stays."""
+    from tests.llm.conftest import prose
+    base = [prose(80, i) for i in range(6)]
+    rows = [(5, base[0]), (5, base[1]), (5, base[1]), (7, base[1]), (8, base[0] + " end"), (8, base[2]), (3, base[3]),
+            (9, base[3]), (9, base[4]), (2, base[4]), (2, base[5]), (None, base[5]), (None, base[5]), (2, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    fps = [plain_fingerprint(t) for _, t in rows]
+    named = [i for i, (d, _) in enumerate(rows) if d is not None]
+    component = plain_components([(i, fps[i]) for i in named])  # of row numbers
+    smallest = {}
+    for i in named:
+        smallest[component[i]] = min(smallest.get(component[i], rows[i][0]), rows[i][0])
+    want = sorted(((rows[i][0], f"{fps[i]:016x}", smallest[component[i]] if i in component else None)
+                   for i in range(len(rows))), key=repr)
+    got = simhash.near_duplicates(docs).collect()
+    assert sorted(map(tuple, got), key=repr) == want
+    kept = simhash.keep_one_of_each(docs).collect()
+    own = [r for r in kept if r["doc_id"] is not None]
+    assert len(own) == len(set(component.values())) and len(kept) - len(own) == 2
+    where = {(rows[i][0], rows[i][1]): component[i] for i in named}
+    assert {where[(r["doc_id"], r["text"])] for r in own} == set(component.values())
+    assert all(r["doc_id"] == smallest[where[(r["doc_id"], r["text"])]] for r in own)
