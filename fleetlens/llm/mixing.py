@@ -16,8 +16,8 @@ are hashes of the documents' keys and the seed, so reruns agree.
 
 Defined results: a NULL text has size 0; a NULL source is a source of its own,
 after all others; a source without words has target 0 and takes nothing; rows
-equal in id, source and text share one decision; an empty table gives an empty
-table.
+equal in id, source and text are taken by their number, as nearly as single
+rows allow, whichever of them; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -131,10 +131,35 @@ def pivotal_round(items: DataFrame, name: str = "mix") -> DataFrame:
     return reduce(DataFrame.unionByName, levels)
 
 
+CHUNK_ROWS = 65_536  # of equal rows that are numbered together
+
+
+def _numbered(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Of rows whose key ``k1, k2`` comes more than once, each with its
+    ``number`` (from 1) among those of its key.
+
+    Equal rows are dealt into chunks at random and written, which fixes the
+    deal; a window then numbers the rows of a chunk, and another one the chunks
+    of a key, so that no task holds a key that very many rows share."""
+    dealt = rows.join(repeated.select("k1", "k2", "rows"), ["k1", "k2"]).withColumn(
+        "chunk", F.floor(F.rand(SEED) * F.ceil(F.col("rows") / CHUNK_ROWS)).cast("int")).withColumn("at", F.rand(SEED + 2))
+    dealt = write_shared(dealt, "mix-repeated")
+    inside = Window.partitionBy("k1", "k2", "chunk").orderBy("at")
+    ahead = Window.partitionBy("k1", "k2").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = (dealt.groupBy("k1", "k2", "chunk").agg(F.count(F.lit(1)).alias("n"))
+              .select("k1", "k2", "chunk", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead")))
+    return (dealt.withColumn("inside", F.row_number().over(inside)).join(chunks, ["k1", "k2", "chunk"])
+            .withColumn("number", F.col("ahead") + F.col("inside")).select(*rows.columns, "number"))
+
+
 def mix(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
         keep: list[str] | None = None, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """One row per document: ``_row`` (its columns, or those in ``keep``),
-    ``source``, ``size`` (words), ``source_size``, ``target`` and ``copies``."""
+    ``source``, ``size`` (words), ``source_size``, ``target`` and ``copies``.
+
+    Rows equal in id, source and text are taken as often as their number
+    asks for: of ``n`` of them with probability ``p`` the first ``floor(n p)`` are,
+    and one goes into the rounding with what is left."""
     text, source = F.col(text_col), F.col(source_col).cast("string")
     key = [F.col(doc_col).cast("string"), source, text]
     k1, k2 = F.xxhash64(*key), F.xxhash64(F.lit(1), *key)
@@ -143,15 +168,30 @@ def mix(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", source
     targets = source_targets(sized, weights, max_copies)
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rates = write_shared(targets.withColumn("wanted", wanted), "mix-targets")
-    items = (sized.groupBy("source", "k1", "k2", "size").agg(F.count(F.lit(1)).alias("rows"))
-             .withColumnRenamed("source", "own")
-             .join(rates.select("source", (F.col("wanted") - F.floor("wanted")).alias("p")),
-                   F.col("own").eqNullSafe(F.col("source"))).where("p > 0")
-             .select("source", "k1", "k2", (F.col("size") * F.col("rows")).alias("size"), "p"))
-    bits = pivotal_round(items).where("bit = 1").select("k1", "k2", "bit")
+    several = F.col("rows") * (F.col("wanted") - F.floor("wanted"))
+    items = write_shared(
+        sized.groupBy("source", "k1", "k2", "size").agg(F.count(F.lit(1)).alias("rows"))
+        .withColumnRenamed("source", "own")
+        .join(rates.select("source", "wanted"), F.col("own").eqNullSafe(F.col("source")))
+        # a hair above, so that 0.1 + 0.2 is not just under a whole number
+        .withColumn("whole", F.floor(several + F.lit(1e-9)))
+        .select("source", "k1", "k2", "size", "rows", "whole", F.greatest(several - F.col("whole"), F.lit(0.0)).alias("p")),
+        "mix-items")
+    bits = pivotal_round(items.where("p > 0").select("source", "k1", "k2", "size", "p")).where("bit = 1")
+    bits = bits.select("k1", "k2", "bit")
     rows = docs.select(with_row(docs, keep), source.alias("own"), k1.alias("k1"), k2.alias("k2"),
                        word_count(text).alias("size"))
-    return (rows.join(rates, F.col("own").eqNullSafe(F.col("source"))).join(bits, ["k1", "k2"], "left")
+    repeated = items.where("rows > 1").select("k1", "k2", "rows", "whole")
+    if repeated.isEmpty():
+        taken = rows.join(bits, ["k1", "k2"], "left")
+    else:
+        once = rows.join(repeated.select("k1", "k2"), ["k1", "k2"], "left_anti").join(bits, ["k1", "k2"], "left")
+        quota = repeated.join(bits, ["k1", "k2"], "left").select(
+            "k1", "k2", (F.col("whole") + F.coalesce("bit", F.lit(0))).alias("quota"))
+        more = (_numbered(rows, repeated).join(quota, ["k1", "k2"])
+                .withColumn("bit", (F.col("number") <= F.col("quota")).cast("int")))
+        taken = once.unionByName(more.select(*once.columns))
+    return (taken.join(rates, F.col("own").eqNullSafe(F.col("source")))
             .select(ROW, F.col("own").alias("source"), "size", "source_size", "target",
                     (F.floor("wanted") + F.coalesce("bit", F.lit(0))).cast("int").alias("copies")))
 

@@ -55,7 +55,7 @@ def test_targets_and_taken_words(spark):
 
 
 def test_odd_rows(odd, nothing):
-    check(odd, 2)  # repeated rows share a decision
+    check(odd, 0.5)
     assert mixing.mix(nothing).count() == 0 and mixing.mixed_rows(nothing).count() == 0
 
 
@@ -75,6 +75,18 @@ def test_rows_repeat(odd):
     assert mixed.count() == mixing.mix(odd).agg(F.sum("copies")).first()[0]
 
 
+def test_many_equal_rows_land_on_the_target(spark, monkeypatch):
+    """Rows equal in id, source and text are taken by their number."""
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 64)  # several chunks per key
+    rows = [(None, "one two three four", s) for s in ("s1", "s2") for _ in range(1000)]
+    rows += [(i, "w " * (i % 5 + 1), "s3") for i in range(700)] + [(7, "w w", "s3")] * 333 + [(8, None, "s3")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [check(docs.repartition(n), 0.5) for n in (1, 6)]
+    assert got[0] == got[1]
+    assert mixing.mixed_rows(docs).count() == mixing.mix(docs).agg(F.sum("copies")).first()[0]
+
+
 def test_native(sample):
-    plan = mixing.mix(sample)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Arrow|Pandas", plan)
+    for docs in (sample, sample.unionByName(sample.limit(20))):
+        plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Arrow|Pandas", plan)
