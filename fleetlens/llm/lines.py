@@ -29,6 +29,7 @@ LG_K = 12  # sketch of 4096 registers: 1.6 % standard error
 BAND = 0.10  # six standard errors: estimates this near the threshold are recounted
 
 _KEY = ["h1", "h2"]
+SALTS = 16  # tasks that share the rows of one line in a join
 
 
 def _trimmed(line: Column) -> Column:
@@ -57,6 +58,17 @@ def line_hashes(docs: DataFrame, text: Column, doc: Column, site: Column) -> Dat
             .select("doc", "text_hash", "site", "x.pos", "x.h.h1", "x.h.h2"))
 
 
+def _salt() -> Column:
+    """A number below ``SALTS`` by document: the rows of a very common line
+    meet their partner in so many tasks, and each aggregates its own."""
+    return F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int").alias("salt")
+
+
+def _salted(keys: DataFrame) -> DataFrame:
+    """Each row once per salt; rows are lines that several sites share, or fewer."""
+    return keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
     """Lines on ``min_sites`` sites or more: their hash, spread and the
     document that keeps them.
@@ -67,13 +79,14 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
     several = (lines.groupBy(*_KEY)
                .agg(F.min("site").alias("lo"), F.max("site").alias("hi"), F.min("doc").alias("keeper"))
                .where("lo < hi").select(*_KEY, "keeper"))
-    with_site = lines.where("site is not null").select(*_KEY, "site")
-    spread = (with_site.join(several.select(*_KEY), _KEY, "left_semi").groupBy(*_KEY)
+    with_site = lines.where("site is not null").select(*_KEY, "site", _salt())
+    spread = (with_site.join(_salted(several.select(*_KEY)), [*_KEY, "salt"], "left_semi").groupBy(*_KEY)
               .agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
               .select(*_KEY, F.hll_sketch_estimate("sketch").alias("estimate"))
               .where(F.col("estimate") >= min_sites * (1 - band)))
     far = F.col("estimate") > min_sites * (1 + band)
-    exact = (with_site.join(spread.where(~far).select(*_KEY), _KEY, "left_semi").distinct()
+    exact = (with_site.join(_salted(spread.where(~far).select(*_KEY)), [*_KEY, "salt"], "left_semi")
+             .select(*_KEY, "site").distinct()
              .groupBy(*_KEY).agg(F.count(F.lit(1)).alias("spread")))
     found = (spread.where(far).select(*_KEY, F.col("estimate").alias("spread"))
              .unionByName(exact.where(F.col("spread") >= min_sites)))
@@ -88,8 +101,7 @@ def remove_boilerplate(docs: DataFrame, doc_col: str = "doc_id", text_col: str =
 
     Shuffles line hashes, never lines; texts move once, to meet the places of
     the lines that go.  A line that a third of all rows hold is one partial
-    row per task in every aggregate, and a join key that the adaptive join
-    splits.
+    row per task in every aggregate, and dealt over ``SALTS`` tasks in joins.
     """
     doc, text = F.col(doc_col), F.col(text_col)
     lines = line_hashes(docs, text, doc, F.col(site_col).cast("string"))
@@ -97,8 +109,9 @@ def remove_boilerplate(docs: DataFrame, doc_col: str = "doc_id", text_col: str =
     of_text = ["doc", "text_hash"]
     # of a line's places in its keeper's text the first one stays; copies of a
     # text have the same places
-    gone = (lines.select(*of_text, "pos", *_KEY).join(marked.select(*_KEY, "keeper"), _KEY)
-            .groupBy(*of_text, *_KEY, (F.col("doc") == F.col("keeper")).alias("keeps"))
+    gone = (lines.select(*of_text, "pos", *_KEY, _salt())
+            .join(_salted(marked.select(*_KEY, "keeper")), [*_KEY, "salt"])
+            .groupBy(*of_text, *_KEY, "salt", (F.col("doc") == F.col("keeper")).alias("keeps"))
             .agg(F.collect_set("pos").alias("places"))
             .withColumn("places", F.when(F.col("keeps"), F.array_except("places", F.array(F.array_min("places"))))
                         .otherwise(F.col("places")))
