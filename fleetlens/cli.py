@@ -25,6 +25,7 @@ from fleetlens.params import Params
 from fleetlens.plans.context import ReportRun
 from fleetlens.plans.report import cpu_report, health_report
 from fleetlens.sources.history import ReportHistory
+from fleetlens.sources.quarantine import quarantine, split_current
 from fleetlens.sources.sinks import write_html_rows, write_sections
 from fleetlens.sources.tables import read_parquet_tables
 
@@ -41,6 +42,8 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--html", action="store_true", help="also write html_row text per section")
     ap.add_argument("--mode", default="overwrite", choices=("overwrite", "append"))
     ap.add_argument("--run", default=None, help="keep the report as this run, beside others, committed as a whole")
+    ap.add_argument("--quarantine", default=None,
+                    help="health: list metric values that are no numbers below this folder and report the others")
     ap.add_argument("--persist", action="store_true",
                     help="cache the fleet's CPU rows for the seven CPU sections; pays off "
                          "when the source is expensive to scan (JDBC), not over pruned parquet")
@@ -55,6 +58,10 @@ def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
                     os_list=tuple(a.os))
     run = ReportRun(read_parquet_tables(spark, a.tables), params,
                     persist=(a.report == "cpu" and a.persist))
+    if a.quarantine and a.report == "health":
+        split = split_current(run, f"{a.quarantine}/values")
+        quarantine(split).write.mode("overwrite").parquet(f"{a.quarantine}/listed")
+        run = split.run
     build = cpu_report if a.report == "cpu" else health_report
     sections = build(run, html=a.html)
     split = ("os",) if a.report == "health" else ()  # one health report per OS

@@ -39,13 +39,14 @@ def latest_left_join(hosts: DataFrame, latest: DataFrame) -> DataFrame:
 
 
 def self_join_hosts(targets: DataFrame, db_types, os_list) -> DataFrame:
-    """Database targets joined to the host they run on (one OS list)."""
+    """Database targets joined to the host they run on (``os_list`` None: of
+    any OS)."""
     db = type_in_filter(targets, "target_type", db_types).select(
         F.col("target_name").alias("database_name"),
         F.col("type_qualifier1").alias("database_version"),
         F.col("host_name").alias("db_host"))
-    os_ = targets.where((F.col("target_type") == "host")
-                        & F.col("type_qualifier1").isin(list(os_list))).select(
+    of_os = F.lit(True) if os_list is None else F.col("type_qualifier1").isin(list(os_list))
+    os_ = targets.where((F.col("target_type") == "host") & of_os).select(
         F.col("target_name").alias("server"), F.col("type_qualifier1").alias("os"),
         F.col("type_qualifier2").alias("os_version"))
     return (db.join(os_, F.col("db_host") == F.col("server"))

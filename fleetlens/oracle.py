@@ -481,6 +481,8 @@ def oracle_sql() -> dict[str, str]:
     out.update(operator_sql())
     from fleetlens.oracle_html import html_sql
     out.update(html_sql())
-    from fleetlens.registry import ROLLUP_KEYS  # the same questions, answered from day partials
+    from fleetlens.registry import BUCKETED_KEYS, ROLLUP_KEYS
+    # the same questions, answered from day partials and from relations in buckets
     out.update({f"rollup_{k}": out[k] for k in ROLLUP_KEYS})
+    out.update({f"bucketed_{k}": out[k] for k in BUCKETED_KEYS})
     return out

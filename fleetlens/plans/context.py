@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.numbers import at_least, from_units, to_units
 from fleetlens.operators.filters import fleet_filter, lookback_filter, metric_filter, outside_days
-from fleetlens.operators.joins import fleet_inner_join, fleet_semi_join
-from fleetlens.params import Params
+from fleetlens.operators.joins import fleet_inner_join, fleet_semi_join, self_join_hosts
+from fleetlens.params import DB_TARGET_TYPES, Params
 from fleetlens.plans.folds import DirectFolds
 from fleetlens.sources.tables import MonitoringTables
 
@@ -41,6 +41,15 @@ class ReportRun:
         return fleet_filter(self.t.targets, self.p.name_like).select(
             "target_name", F.col("type_qualifier1").alias("os_type"))
 
+    def inventory(self, os_list, key: str = "server") -> DataFrame:
+        """Databases and the host each runs on, for hosts of the given OS
+        values (exact, case-sensitive match); ``key`` is the column that the
+        caller joins on."""
+        return self_join_hosts(self.t.targets, DB_TARGET_TYPES, os_list)
+
+    def members(self, os_list, key: str = "server") -> DataFrame:
+        return self.inventory(tuple(os_list), key).select("database_name", "server", "os")
+
     # ---- CPU facts -----------------------------------------------------
     def cpu_rows(self, days: int, but: tuple[date, date] | None = None) -> DataFrame:
         """CPU readings of any host in the last ``days`` days, ``but`` those

@@ -13,7 +13,6 @@ from fleetlens.operators.joins import in_inventory, inventory_join
 from fleetlens.operators.windows import lag_prev
 from fleetlens.params import DB_TARGET_TYPES, GROWTH_COLUMNS
 from fleetlens.plans.context import ReportRun
-from fleetlens.plans.health import db_host_inventory
 
 
 def db_size_monthly(run: ReportRun, inventory: DataFrame | None = None) -> DataFrame:
@@ -41,7 +40,7 @@ def db_growth_monthly(run: ReportRun, os_list=None) -> DataFrame:
     """Per inventory database and month: allocated and used GB and their
     growth in percent against the previous month present."""
     p = run.p
-    inv = db_host_inventory(run, os_list).select("database_name", "server", "os")
+    inv = run.members(p.os_list if os_list is None else os_list, "database_name")
     g = inventory_join(with_previous_month(db_size_monthly(run, inv)), inv, "target_name", "database_name")
     a, u = F.col("allocated_gb"), F.col("used_gb")
     return g.select(

@@ -16,16 +16,15 @@ from fleetlens.functions.numbers import as_double, text_to_number
 from fleetlens.functions.text import number_plain
 from fleetlens.operators.aggregates import conditional_count, ordered_list, pivot_max
 from fleetlens.operators.filters import metric_filter, type_in_filter
-from fleetlens.operators.joins import in_inventory, instance_join, instances, inventory_join, self_join_hosts
-from fleetlens.params import DB_TARGET_TYPES, DISKGROUP_COLUMNS
+from fleetlens.operators.joins import in_inventory, instance_join, instances, inventory_join
+from fleetlens.params import DISKGROUP_COLUMNS
 from fleetlens.plans.context import ReportRun
 
 
 def db_host_inventory(run: ReportRun, os_list=None) -> DataFrame:
     """Databases and the host each runs on, for hosts of the given OS
     values (exact, case-sensitive match)."""
-    os_list = tuple(run.p.os_list if os_list is None else os_list)
-    return self_join_hosts(run.t.targets, DB_TARGET_TYPES, os_list)
+    return run.inventory(tuple(run.p.os_list if os_list is None else os_list))
 
 
 def db_host_inventory_sorted(run: ReportRun, os_list=None) -> DataFrame:
@@ -34,8 +33,8 @@ def db_host_inventory_sorted(run: ReportRun, os_list=None) -> DataFrame:
     return db_host_inventory(run, os_list).orderBy("os", "database_name")
 
 
-def _members(run: ReportRun, os_list) -> DataFrame:
-    return db_host_inventory(run, os_list).select("database_name", "server", "os")
+def _members(run: ReportRun, os_list, key: str = "server") -> DataFrame:
+    return run.members(run.p.os_list if os_list is None else os_list, key)
 
 
 def asm_diskgroup_usage(run: ReportRun, os_list=("Linux",), strict: bool = True) -> DataFrame:
@@ -100,7 +99,7 @@ def tablespace_attention(run: ReportRun, os_list=None) -> DataFrame:
     """Per inventory database: tablespaces at or above the cutoff, their
     peak, their list by used % descending, and a status."""
     p = run.p
-    inv = _members(run, os_list)
+    inv = _members(run, os_list, "database_name")
     own = in_inventory(run.t.tablespaces, inv, "target_name", "database_name")
     rows = inventory_join(tablespace_summary(own, p.tablespace_warn), inv, "target_name", "database_name")
     n = F.coalesce(F.col("critical_tablespaces"), F.lit(0))

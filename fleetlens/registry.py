@@ -18,6 +18,7 @@ from fleetlens.plans.context import ReportRun
 from fleetlens.plans.rollups import DayStore, RollupRun
 from fleetlens.session import ensure_checkpoint_dir
 from fleetlens.sources import testmap
+from fleetlens.sources.buckets import BucketedRun, write_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,8 +89,25 @@ def _stored(key: str) -> Query:
     return lambda spark, sf_dir: REPORT_PLANS[key][0](stored_run(spark, sf_dir))
 
 
+# the sections that the relations in buckets serve
+BUCKETED_KEYS = ("db_host_inventory", "asm_diskgroup_usage", "tablespace_attention", "host_cpu_current",
+                 "db_growth_monthly")
+
+
+def _bucketed(key: str) -> Query:
+    fn, is_growth = REPORT_PLANS[key]
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = testmap.load(spark, sf_dir)
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetlens-buckets-{uuid.uuid4().hex[:12]}"
+        write_buckets(tables, root, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return fn(BucketedRun(spark, root, tables.hourly, growth_params() if is_growth else cpu_params()))
+    return q
+
+
 def queries() -> dict[str, Query]:
     out = dict(REPORTS)
+    out.update({f"bucketed_{k}": _bucketed(k) for k in BUCKETED_KEYS})
     out.update({f"rollup_{k}": _stored(k) for k in ROLLUP_KEYS})
     from fleetlens.registry_ops import OPERATORS
     out.update(OPERATORS)
