@@ -40,8 +40,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
-    return packing.pack(docs)
+    """The pieces of the packed sequences with their token ids: the sequences
+    are the ids of one ``sequence_id`` in the order of ``offset``."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

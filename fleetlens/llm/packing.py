@@ -69,38 +69,47 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fill, np.int64)
 
 
-_PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, place bigint, fill bigint"
+_PIECES = ("doc_id bigint, row_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, "
+           "place bigint, fill bigint")
+HELD_PIECES, HELD_IDS = 100_000, 8 << 20  # what a task packs at a time, without and with ids
 
 
 def pack_partitions(docs: DataFrame, doc_col: str, text_col: str, tokenizer: str, *, length: int = LENGTH,
                     end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Pieces of all documents, each partition packed on its own."""
+    """Pieces of all documents, each partition packed on its own, in parts of
+    bounded size.  ``row_id`` tells rows apart, also copies of one document."""
+    def packed(rows: list[tuple], first_bin: int) -> tuple[pa.Table, int]:
+        doc, row_id, piece, start, size, crc, ids = zip(*rows)
+        sizes = np.array(size, np.int64)
+        bins, place, fill = best_fit(sizes, length)
+        table = pa.table({"doc_id": pa.array(doc, pa.int64()), "row_id": pa.array(row_id, pa.int64()),
+                          "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
+                          "length": sizes, "ids_crc32": pa.array(crc, pa.int64()), "bin": first_bin + bins,
+                          "place": place, "fill": fill[bins]})
+        if with_ids:
+            flat = pa.array(np.concatenate(ids).astype(np.int32))
+            at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            table = table.append_column("ids", pa.ListArray.from_arrays(at, flat))
+        return table, first_bin + len(fill)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, piece, start, size, crc, ids = [], [], [], [], [], []
+        row_id = next_bin = TaskContext.get().partitionId() << 40
+        rows: list[tuple] = []
+        held = 0
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             for d, row in zip(batch.column(0).to_pylist(), byte_level_ids(texts, tokenizer)):
                 row = np.append(row, np.uint32(end_id)).astype("<u4")
                 cuts = [0, *range(len(row) % length or length, len(row) + 1, length)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    doc.append(d)
-                    piece.append(k)
-                    start.append(a)
-                    size.append(b - a)
-                    crc.append(zlib.crc32(row[a:b].tobytes()))
-                    if with_ids:
-                        ids.append(row[a:b])
-        if not doc:
-            return
-        sizes = np.array(size, np.int64)
-        bins, place, fill = best_fit(sizes, length)
-        names = (TaskContext.get().partitionId() << 40) + bins
-        table = pa.table({"doc_id": pa.array(doc, pa.int64()), "piece": pa.array(piece, pa.int32()),
-                          "start": pa.array(start, pa.int64()), "length": sizes,
-                          "ids_crc32": pa.array(crc, pa.int64()), "bin": names, "place": place, "fill": fill[bins]})
-        if with_ids:
-            table = table.append_column("ids", pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
-        yield from table.to_batches(max_chunksize=4096)
+                    rows.append((d, row_id, k, a, b - a, zlib.crc32(row[a:b].tobytes()), row[a:b] if with_ids else None))
+                row_id, held = row_id + 1, held + len(row) * with_ids
+                if len(rows) >= HELD_PIECES or held >= HELD_IDS:
+                    table, next_bin = packed(rows, next_bin)
+                    yield from table.to_batches(max_chunksize=4096)
+                    rows, held = [], 0
+        if rows:
+            yield from packed(rows, next_bin)[0].to_batches(max_chunksize=4096)
 
     return (bounded_batches(docs).select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, _PIECES + ", ids array<int>" * with_ids))
@@ -127,8 +136,9 @@ def merge_round(items: DataFrame, groups: int, length: int, salt: int) -> DataFr
 def pack(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", *, tokenizer: str | None = None,
          length: int = LENGTH, end_id: int = END_ID, slack: int = SLACK, group: int = GROUP,
          with_ids: bool = False) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset`` and, if asked for, the piece's ``ids``."""
+    """One row per piece: ``doc_id, row_id, piece, start, length, ids_crc32,
+    sequence_id, offset`` and, if asked for, the piece's ``ids``.  Copies of a
+    document differ in ``row_id``, so ``row_id, piece`` is a key."""
     pieces = write_shared(pack_partitions(docs, doc_col, text_col, tokenizer or default_tokenizer(), length=length,
                                           end_id=end_id, with_ids=with_ids), "pieces")
     # where each underfull sequence of the partitions ended up so far
@@ -155,9 +165,12 @@ def pack(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", *, to
         moved, salt = new, salt + 1
         if groups == 1 or joined < FEWER * n:
             break
-    final = pieces.join(moved.select(F.col("bin").alias("from"), "into", "shift"),
-                        F.col("bin") == F.col("from"), "left")
-    return final.select("doc_id", "piece", "start", "length", "ids_crc32",
-                        F.coalesce("into", "bin").alias("sequence_id"),
-                        (F.col("place") + F.coalesce("shift", F.lit(0))).alias("offset"),
-                        *(["ids"] if with_ids else []))
+    # nearly full sequences stay where they are: only the pieces of others move
+    ids = ["ids"] if with_ids else []
+    columns = ["doc_id", "row_id", "piece", "start", "length", "ids_crc32"]
+    stay = pieces.where(F.col("fill") >= length - slack).select(
+        *columns, F.col("bin").alias("sequence_id"), F.col("place").alias("offset"), *ids)
+    rest = pieces.where(F.col("fill") < length - slack).join(
+        moved.select(F.col("bin").alias("from"), "into", "shift"), F.col("bin") == F.col("from"))
+    return stay.unionByName(rest.select(*columns, F.col("into").alias("sequence_id"),
+                                        (F.col("place") + F.col("shift")).alias("offset"), *ids))
