@@ -126,17 +126,22 @@ def _halves(digest: int) -> tuple[int, int]:
     return (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)
 
 
-def _with_pairs(rows):
-    """Each chunk with the start and words of the one before it and the digest
-    of the two (None for the first)."""
-    last = None
-    for row in rows:
-        if last is None:
-            yield (*row, None, None, None, None)
-        else:
-            pair = b"".join(x.to_bytes(8, "little", signed=True) for x in (*last[-2:], *row[-2:]))
-            yield (*row, last[1], last[3], *_halves(xxhash.xxh3_128_intdigest(pair)))
-        last = row
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _pair_columns(no: np.ndarray, start: np.ndarray, words: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> list[pa.Array]:
+    """Of each chunk the start and words of the one before it and the digest
+    of the two (NULL for a text's first chunk)."""
+    first = no == 0
+
+    def before(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[:1], x[:-1]])
+    pairs = [_mixed(_mixed(before(h).view(np.uint64) + np.uint64(seed)) + h.view(np.uint64))
+             for h, seed in ((h1, 1), (h2, 2))]
+    return [pa.array(x, mask=first) for x in (before(start), before(words), *(p.view(np.int64) for p in pairs))]
 
 
 def chunks(docs: DataFrame, doc: Column, text: Column, *, cut_one_in: int = CUT_ONE_IN, min_words: int = MIN_WORDS,
@@ -155,17 +160,21 @@ def chunks(docs: DataFrame, doc: Column, text: Column, *, cut_one_in: int = CUT_
                 datas = [np.frombuffer(r, np.uint8) for r in raws]
                 normal = [normal_bytes(d) for d in datas]
                 hashes = gear_hashes(np.concatenate([x for d in normal for x in (d, pad)]))
-                columns: list[list] = [[] for _ in schema]
+                columns: list[list] = [[] for _ in range(8)]
                 begin = 0
                 keys = (batch.column(c).slice(at, len(part)).to_pylist() for c in (0, 2))
                 for doc_id, text_hash, raw, data, own in zip(*keys, raws, datas, normal):
                     found = _chunk_text(data, hashes[begin:begin + len(own)], raw, cut_below, min_words, max_words)
-                    for row in _with_pairs(found):
-                        for c, v in zip(columns, (doc_id, text_hash, *row)):
-                            c.append(v)
+                    rows = [*found]
+                    columns[0] += [doc_id] * len(rows)
+                    columns[1] += [text_hash] * len(rows)
+                    for c, values in zip(columns[2:], zip(*rows)):
+                        c += values
                     begin += len(own) + WINDOW
+                arrays = [np.array(c, f.type.to_pandas_dtype()) for c, f in zip(columns, schema)]
+                no, start, _, words, h1, h2 = arrays[2:]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                    [*map(pa.array, arrays), *_pair_columns(no, start, words, h1, h2)], schema=schema)
 
     text = text.cast("string")
     return (bounded_batches(docs).select(doc.cast("bigint").alias("doc"), text.alias("text"),
