@@ -60,9 +60,9 @@ def fitted(chars: float, chars_sd: float, entropy: float, entropy_sd: float) ->
     return Band(chars - c, 6.5, 0.02, entropy - e, c, e)
 
 
-# Limits per language: mean and standard deviation of characters per token and
-# entropy of the texts labelled clean, of 50 words and more, with an even doc_id
-# in the sf0.1 test table (951, 240, 233, 154 texts).  The odd ids test them.
+# Limits per language, by fit_bands: mean and standard deviation of characters per
+# token and entropy of the texts labelled clean, of 50 words and more, with an even
+# doc_id in the sf0.1 test table (951, 240, 233, 154 texts).  The odd ids test them.
 # 3.3 spreads is as wide as a tenth of the labelled junk allows; clean texts
 # further below the mean are still rejected.
 # The ceilings are those of real prose.
@@ -221,6 +221,23 @@ def fertility_signals(docs: DataFrame, text_col: str = "text", lang_col: str = "
     return carried.mapInArrow(run, schema)
 
 
+def fit_bands(clean: DataFrame, text_col: str = "text", lang_col: str = "lang", *,
+              vocabulary: str | None = None, min_texts: int = 30) -> dict[str, Band]:
+    """Bands per language from texts known to be clean, for another corpus or
+    vocabulary: one pass over all of them and one row per language.  Texts
+    that fail the base rules take no part; a language of fewer than
+    ``min_texts`` has no band of its own and takes its script's."""
+    lang = F.col(f"{ROW}.`{lang_col}`").cast("string")
+    found = fertility_signals(clean, text_col, lang_col, keep=[lang_col], vocabulary=vocabulary, bands={})
+    rows = (found.where(~F.col("signals.base_failed") & lang.isNotNull()).groupBy(lang.alias("lang"))
+            .agg(F.count(F.lit(1)).alias("n"),
+                 *[f(f"signals.{c}").alias(f"{c}_{name}") for c in ("chars_per_token", "token_entropy")
+                   for name, f in (("mean", F.avg), ("sd", F.stddev_samp))])
+            .where(F.col("n") >= min_texts).collect())
+    return {r["lang"]: fitted(r["chars_per_token_mean"], r["chars_per_token_sd"], r["token_entropy_mean"],
+                              r["token_entropy_sd"]) for r in rows}
+
+
 def keep_fluent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """The documents that no rule rejects, with their columns unchanged."""
     found = fertility_signals(docs, text_col, lang_col, **options).where("signals.kept")

@@ -1,5 +1,6 @@
 """Quality rules against plain counts."""
 
+import math
 import re
 from collections import Counter
 
@@ -90,3 +91,54 @@ def test_labels_the_floors_were_not_fitted_on(spark):
     assert [r["doc_id"] for r in rows if r["quality"] == 1 and not r["kept"]] == []
     junk = [r["kept"] for r in rows if r["quality"] == 0]
     assert sum(junk) <= 0.15 * len(junk)
+
+
+def plain_entropy(ids):
+    """Mean over windows of 256 tokens, the last one reaching back, relative
+    to the most that a window can have."""
+    width = min(len(ids), 256)
+    if width < 2:
+        return 0.0
+    starts = [*range(0, len(ids) - width + 1, width)]
+    if len(ids) % width:
+        starts.append(len(ids) - width)
+    bits = [-sum(n / width * math.log2(n / width) for n in Counter(ids[a:a + width]).values()) for a in starts]
+    return sum(bits) / len(bits) / math.log2(width)
+
+
+def test_entropy_and_verdict(sample, odd):
+    """Each text's entropy, band and verdict from loops over its tokens."""
+    sp, is_byte = fertility._vocabulary(fertility.default_vocabulary())
+    verdicts = Counter()
+    for docs in (sample, odd):
+        for r in fertility.fertility_signals(docs).select("_row.lang", "_text", "signals.*").collect():
+            text = r["_text"] or ""
+            ids = [i for w in re.findall(r"[^\x20\x09-\x0D]+", text) for i in sp.encode(w)]
+            failed = plain_counts(text)[-1]
+            if not ids:
+                assert r["token_entropy"] is None and not r["kept"]
+                continue
+            entropy = plain_entropy(ids)
+            assert abs(r["token_entropy"] - entropy) < 1e-9
+            band = fertility.LANGUAGE_BANDS.get(r["lang"]) or fertility.SCRIPT_BANDS[fertility._script(text)]
+            wider = math.sqrt(max(1, 256 / len(ids))) - 1
+            chars = sum(len(w) for w in re.findall(r"[^\x20\x09-\x0D]+", text)) / len(ids)
+            kept = (not failed and band.min_chars_per_token - wider * band.chars_margin <= chars <= 6.5
+                    and sum(bool(is_byte[i]) for i in ids) / len(ids) <= band.max_byte_share
+                    and entropy >= band.min_entropy - wider * band.entropy_margin)
+            assert r["kept"] == kept
+            verdicts[(failed, kept)] += 1
+    assert all(verdicts[k] for k in ((True, False), (False, True), (False, False)))
+
+
+def test_fitting_gives_the_bands(spark, nothing):
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet").where("doc_id % 2 = 0 and quality = 1").select("doc_id")
+    clean = spark.read.parquet(f"{d}/documents.parquet").join(labels, "doc_id", "left_semi")
+    bands = fertility.fit_bands(clean)
+    assert set(bands) == set(fertility.LANGUAGE_BANDS)
+    for lang, band in bands.items():
+        want = fertility.LANGUAGE_BANDS[lang]
+        assert abs(band.min_chars_per_token - want.min_chars_per_token) < 0.02
+        assert abs(band.min_entropy - want.min_entropy) < 0.005
+    assert fertility.fit_bands(nothing) == {}
