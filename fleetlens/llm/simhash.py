@@ -217,9 +217,17 @@ def keep_one_of_each(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "
     id all stay."""
     found = _classes(docs, doc_col, text_col, width, max_bits).where("doc_id is not null")
     text_hash = free_name(docs, "_text_hash")
+    key = [doc_col, text_hash]
+    names = [F.col("doc_id").alias(doc_col), F.col("text_hash").alias(text_hash)]
     firsts = (found.groupBy("root").agg(F.min(F.struct("doc_id", "fp", "text_hash")).alias("f"))
-              .select(F.col("f.doc_id").alias(doc_col), F.col("f.text_hash").alias(text_hash)))
+              .select("f.*").select(*names))
+    firsts = write_shared(firsts, "simhash-firsts")
     hashed = docs.withColumn(text_hash, F.xxhash64(F.col(text_col).cast("string")))
-    kept = (hashed.join(firsts, [doc_col, text_hash], "left_semi")
-            .dropDuplicates([doc_col, text_hash]).drop(text_hash))
-    return kept.unionByName(docs.where(F.col(doc_col).isNull()))
+    # the keys are hashed, so the texts need not be sorted to meet them
+    kept = hashed.join(firsts.hint("shuffle_hash"), key, "left_semi")
+    repeated = (found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*names))
+    if not repeated.isEmpty():  # else no row is held back to be compared with others
+        repeated = write_shared(repeated, "simhash-repeated")
+        kept = kept.join(repeated, key, "left_anti").unionByName(
+            kept.join(repeated, key, "left_semi").dropDuplicates(key))
+    return kept.drop(text_hash).unionByName(docs.where(F.col(doc_col).isNull()))
