@@ -79,9 +79,11 @@ def open_buckets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 class BucketedRun(ReportRun):
     """A run of the health sections over relations in buckets."""
 
-    def __init__(self, spark: SparkSession, root: str, hourly: DataFrame, params: Params | None = None):
+    def __init__(self, spark: SparkSession, root: str, hourly: DataFrame, params: Params | None = None,
+                 ranges: int | None = None):
         t = open_buckets(spark, root)
-        super().__init__(MonitoringTables(t["targets"], hourly, t["daily"], t["current"], t["tablespaces"]), params)
+        super().__init__(MonitoringTables(t["targets"], hourly, t["daily"], t["current"], t["tablespaces"]), params,
+                         ranges=ranges)
         self.stored = t
 
     def inventory(self, os_list, key: str = "server") -> DataFrame:

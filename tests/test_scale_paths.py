@@ -5,11 +5,14 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlens.plans.context import ReportRun
-from fleetlens.registry import REPORT_PLANS, cpu_params, growth_params
+from fleetlens.registry import REPORT_PLANS, cpu_params, growth_params, queries
 from fleetlens.sources import testmap
+from fleetlens.sources.tables import tables_from_rows
 from tests.conftest import SF_SMALL
+from tests.helpers import AS_OF, host
 
 OFF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -61,3 +64,31 @@ def test_building_a_report_runs_no_job(spark):
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+# ---- rows that the inventory repeats -----------------------------------------
+
+def test_sections_are_ordered_in_several_tasks(spark):
+    """Databases of one name on many hosts repeat every row; such rows compress
+    so well that an adaptive sort would be merged into one task."""
+    names = [f"h-d-{i:02d}" for i in range(40)]
+    tables = tables_from_rows(
+        spark, targets=[host(n) for n in names] + [("DB1", "oracle_database", "19", None, n) for n in names],
+        tablespaces=[("DB1", n, f"TS{i}", "ONLINE", "PERMANENT", 100, 95 - i % 3, AS_OF)
+                     for i, n in enumerate(names)])
+    plain = REPORT_PLANS["tablespace_attention"][0](ReportRun(tables, cpu_params()))
+    spread = REPORT_PLANS["tablespace_attention"][0](ReportRun(tables, cpu_params(), ranges=8))
+    got, want = spread.collect(), plain.collect()
+    assert len(got) == 1600 and sorted(map(str, got)) == sorted(map(str, want))
+    order = lambda rows: [(r["os"], r["database_name"], r["host_name"]) for r in rows]
+    assert order(got) == order(want) == sorted(order(want))
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 4 and max(sizes) <= 800
+
+
+def test_rendered_rows_of_a_section_are_written_by_several_tasks(spark):
+    rows = queries()["render_html_row"](spark, SF_SMALL)
+    parts = rows.groupBy("section", F.spark_partition_id().alias("task")).count().collect()
+    for section in ("asm_diskgroup_usage", "tablespace_attention", "host_cpu_current", "db_growth_monthly"):
+        sizes = [r["count"] for r in parts if r["section"] == section]
+        assert len(sizes) > 1 and sum(sizes) > max(sizes), (section, sizes)
