@@ -19,7 +19,7 @@ from fleetlens.operators.joins import self_join_hosts
 from fleetlens.params import DB_TARGET_TYPES, Params
 from fleetlens.plans.context import ReportRun
 from fleetlens.sources.files import exists
-from fleetlens.sources.tables import (MONTH_PARTITION_COLUMN, SCHEMAS, TARGET_SCHEMA, MonitoringTables)
+from fleetlens.sources.tables import (PARTITION_COLUMNS, SCHEMAS, TARGET_SCHEMA, YEAR_PARTITION_COLUMN, MonitoringTables)
 
 _INVENTORY = (("database_name", "string"), ("database_version", "string"), ("server", "string"), ("os", "string"),
               ("os_version", "string"))
@@ -27,7 +27,7 @@ _INVENTORY = (("database_name", "string"), ("database_version", "string"), ("ser
 LAYOUT = {
     "targets": (TARGET_SCHEMA, "target_name", None),
     "current": (SCHEMAS["mon_metric_current"], "target_name", None),
-    "daily": (SCHEMAS["mon_metric_daily"], "target_name", MONTH_PARTITION_COLUMN),
+    "daily": (SCHEMAS["mon_metric_daily"], "target_name", YEAR_PARTITION_COLUMN),
     "tablespaces": (SCHEMAS["mon_db_tablespaces"], "target_name", None),
     "inventory_by_database": (_INVENTORY, "database_name", None),
     "inventory_by_server": (_INVENTORY, "server", None),
@@ -36,21 +36,23 @@ LAYOUT = {
 
 def write_buckets(tables: MonitoringTables, root: str, buckets: int) -> None:
     """Write the relations below ``root`` in ``buckets`` buckets each.  One
-    shuffle per relation on the bucket key, so each bucket (of a month, for
-    the daily facts) is one file; take so many buckets that one fits a task."""
+    shuffle per relation on the bucket key, so each bucket (of a year, for
+    the daily facts) is one file; take so many buckets that one fits a task.
+    Folders of a year, not of a month: every bucket has a file in each folder,
+    and a long history would be mostly the making of small files."""
     inventory = self_join_hosts(tables.targets, DB_TARGET_TYPES, None).persist()
     frames = {"targets": tables.targets, "current": tables.current, "tablespaces": tables.tablespaces,
-              "daily": tables.daily.drop(MONTH_PARTITION_COLUMN).withColumn(
-                  MONTH_PARTITION_COLUMN, F.trunc(F.to_date("rollup_timestamp"), "month")),
+              "daily": tables.daily.drop(*PARTITION_COLUMNS).withColumn(
+                  YEAR_PARTITION_COLUMN, F.trunc(F.to_date("rollup_timestamp"), "year")),
               "inventory_by_database": inventory, "inventory_by_server": inventory}
     spark = tables.targets.sparkSession
     for name, df in frames.items():
-        columns, key, month = LAYOUT[name]
-        cols = [*(c for c, _ in columns), *([month] if month else [])]
+        columns, key, folder = LAYOUT[name]
+        cols = [*(c for c, _ in columns), *([folder] if folder else [])]
         table = f"fleetlens_{uuid.uuid4().hex[:12]}"
         w = (df.select(*cols).repartition(buckets, key).write.format("parquet").mode("overwrite")
              .bucketBy(buckets, key).sortBy(key).option("path", f"{root.rstrip('/')}/{name}"))
-        (w.partitionBy(month) if month else w).saveAsTable(table)
+        (w.partitionBy(folder) if folder else w).saveAsTable(table)
         spark.sql(f"DROP TABLE {table}")  # the files stay
     inventory.unpersist()
     spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{root}/layout")
@@ -63,14 +65,14 @@ def open_buckets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         raise ValueError(f"{root} holds no relations in buckets")
     buckets = spark.read.schema("buckets int").parquet(f"{root}/layout").first()["buckets"]
     out = {}
-    for name, (columns, key, month) in LAYOUT.items():
+    for name, (columns, key, folder) in LAYOUT.items():
         table = f"fleetlens_{name}_{uuid.uuid4().hex[:12]}"
-        cols = ", ".join(f"{c} {t}" for c, t in (*columns, *([(month, "date")] if month else [])))
+        cols = ", ".join(f"{c} {t}" for c, t in (*columns, *([(folder, "date")] if folder else [])))
         path = f"{root.rstrip('/')}/{name}".replace("'", "\\'")
         spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet "
-                  + (f"PARTITIONED BY ({month}) " if month else "")
+                  + (f"PARTITIONED BY ({folder}) " if folder else "")
                   + f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
-        if month:
+        if folder:
             spark.sql(f"MSCK REPAIR TABLE {table}")
         out[name] = spark.table(table)
     return out

@@ -1,11 +1,14 @@
 """Health sections over relations in buckets; the runtime Bloom filter."""
 
+import glob
 import re
 import tempfile
+from datetime import datetime
 
 import pytest
 
 from fleetlens.operators.joins import fleet_semi_join
+from fleetlens.plans import growth
 from fleetlens.plans.context import ReportRun
 from fleetlens.plans.report import health_report
 from fleetlens.registry import BUCKETED_KEYS, REPORT_PLANS, cpu_params, growth_params
@@ -90,6 +93,27 @@ def test_several_sessions_open_the_same_files(spark, root):
         open_buckets(spark, tempfile.mkdtemp(prefix="fleetlens-buckets-none-"))
 
 
+def test_a_long_history_makes_few_files_and_is_pruned(spark):
+    """A bucket has one file a year: 36 months are 3 files in each bucket."""
+    path = tempfile.mkdtemp(prefix="fleetlens-buckets-years-")
+    daily = [(f"DB{d}", "oracle_database", "DATABASE_SIZE", "USED_GB", datetime(1999 + m // 12, m % 12 + 1, 5), 1.0 + m)
+             for d in range(30) for m in range(36)]
+    tables = tables_from_rows(spark, daily=daily)
+    write_buckets(tables, path, 4)
+    files = glob.glob(f"{path}/daily/**/*.parquet", recursive=True)
+    assert len(files) <= 4 * 3
+    run = BucketedRun(spark, path, tables.hourly, growth_params())
+    assert sorted(map(str, run.t.daily.select(tables.daily.columns).collect())) == sorted(
+        map(str, tables.daily.collect()))
+    sizes = growth.db_size_monthly(run)
+    assert sorted(map(str, sizes.collect())) == sorted(map(str, growth.db_size_monthly(
+        ReportRun(tables, growth_params())).collect())) != []
+    seen = sizes._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*rollup_year", seen)
+    assert all("rollup_year=2001" in f for f in run.t.daily.where("rollup_year = date'2001-01-01'")
+               .select("_metadata.file_path").distinct().toPandas()["file_path"])
+
+
 def test_empty_relations(spark):
     path = tempfile.mkdtemp(prefix="fleetlens-buckets-empty-")
     empty = tables_from_rows(spark)
