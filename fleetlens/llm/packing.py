@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import bounded_batches, drop_shared, write_shared
-from fleetlens.llm.tokens import byte_level_ids
+from fleetlens.llm.tokens import byte_level_ids, gathered
 
 LENGTH = 1024
 END_ID = 2
@@ -96,7 +96,7 @@ def pack_partitions(docs: DataFrame, doc_col: str, text_col: str, tokenizer: str
         row_id = next_bin = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         held = 0
-        for batch in batches:
+        for batch in gathered(batches, 1):
             texts = pc.fill_null(batch.column(1), "")
             for d, row in zip(batch.column(0).to_pylist(), byte_level_ids(texts, tokenizer)):
                 row = np.append(row, np.uint32(end_id)).astype("<u4")

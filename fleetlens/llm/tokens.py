@@ -8,9 +8,11 @@ tokenizer library, and the process keeps a bounded cache of their ids.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -18,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_WORDS = 200_000  # entries of a worker's cache
+RECENT_WORDS = 250_000  # entries of each of its two generations, where all words are kept
+ENTRY_BYTES = 64  # of a word and its ids, on average, in a full generation
 CHUNK_BYTES = 8 << 20  # text encoded at a time
 
 
@@ -50,7 +54,11 @@ class WordCache:
     def ids(self, words: pa.DictionaryArray) -> Ids:
         """Ids of each of the dictionary's words.  Words that come twice are
         kept; most others never come back."""
-        distinct = words.dictionary.to_pylist()
+        parts = self.parts(words, words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        return Ids(np.frombuffer(b"".join(parts), self.dtype), lengths)
+
+    def parts(self, words: pa.DictionaryArray, distinct: list[str]) -> list[bytes]:
         parts = [*map(self.known.get, distinct)]
         missing = [i for i, x in enumerate(parts) if x is None]
         new = self.encode_words([distinct[i] for i in missing])
@@ -62,8 +70,36 @@ class WordCache:
             if len(self.known) + len(keep) > self.limit:
                 self.known = {}
             self.known.update(keep)
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
-        return Ids(np.frombuffer(b"".join(parts), self.dtype), lengths)
+        return parts
+
+
+class RecentWords(WordCache):
+    """A cache of all words met lately, in two generations of ``limit``: a word
+    found in the older one moves to the younger, and a full younger one takes
+    the place of the older.  Words that go on coming back are never encoded
+    again, and no flush loses them all.  Long words fill a generation sooner:
+    it is full at ``ENTRY_BYTES * limit`` bytes, too."""
+
+    def __init__(self, encode_words, limit: int = RECENT_WORDS):
+        super().__init__(encode_words, limit)
+        self.older: dict[str, bytes] = {}
+        self.held = 0  # characters and bytes of ids in the younger one
+
+    def parts(self, words: pa.DictionaryArray, distinct: list[str]) -> list[bytes]:
+        parts = [*map(self.known.get, distinct)]
+        absent = [i for i, x in enumerate(parts) if x is None]
+        names = [distinct[i] for i in absent]
+        found = [*map(self.older.get, names)]
+        new = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(new, self.encode_words([names[k] for k in new])):
+            found[k] = x
+        for i, x in zip(absent, found):
+            parts[i] = x
+        self.known.update(zip(names, found))
+        self.held += sum(map(len, names)) + sum(map(len, found))
+        if len(self.known) > self.limit or self.held > ENTRY_BYTES * self.limit:
+            self.older, self.known, self.held = self.known, {}, 0
+        return parts
 
 
 def text_chunks(texts: pa.Array, size: int = CHUNK_BYTES):
@@ -77,6 +113,21 @@ def text_chunks(texts: pa.Array, size: int = CHUNK_BYTES):
         start = stop
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: int, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches put together up to ``size`` bytes of ``column``: the
+    more text is encoded at a time, the fewer times a word is looked up."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        if held and total + batch.column(column).nbytes > size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += batch.column(column).nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def split_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The ASCII-space-separated words of all texts, numbered, and the number
     of words of each text."""
@@ -102,6 +153,8 @@ def hf_tokenizer(path: str):
 # A full stop or comma behind a letter, at the end of a word: a piece of its own
 # for every pre-tokenizer used here, so it is cut off and more words are equal.
 _STOPS = r"(\pL)([.,])(\s|$)"
+# Of byte-level ones, so is any run of ASCII signs there.
+_TAILS = r"(\pL)([!-/:-@\[-`{-~]+)(\s|$)"
 BARE = "\x01"  # put before a piece that has no space before it
 
 # One run of Latin letters is one piece, so the BPE model can be asked directly.
@@ -123,12 +176,16 @@ def _hf_words(path: str, prefix: str = "", lower: bool = False):
     tk = hf_tokenizer(path)
     tokenize, chars = tk.model.tokenize, _byte_chars()
     space = "".join(chr(chars[b]) for b in prefix.encode())
-    table = {c: "".join(chr(chars[b]) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+    table = "".join(chr(chars[b]) for b in range(256))
+    line_break = tk.encode("\n", add_special_tokens=False).ids if prefix else []
 
-    def latin(s: str) -> list[int]:
-        return [t.id for t in tokenize(space + (s.lower() if lower else s).translate(table))]
+    def latin(s: str, before: str = space) -> list[int]:
+        s = (s.lower() if lower else s).encode()
+        return [t.id for t in tokenize(before + codecs.charmap_decode(s, "strict", table)[0])]
 
     def odd(s: str) -> list[int]:
+        if prefix and s[:1] == "\n" and _LATIN(s, 1):  # the line break is a piece of its own
+            return line_break + latin(s[1:], "")
         if prefix:
             s = s[1:] if s[:1] == BARE else s if s[:1] == "\n" else prefix + s
         return tk.encode(s, add_special_tokens=False).ids
@@ -146,7 +203,7 @@ def _words_of(path: str) -> WordCache:
 
 @lru_cache(maxsize=4)
 def _spaced_words_of(path: str) -> WordCache:
-    return WordCache(_hf_words(path, " "))
+    return RecentWords(_hf_words(path, " "))
 
 
 def _whole_rows(texts: pa.Array, whole: np.ndarray, path: str) -> tuple[list, np.ndarray]:
@@ -185,7 +242,7 @@ _UNCUTTABLE = (r"[\x01\t\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}
 def _byte_level_rows(texts: pa.Array, path: str) -> list[np.ndarray]:
     out, rest = _whole_rows(texts, np.asarray(pc.match_substring_regex(texts, _UNCUTTABLE)), path)
     if len(rest):
-        part = pc.replace_substring_regex(texts.take(pa.array(rest)), _STOPS, rf"\1 {BARE}\2\3")
+        part = pc.replace_substring_regex(texts.take(pa.array(rest)), _TAILS, rf"\1 {BARE}\2\3")
         # a line break put before each text stands in for the space that its
         # first word lacks; it is one id, dropped below
         part = pc.binary_join_element_wise("\n", part, "").cast(pa.large_string())

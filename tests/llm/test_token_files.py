@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from fleetlens.llm import token_files
+from fleetlens.llm import packing, token_files, tokens
 from fleetlens.llm.common import shared_path, write_shared
 from fleetlens.llm.tokens import byte_level_ids, hf_tokenizer, word_ids
 from tests.llm.conftest import odd_documents
@@ -68,3 +68,52 @@ def test_word_wise_ids_are_the_tokenizers(sample, name, encode):
               "Foo.\nBar, baz.\n\nX.", "é. É, ß. Ñ.", "<|ENDOFTEXT|> x", "\x01. a", "A.", "a.\tb, ", "...a... b..", "x\x01 y"]
     want = hf_tokenizer(path).encode_batch(texts, add_special_tokens=False)
     assert [x.tolist() for x in encode(pa.array(texts), path)] == [e.ids for e in want]
+
+
+def test_signs_and_line_breaks_are_cut_as_the_tokenizer_cuts_them():
+    path = packing.default_tokenizer()
+    texts = ["walked### walked&&& walked,*** (see) x's' x's'. 'tis' don't's. 12%, 4th% ok<> a<| b<|endoftext|> c",
+             "é### É&&&\nÉté,\nx's'.\n's\n12\n¿qué?\nñ, ª. º, µ% ² ½, ß\"", "a—, b,— c´. d\x7f, e'll' f're, g'", "x%", "%x%", "`a` ~b~ {c} [d]\n[e]",
+             "a.\nb,\nc#", "Ω, Ж. 漢# ́, é́,"]
+    want = hf_tokenizer(path).encode_batch(texts, add_special_tokens=False)
+    assert [x.tolist() for x in byte_level_ids(pa.array(texts), path)] == [e.ids for e in want]
+
+
+def test_words_that_come_back_are_encoded_once():
+    calls = []
+
+    def encode(words):
+        calls.extend(words)
+        return [np.array([ord(w[-1])], "<u4").tobytes() for w in words]
+
+    cache = tokens.RecentWords(encode, limit=4)
+    for words in ("a b c", "a b c d", "e f a", "a e b", "g h a"):  # each once in its chunk
+        found = cache.ids(pa.array(words.split(), pa.large_string()).dictionary_encode())
+        assert found.flat.tolist() == [ord(w) for w in words.split()]
+        assert len(cache.known) <= 4 and len(cache.older) <= 4 + 3
+    assert sorted(calls) == [*"abcdefgh"]
+
+
+def test_a_word_and_signs_behind_it_are_encoded_apart(monkeypatch):
+    calls = []
+    path = packing.default_tokenizer()
+    encode = tokens._hf_words(path, " ")
+    cache = tokens.RecentWords(lambda words: calls.extend(words) or encode(words))
+    monkeypatch.setattr(tokens, "_spaced_words_of", lambda path: cache)
+    byte_level_ids(pa.array(["river### river&&& river$$$ stone### stone&&& stone$$$ river stone"]), path)
+    assert {"river", "stone"} < set(calls) and len(calls) <= 7  # three runs of signs; the cut and the break in front
+
+
+def test_batches_are_gathered_up_to_a_size():
+    batches = [pa.record_batch([pa.array([i]), pa.array(["x" * n])], ["a", "b"]) for i, n in enumerate([100, 100, 5000, 10, 10, 2000])]
+    found = [*tokens.gathered(iter(batches), 1, 1000)]
+    assert [b.column(0).to_pylist() for b in found] == [[0, 1], [2], [3, 4], [5]]
+    assert [*tokens.gathered(iter([]), 1)] == []
+
+
+def test_long_words_fill_a_generation_sooner():
+    cache = tokens.RecentWords(lambda words: [b"1234" for _ in words], limit=10)
+    for i in range(20):
+        cache.ids(pa.array([str(i) + "x" * 300], pa.large_string()).dictionary_encode())
+        assert len(cache.known) <= 2 and len(cache.older) <= 3
+    assert cache.ids(pa.array([], pa.large_string()).dictionary_encode()).flat.tolist() == []
