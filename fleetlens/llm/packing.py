@@ -96,7 +96,8 @@ def pack_partitions(docs: DataFrame, doc_col: str, text_col: str, tokenizer: str
         row_id = next_bin = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         held = 0
-        for batch in gathered(batches, 1):
+        # a task that hands on ids holds them beside the texts: it takes batches as they come
+        for batch in batches if with_ids else gathered(batches, 1):
             texts = pc.fill_null(batch.column(1), "")
             for d, row in zip(batch.column(0).to_pylist(), byte_level_ids(texts, tokenizer)):
                 row = np.append(row, np.uint32(end_id)).astype("<u4")

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_WORDS = 200_000  # entries of a worker's cache
-RECENT_WORDS = 250_000  # entries of each of its two generations, where all words are kept
+RECENT_WORDS = 150_000  # entries of each of its two generations, where all words are kept
 ENTRY_BYTES = 64  # of a word and its ids, on average, in a full generation
 CHUNK_BYTES = 8 << 20  # text encoded at a time
 
