@@ -32,6 +32,7 @@ from fleetlens.llm.common import ROW, bounded_batches, with_row
 from fleetlens.llm.tokens import Ids, numbers, split_words, text_chunks
 
 ENTROPY_WINDOW = 256
+WORDS_AT_A_TIME = 4096  # that the processor encodes
 
 
 @dataclass(frozen=True)
@@ -167,14 +168,24 @@ def _entropy(ids: np.ndarray) -> float:
     return float(bits / np.log2(width))
 
 
+def _word_tokens(sp, words: pa.Array) -> Ids:
+    """The tokens of each word; the processor's lists of Python numbers are
+    held for some words at a time."""
+    flat, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    for at in range(0, len(words), WORDS_AT_A_TIME):
+        ids = sp.encode(words.slice(at, WORDS_AT_A_TIME).to_pylist())
+        flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
+        lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+    return Ids(np.concatenate(flat), np.concatenate(lengths))
+
+
 def measure(texts: pa.Array, langs: list, vocabulary: str, bands: dict, scripts: dict) -> pa.StructArray:
     """The signals of a batch of texts."""
     sp, is_byte = _vocabulary(vocabulary)
     rows = []
     for start, part in text_chunks(pc.fill_null(texts, "")):
         words, counts = split_words(part)
-        ids = sp.encode(words.dictionary.to_pylist()) if len(words.dictionary) else []
-        tokens = Ids(np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids)))
+        tokens = _word_tokens(sp, words.dictionary)
         no = numbers(words)
         chars = np.asarray(pc.utf8_length(words.dictionary), np.int64)[no]
         flat = tokens.take(no)
@@ -217,6 +228,7 @@ def fertility_signals(docs: DataFrame, text_col: str = "text", lang_col: str = "
         for b in batches:
             signals = measure(b.column(1), b.column(2).to_pylist(), vocabulary, bands, scripts)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), signals], schema.names)
+            pa.default_memory_pool().release_unused()  # the worker lives on, beside its executor's heap
 
     return carried.mapInArrow(run, schema)
 

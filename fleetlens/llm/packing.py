@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import bounded_batches, drop_shared, write_shared
-from fleetlens.llm.tokens import byte_level_ids, gathered
+from fleetlens.llm.tokens import CHUNK_BYTES, byte_level_ids, gathered, text_chunks
 
 LENGTH = 1024
 END_ID = 2
@@ -72,45 +72,65 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 _PIECES = ("doc_id bigint, row_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, "
            "place bigint, fill bigint")
 HELD_PIECES, HELD_IDS = 100_000, 8 << 20  # what a task packs at a time, without and with ids
+# A task that hands on ids holds them beside the texts: it encodes less text at
+# a time, and hands on as many pieces (of up to LENGTH ids each) at a time.
+CHUNK_WITH_IDS, ROWS_WITH_IDS = 1 << 20, 512
 
 
 def pack_partitions(docs: DataFrame, doc_col: str, text_col: str, tokenizer: str, *, length: int = LENGTH,
                     end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents, each partition packed on its own, in parts of
     bounded size.  ``row_id`` tells rows apart, also copies of one document."""
-    def packed(rows: list[tuple], first_bin: int) -> tuple[pa.Table, int]:
-        doc, row_id, piece, start, size, crc, ids = zip(*rows)
+    def packed(rows: list[tuple], flat: list[np.ndarray], first_bin: int) -> tuple[pa.Table, int]:
+        doc, row_id, piece, start, size, crc = zip(*rows)
         sizes = np.array(size, np.int64)
         bins, place, fill = best_fit(sizes, length)
         table = pa.table({"doc_id": pa.array(doc, pa.int64()), "row_id": pa.array(row_id, pa.int64()),
                           "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
                           "length": sizes, "ids_crc32": pa.array(crc, pa.int64()), "bin": first_bin + bins,
                           "place": place, "fill": fill[bins]})
-        if with_ids:
-            flat = pa.array(np.concatenate(ids).astype(np.int32))
-            at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            table = table.append_column("ids", pa.ListArray.from_arrays(at, flat))
+        if with_ids:  # the lists are views of the ids that are held
+            ends, lists, a = np.concatenate([[0], np.cumsum(sizes)]), [], 0
+            for ids in flat:
+                b = int(np.searchsorted(ends, ends[a] + len(ids)))
+                lists.append(pa.ListArray.from_arrays(pa.array((ends[a:b + 1] - ends[a]).astype(np.int32)),
+                                                      pa.array(ids)))
+                a = b
+            table = table.append_column("ids", pa.chunked_array(lists))
         return table, first_bin + len(fill)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_id = next_bin = TaskContext.get().partitionId() << 40
+        most = ROWS_WITH_IDS if with_ids else 4096
         rows: list[tuple] = []
+        flat: list[np.ndarray] = []  # ids of whole runs of rows, one after another
         held = 0
-        # a task that hands on ids holds them beside the texts: it takes batches as they come
         for batch in batches if with_ids else gathered(batches, 1):
             texts = pc.fill_null(batch.column(1), "")
-            for d, row in zip(batch.column(0).to_pylist(), byte_level_ids(texts, tokenizer)):
-                row = np.append(row, np.uint32(end_id)).astype("<u4")
-                cuts = [0, *range(len(row) % length or length, len(row) + 1, length)]
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append((d, row_id, k, a, b - a, zlib.crc32(row[a:b].tobytes()), row[a:b] if with_ids else None))
-                row_id, held = row_id + 1, held + len(row) * with_ids
-                if len(rows) >= HELD_PIECES or held >= HELD_IDS:
-                    table, next_bin = packed(rows, next_bin)
-                    yield from table.to_batches(max_chunksize=4096)
-                    rows, held = [], 0
+            names = batch.column(0).to_pylist()
+            for at, part in text_chunks(texts, CHUNK_WITH_IDS if with_ids else CHUNK_BYTES):
+                ids: list[np.ndarray] = []
+                for d, row in zip(names[at:at + len(part)], byte_level_ids(part, tokenizer)):
+                    row = np.append(row, np.uint32(end_id)).astype("<u4", copy=False)
+                    cuts = [0, *range(len(row) % length or length, len(row) + 1, length)]
+                    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                        rows.append((d, row_id, k, a, b - a, zlib.crc32(row[a:b])))
+                    row_id += 1
+                    if with_ids:
+                        ids.append(row)
+                        held += len(row)
+                    if len(rows) >= HELD_PIECES or held >= HELD_IDS:
+                        flat += [np.concatenate(ids).view(np.int32)] if ids else []
+                        table, next_bin = packed(rows, flat, next_bin)
+                        rows, flat, ids, held = [], [], [], 0
+                        yield from table.to_batches(max_chunksize=most)
+                        del table
+                flat += [np.concatenate(ids).view(np.int32)] if ids else []
+            pa.default_memory_pool().release_unused()  # the worker lives on, beside its executor's heap
         if rows:
-            yield from packed(rows, next_bin)[0].to_batches(max_chunksize=4096)
+            yield from packed(rows, flat, next_bin)[0].to_batches(max_chunksize=most)
+            rows, flat = [], []
+            pa.default_memory_pool().release_unused()
 
     return (bounded_batches(docs).select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, _PIECES + ", ids array<int>" * with_ids))

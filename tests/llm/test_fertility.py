@@ -4,6 +4,8 @@ import math
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 from fleetlens.llm import fertility
 from tests.llm.conftest import odd_documents, prose
 
@@ -142,3 +144,22 @@ def test_fitting_gives_the_bands(spark, nothing):
         assert abs(band.min_chars_per_token - want.min_chars_per_token) < 0.02
         assert abs(band.min_entropy - want.min_entropy) < 0.005
     assert fertility.fit_bands(nothing) == {}
+
+
+def test_the_processor_gets_some_words_at_a_time(monkeypatch):
+    """Its lists of Python numbers take many times the room of the tokens."""
+    sp, is_byte = fertility._vocabulary(fertility.default_vocabulary())
+    calls = []
+
+    class Counted:
+        def encode(self, words):
+            calls.append(len(words))
+            return sp.encode(words)
+
+    texts = pa.array([" ".join(f"word{i}é" for i in range(a, a + 5000)) for a in (0, 4000, 9000)] + [None, ""])
+    args = [texts, ["en"] * len(texts), fertility.default_vocabulary(), fertility.LANGUAGE_BANDS, fertility.SCRIPT_BANDS]
+    want = [sum(map(len, sp.encode((t or "").split()))) for t in texts.to_pylist()]
+    monkeypatch.setattr(fertility, "_vocabulary", lambda path: (Counted(), is_byte))
+    got = fertility.measure(*args)
+    assert max(calls) <= 4096 and sum(calls) == 14000
+    assert got.field("n_tokens").to_pylist() == want
