@@ -33,6 +33,7 @@ from fleetlens.llm.tokens import Ids, numbers, split_words, text_chunks
 
 ENTROPY_WINDOW = 256
 WORDS_AT_A_TIME = 4096  # that the processor encodes
+CHUNK = 1 << 20  # bytes of text measured at a time: their numbers take many times the room
 
 
 @dataclass(frozen=True)
@@ -183,7 +184,7 @@ def measure(texts: pa.Array, langs: list, vocabulary: str, bands: dict, scripts:
     """The signals of a batch of texts."""
     sp, is_byte = _vocabulary(vocabulary)
     rows = []
-    for start, part in text_chunks(pc.fill_null(texts, "")):
+    for start, part in text_chunks(pc.fill_null(texts, ""), CHUNK):
         words, counts = split_words(part)
         tokens = _word_tokens(sp, words.dictionary)
         no = numbers(words)
